@@ -54,16 +54,17 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     segments = sorted({tuple(s[4]) for s in specs})
     sid = {seg: i for i, seg in enumerate(segments)}
     last = F.struct(*[F.col(c) for c in order])
+    added = []
     for name, kind, col, excl, seg in specs:
         base = local_window(user, order, seg)
-        df = df.withColumn(f"_li_{name}", _AGG[kind](col).over(
-            base.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        added.append(_AGG[kind](col).over(
+            base.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_li_{name}"))
         if excl:
-            df = df.withColumn(f"_le_{name}", _AGG[kind](col).over(
-                base.rowsBetween(Window.unboundedPreceding, -1)))
+            added.append(_AGG[kind](col).over(base.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_le_{name}"))
     for seg, i in sid.items():
         key = F.struct(*[F.col(c) for c in seg]) if seg else F.struct(F.lit(0).alias("_"))
-        df = df.withColumn(f"_seg{i}", key)
+        added.append(key.alias(f"_seg{i}"))
+    df = df.select("*", *added)
 
     summary = df.groupBy(CHUNK, *user).agg(
         *[F.min_by(f"_seg{i}", last).alias(f"_fseg{i}") for i in sid.values()],
@@ -88,6 +89,7 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     df = df.join(summary, [CHUNK, *user], "left")
 
     temp = [f"_seg{i}" for i in sid.values()] + [f"_fseg{i}" for i in sid.values()]
+    values = []
     for name, kind, _, excl, seg in specs:
         i = sid[tuple(seg)]
         local = F.col(f"_le_{name}" if excl else f"_li_{name}")
@@ -98,6 +100,7 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
             value = F.greatest(local, carry)
         else:
             value = F.least(local, carry)
-        df = df.withColumn(name, value)
+        values.append(value.alias(name))
         temp += [f"_li_{name}", f"_k_{name}"] + ([f"_le_{name}"] if excl else [])
-    return df.drop(*temp)
+    keep = [c for c in df.columns if c not in set(temp) and c not in {s[0] for s in specs}]
+    return df.select(*keep, *values)

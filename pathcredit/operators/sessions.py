@@ -110,17 +110,20 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
 
     df = local.join(s, [CHUNK, *USER], "left")
     first = F.col("_rn") == 1
-    df = df.withColumn("prev_ts", F.when(first, F.col("_prev_last_ts")).otherwise(F.col("_lag")))
-    df = df.withColumn("gap", F.col("ts") - F.col("prev_ts")).withColumn("timeout_seconds", T)
-    df = df.withColumn("is_start", F.when(first, F.col("_first_start")).otherwise(F.col("gap") > T))
+    prev = F.when(first, F.col("_prev_last_ts")).otherwise(F.col("_lag"))
+    gap = F.col("ts") - prev
+    start = F.when(first, F.col("_first_start")).otherwise(gap > T)
+    df = df.select("*", prev.alias("prev_ts"), gap.alias("gap"), T.alias("timeout_seconds"),
+                   start.alias("is_start"))
     w = local_window()
-    df = df.withColumn("_loc_starts", F.sum(F.col("is_start").cast("long")).over(w))
-    df = df.withColumn("_loc_start_rn", F.max(F.when(F.col("is_start"), F.col("_rn"))).over(w))
-    df = df.withColumn("session_id", F.col("_carry_sid") + F.col("_loc_starts"))
-    df = df.withColumn("pos", F.when(F.col("_loc_start_rn").isNotNull(), F.col("_rn") - F.col("_loc_start_rn") + 1)
-                       .otherwise(F.col("_carry_pos") + F.col("_rn")))
-    return df.drop("_rn", "_lag", "_prev_last_ts", "_first_start", "_carry_sid", "_carry_pos",
-                   "_loc_starts", "_loc_start_rn")
+    df = df.select("*", F.sum(F.col("is_start").cast("long")).over(w).alias("_loc_starts"),
+                   F.max(F.when(F.col("is_start"), F.col("_rn"))).over(w).alias("_loc_start_rn"))
+    pos = (F.when(F.col("_loc_start_rn").isNotNull(), F.col("_rn") - F.col("_loc_start_rn") + 1)
+           .otherwise(F.col("_carry_pos") + F.col("_rn")))
+    drop = {"_rn", "_lag", "_prev_last_ts", "_first_start", "_carry_sid", "_carry_pos",
+            "_loc_starts", "_loc_start_rn"}
+    return df.select(*[c for c in df.columns if c not in drop],
+                     (F.col("_carry_sid") + F.col("_loc_starts")).alias("session_id"), pos.alias("pos"))
 
 
 def session_breaks(sessions: DataFrame) -> DataFrame:
