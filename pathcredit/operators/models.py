@@ -36,16 +36,8 @@ def _midnight(date_col: str | Column) -> Column:
     return F.unix_seconds(d.cast("timestamp"))
 
 
-def touch_table(sessions: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
-                checkpoint: bool = True) -> DataFrame:
-    """Sessionized visits plus every running quantity the models need.
-
-    ``z`` is the decay weight of a visit relative to midnight of its own day,
-    ``2^((ts - midnight)/H)``, bounded by ``2^(1 day/H)`` whatever the session span.
-    """
-    if half_life <= 0:
-        raise ValueError(f"half_life must be positive, got {half_life}")
-    H = float(half_life) * 86400.0
+def touch_table(sessions: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """Sessionized visits plus the running quantities the models share."""
     df = sessions.select(
         CHUNK, *USER, "session_id", "pos", "visit_id", "ts", "utc_start_time", "source_code",
         F.to_date("utc_start_time").alias("chain_date"),
@@ -53,7 +45,6 @@ def touch_table(sessions: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
         F.col("revenue").cast("double").alias("r"),
     )
     df = df.withColumn("k", (F.col("c") > 0).cast("long"))
-    df = df.withColumn("z", F.pow(F.lit(2.0), (F.col("ts") - _midnight("chain_date")) / F.lit(H)))
     touch = F.struct("ts", "visit_id", "source_code")
     specs = [
         ("gidx", "sum", F.lit(1).cast("long"), False, []),
@@ -69,7 +60,6 @@ def touch_table(sessions: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
         ("cum_a1", "sum", 1.0 / F.col("pos"), False, SD),
         ("cum_ac", "sum", F.col("c") / F.col("pos"), False, SD),
         ("cum_ar", "sum", F.col("r") / F.col("pos"), False, SD),
-        ("cum_z", "sum", F.col("z"), False, SD),
     ]
     df = running(df, specs)
     df = (df.withColumn("last_sig_source", F.col("ls.source_code"))
@@ -85,7 +75,7 @@ def session_day_totals(t: DataFrame) -> DataFrame:
         F.count("*").cast("double").alias("tot_n"), F.sum("c").alias("tot_c"), F.sum("r").alias("tot_r"),
         F.sum("k").alias("tot_k"),
         F.sum(1.0 / F.col("pos")).alias("tot_a1"), F.sum(F.col("c") / F.col("pos")).alias("tot_ac"),
-        F.sum(F.col("r") / F.col("pos")).alias("tot_ar"), F.sum("z").alias("tot_z"),
+        F.sum(F.col("r") / F.col("pos")).alias("tot_ar"),
     )
 
 
@@ -154,8 +144,11 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     if half_life <= 0:
         raise ValueError(f"half_life must be positive, got {half_life}")
     H = float(half_life) * 86400.0
-    st = session_day_totals(t) if st is None else st
-    z_days = st.select(*SESSION, "chain_date", "tot_z")
+    # Decay weight of a visit relative to midnight of its own day: bounded by
+    # 2^(1 day/H) however long the session runs.
+    t = t.withColumn("z", F.pow(F.lit(2.0), (F.col("ts") - _midnight("chain_date")) / F.lit(H)))
+    t = running(t, [("cum_z", "sum", F.col("z"), False, SD)])
+    z_days = t.groupBy(*SESSION, "chain_date").agg(F.sum("z").alias("tot_z"))
 
     def factor(earlier: str, later: str) -> Column:
         return F.pow(F.lit(2.0), (_midnight(earlier) - _midnight(later)) / F.lit(H))

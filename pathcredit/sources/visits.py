@@ -104,12 +104,16 @@ def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_visits_from_events(read_table(spark, sf_dir, "events"))
 
 
+def _field(name: str):
+    return lambda x: x[name]
+
+
 def denormalise_nested(df: DataFrame) -> DataFrame:
     """Inverse of :func:`normalise_nested`: arrays of structs → export-style parallel arrays."""
     cols = [F.col(ours).alias(theirs) for theirs, ours in PARALLEL_SCALARS.items()]
     for arr, mapping in (("traffic_source", PARALLEL_TRAFFIC), ("goals", PARALLEL_GOALS),
                          ("purchases", PARALLEL_PURCHASES)):
-        cols += [F.transform(arr, lambda x, f=f: x[f]).alias(flat) for f, flat in mapping.items()]
+        cols += [F.transform(arr, _field(f)).alias(flat) for f, flat in mapping.items()]
     return df.select(*cols)
 
 
