@@ -56,12 +56,13 @@ class AttributionRun:
 
     @cached_property
     def results(self) -> DataFrame:
-        return M.attribution_all(self.touches, self.half_life, self.calculated_at)
+        """The results table (written once; views, marts and checks read it)."""
+        return materialize(M.attribution_all(self.touches, self.half_life, self.calculated_at))
 
     @cached_property
     def transitions(self) -> DataFrame:
         stamp = self.calculated_at if self.calculated_at is not None else F.current_timestamp()
-        return M.transitions(self.touches, self.day_totals).withColumn("calculated_at", stamp)
+        return materialize(M.transitions(self.touches, self.day_totals).withColumn("calculated_at", stamp))
 
     @cached_property
     def dictionaries(self) -> DataFrame:

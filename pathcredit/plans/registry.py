@@ -260,9 +260,10 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- C. sessions and chains
 
-@query("visit_gaps", "SELECT goal_id, user_id, visit_id, ts, ts - gap AS prev_ts, gap FROM g")
+@query("visit_gaps", "SELECT goal_id, user_id, visit_id, ts, ts - gap AS prev_ts, gap FROM g WHERE gap IS NOT NULL")
 def _(spark, sf):
-    return visit_gaps(_run(spark, sf).prepared).select("goal_id", "user_id", "visit_id", "ts", "prev_ts", "gap")
+    g = visit_gaps(_run(spark, sf).prepared).where(F.col("prev_ts").isNotNull())
+    return g.select("goal_id", "user_id", "visit_id", "ts", "prev_ts", "gap")
 
 
 @query("session_timeout", "SELECT tmo AS timeout_seconds FROM tmo")
