@@ -44,8 +44,9 @@ FIXED_STAMP_2 = dt.datetime(2024, 2, 2)
 
 
 def round4(c):
-    """Round to 4 decimals with plain double arithmetic, the same expression as the oracle's."""
-    return F.floor(c * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
+    """Round to 4 decimals the same way as the oracle: first to 8 decimals, which removes
+    last-bit differences from summation order, then half up with plain double arithmetic."""
+    return F.floor(F.round(c, 8) * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def _oracle(select: str, floats: tuple[str, ...]) -> str:
         ctes.append(O.model_ctes(14.0, "4", cps=""))
     body = "WITH " + ",".join(c.strip().rstrip(",") for c in ctes) + f",\nq AS ({select})\n"
     if floats:
-        repl = ", ".join(f"FLOOR({f} * 10000.0 + 0.5) / 10000.0 AS {f}" for f in floats)
+        repl = ", ".join(f"FLOOR(ROUND({f}, 8) * 10000.0 + 0.5) / 10000.0 AS {f}" for f in floats)
         return body + f"SELECT * REPLACE ({repl}) FROM q"
     return body + "SELECT * FROM q"
 

@@ -52,7 +52,7 @@ def test_query_matches_oracle(spark, key):
                 if v is None or (isinstance(v, float) and v != v):
                     v = None
                 elif isinstance(v, float):
-                    v = round(v, 4)
+                    v = round(v, 3)
                 elif hasattr(v, "item"):
                     v = v.item()
                 vals.append(str(v))
