@@ -36,15 +36,27 @@ def _midnight(date_col: str | Column) -> Column:
     return F.unix_seconds(d.cast("timestamp"))
 
 
-def touch_table(sessions: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """Sessionized visits plus the running quantities the models share."""
+def _decay_weight(half_life: float) -> Column:
+    """Decay weight of a visit relative to midnight of its own day: bounded by
+    2^(1 day/H) however long the session runs."""
+    H = float(half_life) * 86400.0
+    return F.pow(F.lit(2.0), (F.col("ts") - _midnight("chain_date")) / F.lit(H))
+
+
+def touch_table(sessions: DataFrame, checkpoint: bool = True,
+                half_life: float = DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
+    """Sessionized visits plus the running quantities the models share.
+
+    The decay weights' running sum is included for ``half_life``; the value is
+    recorded in the column metadata so ``time_decay`` knows when it can reuse it.
+    """
     df = sessions.select(
         CHUNK, *USER, "session_id", "pos", "visit_id", "ts", "utc_start_time", "source_code",
         F.to_date("utc_start_time").alias("chain_date"),
         F.col("conversions").cast("double").alias("c"),
         F.col("revenue").cast("double").alias("r"),
     )
-    df = df.withColumn("k", (F.col("c") > 0).cast("long"))
+    df = df.withColumn("k", (F.col("c") > 0).cast("long")).withColumn("z", _decay_weight(half_life))
     touch = F.struct("ts", "visit_id", "source_code")
     specs = [
         ("gidx", "sum", F.lit(1).cast("long"), False, []),
@@ -60,11 +72,15 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True) -> DataFrame:
         ("cum_a1", "sum", 1.0 / F.col("pos"), False, SD),
         ("cum_ac", "sum", F.col("c") / F.col("pos"), False, SD),
         ("cum_ar", "sum", F.col("r") / F.col("pos"), False, SD),
+        ("cum_z", "sum", F.col("z"), False, SD),
     ]
     df = running(df, specs)
     df = (df.withColumn("last_sig_source", F.col("ls.source_code"))
           .withColumn("prev_source", F.col("prev.source_code"))
           .withColumn("user_prev_source", F.col("uprev.source_code")).drop("ls", "prev", "uprev"))
+    meta = {"half_life": float(half_life)}
+    df = df.withColumn("z", F.col("z").alias("z", metadata=meta)) \
+        .withColumn("cum_z", F.col("cum_z").alias("cum_z", metadata=meta))
     return materialize(df) if checkpoint else df
 
 
@@ -144,10 +160,9 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     if half_life <= 0:
         raise ValueError(f"half_life must be positive, got {half_life}")
     H = float(half_life) * 86400.0
-    # Decay weight of a visit relative to midnight of its own day: bounded by
-    # 2^(1 day/H) however long the session runs.
-    t = t.withColumn("z", F.pow(F.lit(2.0), (F.col("ts") - _midnight("chain_date")) / F.lit(H)))
-    t = running(t, [("cum_z", "sum", F.col("z"), False, SD)])
+    if "cum_z" not in t.columns or t.schema["cum_z"].metadata.get("half_life") != float(half_life):
+        t = t.drop("z", "cum_z").withColumn("z", _decay_weight(half_life))
+        t = running(t, [("cum_z", "sum", F.col("z"), False, SD)])
     z_days = t.groupBy(*SESSION, "chain_date").agg(F.sum("z").alias("tot_z"))
 
     def factor(earlier: str, later: str) -> Column:

@@ -40,21 +40,28 @@ def flatten_touch(live: DataFrame) -> DataFrame:
 def prepare_visits(raw: DataFrame, counter_id: int | None, goal_ids: int | Iterable[int]) -> DataFrame:
     """Prepared visits: one row per (goal, live visit) with code, conversions and revenue.
 
+    Channel code, goal hits and revenue are derived per delivery before the
+    collapse, so the shuffle on the visit key carries a few scalars instead of
+    the nested arrays; the latest version's values are the same either way.
     ``goal_ids`` may be one goal or several; several goals explode into one copy
     of each visit per goal so all later keys simply carry ``goal_id``.
     """
     if counter_id is not None:
         raw = raw.where(F.col("counter_id") == F.lit(int(counter_id)))
     goals = [int(goal_ids)] if isinstance(goal_ids, int) else [int(g) for g in goal_ids]
-    live = flatten_touch(collapse(raw))
-    goal = F.explode(F.array(*[F.lit(g).cast("long") for g in goals])) if len(goals) > 1 \
-        else F.lit(goals[0]).cast("long")
-    return (
-        live.select("*", goal.alias("goal_id"))
-        .select(
-            "goal_id", "counter_id", "user_id", "visit_id", "start_date", "utc_start_time", "duration",
-            "source_code",
-            goal_hits("goals", F.col("goal_id")).alias("conversions"),
-            goal_revenue("goals", F.col("goal_id")).alias("revenue"),
-        )
+    per_goal = F.array(*[F.struct(F.lit(g).cast("long").alias("goal_id"),
+                                  goal_hits("goals", g).alias("conversions"),
+                                  goal_revenue("goals", g).alias("revenue")) for g in goals])
+    flat = raw.select(
+        *VISIT_KEY, "visit_version", "sign", "utc_start_time", "duration",
+        source_code(primary_touch("traffic_source")).alias("source_code"), per_goal.alias("_per_goal"),
     )
+    latest = F.max_by(F.struct("utc_start_time", "duration", "source_code", "_per_goal"),
+                      F.struct("visit_version", "sign"))
+    live = (flat.groupBy(*VISIT_KEY).agg(F.sum("sign").alias("_signs"), latest.alias("_l"))
+            .where(F.col("_signs") > 0).select(*VISIT_KEY, "_l.*"))
+    return live.select(
+        "counter_id", "user_id", "visit_id", "start_date", "utc_start_time", "duration", "source_code",
+        F.explode("_per_goal").alias("_g"),
+    ).select("_g.goal_id", "counter_id", "user_id", "visit_id", "start_date", "utc_start_time", "duration",
+             "source_code", "_g.conversions", "_g.revenue")

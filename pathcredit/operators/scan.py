@@ -66,11 +66,12 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
         added.append(key.alias(f"_seg{i}"))
     df = df.select("*", *added)
 
+    # One exchange by user serves every window below (their keys all start with ``user``).
     summary = df.groupBy(CHUNK, *user).agg(
         *[F.min_by(f"_seg{i}", last).alias(f"_fseg{i}") for i in sid.values()],
         *[F.max_by(f"_seg{i}", last).alias(f"_tseg{i}") for i in sid.values()],
         *[F.max_by(f"_li_{s[0]}", last).alias(f"_t_{s[0]}") for s in specs],
-    )
+    ).repartition(*user)
     # Tails of consecutive chunks that end in the same segment accumulate.
     cum = []
     for name, kind, _, _, seg in specs:

@@ -26,7 +26,7 @@ def _chunked(prepared: DataFrame, n_chunks: int | None) -> DataFrame:
 def _chunk_bounds(local: DataFrame) -> DataFrame:
     """Per (chunk, visitor): first/last time, rows, and the previous chunk's last time."""
     s = local.groupBy(CHUNK, *USER).agg(F.min("ts").alias("_first_ts"), F.max("ts").alias("_last_ts"),
-                                         F.count("*").alias("_n"))
+                                         F.count("*").alias("_n")).repartition(*USER)
     return s.withColumn("_prev_last_ts", F.lag("_last_ts").over(Window.partitionBy(*USER).orderBy(CHUNK)))
 
 
@@ -72,15 +72,17 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
     """Session id (1-based per visitor) and position of every visit.
 
     A new session starts at a visitor's first visit and after any gap strictly
-    longer than the timeout. ``timeout=None`` learns it from the data as a scalar
-    subquery. One local window pass and one summary row per (chunk, visitor)
+    longer than the timeout. ``timeout=None`` learns it from the data (one scalar
+    job); a Column keeps it inside the plan. One local window pass and one summary row per (chunk, visitor)
     give every row its previous time, session id and position, with the carry
     from earlier chunks of the same visitor; rows keep the (chunk, visitor) layout.
     """
     local = _chunked(prepared, n_chunks)
     bounds = _chunk_bounds(local)
     if timeout is None:
-        timeout = timeout_value(_gaps(local, bounds), quantile).scalar()
+        # One number, computed once over the chunk-local gaps; every later stage
+        # then compares against a literal instead of re-planning a subquery.
+        timeout = F.lit(int(timeout_value(_gaps(local, bounds), quantile).first()[0]))
     elif not isinstance(timeout, Column):
         timeout = F.lit(int(timeout))
     T = timeout.cast("long")
