@@ -28,6 +28,12 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "pathc
     )
 
 
+def ensure_utc(spark: SparkSession) -> None:
+    """The job reads visit times as UTC and dates chains in UTC."""
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "+00:00", "Z"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only a local session may get its own."""
     sc = spark.sparkContext

@@ -38,15 +38,18 @@ def _gaps(local: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def timeout_value(gaps: DataFrame, quantile: float = TIMEOUT_QUANTILE,
-                  default: int = DEFAULT_TIMEOUT_SECONDS) -> DataFrame:
+                  default: int = DEFAULT_TIMEOUT_SECONDS, approx_accuracy: int | None = None) -> DataFrame:
     """One-row DataFrame: integer part of the exact quantile of positive gaps, else ``default``.
 
     Gaps are whole seconds, so the exact percentile's buffer holds one count per
-    distinct gap value and aggregates partially on each executor. With several
+    distinct gap value and aggregates partially on each executor; for histories
+    spanning years, ``approx_accuracy`` switches to a bounded sketch. With several
     goals the visits repeat per goal, so only the smallest goal's copy counts.
     """
     one_goal = gaps.where(F.col("goal_id") == gaps.select(F.min("goal_id")).scalar())
-    p = one_goal.where(F.col("gap") > 0).agg(F.percentile("gap", quantile).alias("p"))
+    pct = F.percentile("gap", quantile) if approx_accuracy is None \
+        else F.percentile_approx("gap", quantile, approx_accuracy)
+    p = one_goal.where(F.col("gap") > 0).agg(pct.alias("p"))
     t = F.floor(F.col("p")).cast("long")
     return p.select(F.when(t > 0, t).otherwise(F.lit(default)).cast("long").alias("timeout_seconds"))
 

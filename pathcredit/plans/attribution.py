@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.config import materialize
+from pathcredit.config import ensure_utc, materialize
 from pathcredit.constants import DEFAULT_HALF_LIFE_DAYS, DEFAULT_LOOKBACK_DAYS
 from pathcredit.operators import chains as C
 from pathcredit.operators import models as M
@@ -94,6 +94,7 @@ _RUNS: dict[tuple, AttributionRun] = {}
 
 def run_for(spark: SparkSession, sf_dir: str, **params) -> AttributionRun:
     """Job over the visits derived from ``sf_dir``'s ``events``; one per session and parameters."""
+    ensure_utc(spark)
     key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(params.items())))
     run = _RUNS.get(key)
     if run is None:

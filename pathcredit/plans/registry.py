@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pathcredit.config import ensure_checkpoint_dir
+from pathcredit.config import ensure_checkpoint_dir, ensure_utc
 from pathcredit.constants import ATTRIBUTION_GOAL_TYPES, DICTIONARY_FILES, TOP_SOURCES
 from pathcredit.functions.codes import goal_hits, goal_revenue, primary_touch, root_id, source_code, sub_id
 from pathcredit.operators import chains as C
@@ -58,7 +58,10 @@ def rounded(df: DataFrame) -> DataFrame:
 def query(name: str, sql: str | None, floats: tuple[str, ...] = ()):
     """Register a Spark job; ``sql`` is the oracle's final SELECT over the oracle CTEs."""
     def wrap(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: rounded(fn(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_utc(spark)
+            return rounded(fn(spark, sf_dir))
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = _oracle(sql, floats)
         return fn
