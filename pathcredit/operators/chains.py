@@ -3,27 +3,28 @@ fixed look-back chains of converting visits."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathcredit.constants import DEFAULT_LOOKBACK_DAYS
-from pathcredit.operators.scan import USER
+from pathcredit.operators.scan import USER, running
 
 SESSION = [*USER, "session_id"]
 
 
 def build_chains(sessions: DataFrame) -> DataFrame:
-    """One row per visit: the session prefix ending at it, as ``history`` arrays.
+    """One row per visit: the session prefix ending at it, as a ``history`` array.
 
     This is the reference's stored chain table and is quadratic in session
     length by definition; the credit models never build it (see ``models``).
+    Prefixes are built per (chunk, visitor) and continued from earlier chunks
+    of the same session, so a long session is still spread over many tasks.
     """
-    w = Window.partitionBy(*SESSION).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     touch = F.struct("visit_id", "source_code", "utc_start_time", F.lit("2_VISIT").alias("event_type"),
                      F.col("conversions").cast("double").alias("conversions"))
-    return sessions.select(
-        *USER, "visit_id", F.to_date("utc_start_time").alias("start_date"),
-        F.collect_list(touch).over(w).alias("history"),
+    df = running(sessions, [("history", "list", touch, False, ["session_id"])])
+    return df.select(
+        *USER, "visit_id", F.to_date("utc_start_time").alias("start_date"), "history",
         F.col("conversions").cast("double").alias("conversions"),
         F.col("revenue").cast("double").alias("revenue"),
     )

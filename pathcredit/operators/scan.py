@@ -23,7 +23,7 @@ CHUNK = "_chunk"
 USER = ("goal_id", "counter_id", "user_id")
 ORDER = ("ts", "visit_id")
 
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
+_AGG = {"sum": F.sum, "max": F.max, "min": F.min, "list": F.collect_list}
 
 
 def chunk_rows(df: DataFrame, n_chunks: int | None = None,
@@ -47,7 +47,7 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     """Add running aggregates within contiguous segments of each user's ordered rows.
 
     Each spec is ``(name, kind, column, exclusive, segment)``: ``kind`` is
-    ``sum``/``max``/``min``; ``segment`` lists columns (beyond ``user``) that are
+    ``sum``/``max``/``min``/``list`` (ordered prefix list); ``segment`` lists columns (beyond ``user``) that are
     constant over contiguous runs of rows (a session, a session-day); exclusive
     specs aggregate strictly earlier rows. One summary and one join serve all specs.
     """
@@ -77,7 +77,10 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     for name, kind, _, _, seg in specs:
         i = sid[tuple(seg)]
         w_tail = Window.partitionBy(*user, f"_tseg{i}").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)
-        cum.append(_AGG[kind](f"_t_{name}").over(w_tail).alias(f"_c_{name}"))
+        if kind == "list":
+            cum.append(F.flatten(F.collect_list(f"_t_{name}").over(w_tail)).alias(f"_c_{name}"))
+        else:
+            cum.append(_AGG[kind](f"_t_{name}").over(w_tail).alias(f"_c_{name}"))
     summary = summary.select(CHUNK, *user, *[f"_fseg{i}" for i in sid.values()],
                              *[f"_tseg{i}" for i in sid.values()], *cum)
     w_user = Window.partitionBy(*user).orderBy(CHUNK)
@@ -97,6 +100,8 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
         carry = F.when(F.col(f"_seg{i}") == F.col(f"_fseg{i}"), F.col(f"_k_{name}"))
         if kind == "sum":
             value = F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
+        elif kind == "list":
+            value = F.when(carry.isNull(), local).otherwise(F.concat(carry, local))
         elif kind == "max":
             value = F.greatest(local, carry)
         else:
