@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,16 +51,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` once as a Parquet table under the shared checkpoint
-    folder and continue from the files.
+def materialize(df: DataFrame, bucket_by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` once under the shared checkpoint folder and continue
+    from the files.
 
     Unlike ``Dataset.checkpoint()``, which evaluates its input twice (once to
     count, once to write), this computes the input a single time; executor loss
     after the write costs nothing, since the files are on shared storage.
+
+    With ``bucket_by`` the files are written as a bucketed table (hash of those
+    columns into ``n_buckets``, default the shuffle partitions) registered under
+    a unique name in the session catalog. Reading it back keeps the hash
+    layout, so later windows, aggregates and joins keyed by those columns do
+    not shuffle the table again. If ``df`` is already hash-partitioned that way,
+    the write adds no shuffle either (Spark drops the redundant repartition).
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/pathcredit-tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    name = f"pathcredit_{uuid.uuid4().hex}"
+    path = f"{root}/pathcredit-tables/{name}"
+    if not bucket_by:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    n = int(n_buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, *bucket_by).write.format("parquet").bucketBy(n, *bucket_by)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)

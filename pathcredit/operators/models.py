@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pathcredit.config import materialize
 from pathcredit.constants import DEFAULT_HALF_LIFE_DAYS
 from pathcredit.functions.codes import is_significant
-from pathcredit.operators.scan import CHUNK, USER, running
+from pathcredit.operators.scan import CHUNK, USER, layout, running
 
 SESSION = [*USER, "session_id"]
 S = ["session_id"]
@@ -44,7 +44,7 @@ def _decay_weight(half_life: float) -> Column:
 
 
 def touch_table(sessions: DataFrame, checkpoint: bool = True,
-                half_life: float = DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
+                half_life: float = DEFAULT_HALF_LIFE_DAYS, n_buckets: int | None = None) -> DataFrame:
     """Sessionized visits plus the running quantities the models share.
 
     The decay weights' running sum is included for ``half_life``; the value is
@@ -81,7 +81,7 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True,
     meta = {"half_life": float(half_life)}
     df = df.withColumn("z", F.col("z").alias("z", metadata=meta)) \
         .withColumn("cum_z", F.col("cum_z").alias("cum_z", metadata=meta))
-    return materialize(df) if checkpoint else df
+    return materialize(df, layout(), n_buckets) if checkpoint else df
 
 
 def session_day_totals(t: DataFrame) -> DataFrame:

@@ -28,14 +28,22 @@ _AGG = {"sum": F.sum, "max": F.max, "min": F.min, "list": F.collect_list}
 
 def chunk_rows(df: DataFrame, n_chunks: int | None = None,
                user: Sequence[str] = USER, order: Sequence[str] = ORDER) -> DataFrame:
-    """Range-partition rows on (user, order) into ``n_chunks``, tag the chunk, checkpoint.
+    """Range-partition rows on (user, order) into ``n_chunks``, tag the chunk, and write
+    the rows as a table bucketed by (chunk, user).
 
-    Range bounds come from a sample of the input; checkpointing makes the
-    assignment a fact rather than something recomputed (and possibly re-sampled).
+    Range bounds come from a sample of the input; writing makes the assignment
+    a fact rather than something recomputed (and possibly re-sampled). The
+    bucketed layout is what every later per-(chunk, user) window, summary and
+    join needs, so none of them shuffles the rows again.
     """
     n = n_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = df.repartitionByRange(n, *user, *order).withColumn(CHUNK, F.spark_partition_id())
-    return materialize(tagged)
+    return materialize(tagged, layout(user), n)
+
+
+def layout(user: Sequence[str] = USER) -> list[str]:
+    """Bucket columns of every table in the (chunk, user) layout."""
+    return [CHUNK, *user]
 
 
 def local_window(user: Sequence[str] = USER, order: Sequence[str] = ORDER, extra: Sequence[str] = ()):

@@ -20,6 +20,7 @@ from pathcredit.operators import chains as C
 from pathcredit.operators import models as M
 from pathcredit.operators import views as V
 from pathcredit.operators.prepare import prepare_visits
+from pathcredit.operators.scan import layout
 from pathcredit.operators.sessions import sessionize
 from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionaries
 from pathcredit.sources.visits import raw_visits
@@ -44,11 +45,11 @@ class AttributionRun:
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return materialize(sessionize(self.prepared, self.timeout, self.n_chunks))
+        return materialize(sessionize(self.prepared, self.timeout, self.n_chunks), layout(), self.n_chunks)
 
     @cached_property
     def touches(self) -> DataFrame:
-        return M.touch_table(self.sessions)
+        return M.touch_table(self.sessions, n_buckets=self.n_chunks)
 
     @cached_property
     def day_totals(self) -> DataFrame:
