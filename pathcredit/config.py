@@ -25,6 +25,9 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "pathc
         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", "16g")
+        # Plans here are built from many column expressions; capturing the Python
+        # call site of each one costs several JVM round trips per function call.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -61,6 +61,7 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True,
     specs = [
         ("gidx", "sum", F.lit(1).cast("long"), False, []),
         ("uprev", "max", touch, True, []),
+        ("first", "min", touch, False, S),
         ("ls", "max", F.when(is_significant("source_code"), touch), False, S),
         ("prev", "max", touch, True, S),
         ("scum_n", "sum", F.lit(1).cast("long"), False, S),
@@ -75,9 +76,11 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True,
         ("cum_z", "sum", F.col("z"), False, SD),
     ]
     df = running(df, specs)
-    df = (df.withColumn("last_sig_source", F.col("ls.source_code"))
-          .withColumn("prev_source", F.col("prev.source_code"))
-          .withColumn("user_prev_source", F.col("uprev.source_code")).drop("ls", "prev", "uprev"))
+    df = df.select(*[c for c in df.columns if c not in ("first", "ls", "prev", "uprev")],
+                   F.col("first.source_code").alias("first_source"),
+                   F.col("ls.source_code").alias("last_sig_source"),
+                   F.col("prev.source_code").alias("prev_source"),
+                   F.col("uprev.source_code").alias("user_prev_source"))
     meta = {"half_life": float(half_life)}
     df = df.withColumn("z", F.col("z").alias("z", metadata=meta)) \
         .withColumn("cum_z", F.col("cum_z").alias("cum_z", metadata=meta))
@@ -86,12 +89,12 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True,
 
 def session_day_totals(t: DataFrame) -> DataFrame:
     """One row per (session, day): chains, conversions, revenue, converting chains,
-    linear shares and decay weight sums."""
+    linear shares and decay weight sums (for the touch table's half-life)."""
     return t.groupBy(*SESSION, "chain_date").agg(
         F.count("*").cast("double").alias("tot_n"), F.sum("c").alias("tot_c"), F.sum("r").alias("tot_r"),
         F.sum("k").alias("tot_k"),
         F.sum(1.0 / F.col("pos")).alias("tot_a1"), F.sum(F.col("c") / F.col("pos")).alias("tot_ac"),
-        F.sum(F.col("r") / F.col("pos")).alias("tot_ar"),
+        F.sum(F.col("r") / F.col("pos")).alias("tot_ar"), F.sum("z").alias("tot_z"),
     )
 
 
@@ -116,12 +119,8 @@ def last_touch(t: DataFrame) -> DataFrame:
 
 
 def first_touch(t: DataFrame) -> DataFrame:
-    """Full credit to the session's first touch (joined per session, counted per session-day)."""
-    firsts = t.where(F.col("pos") == 1).select(*SESSION, F.col("source_code").alias("first_source"))
-    per_day = t.groupBy(*SESSION, "chain_date").agg(
-        F.count("*").alias("n"), F.sum("c").alias("c"), F.sum("r").alias("r"))
-    return _result(per_day.join(firsts, SESSION), "first_touch", "first_source",
-                   F.col("n"), F.col("c"), F.col("r"))
+    """Full credit to the session's first touch (carried on every touch of the session)."""
+    return _result(t, "first_touch", "first_source", F.lit(1), F.col("c"), F.col("r"))
 
 
 def last_significant(t: DataFrame) -> DataFrame:
@@ -130,6 +129,30 @@ def last_significant(t: DataFrame) -> DataFrame:
     return _result(chosen, "last_significant", "_src", F.lit(1), F.col("c"), F.col("r"))
 
 
+def endpoint_models(t: DataFrame, assists: DataFrame | None = None) -> DataFrame:
+    """First touch, last touch and last significant in one aggregation: every chain
+    names its three credited sources, one row each, grouped once.
+
+    With ``assists`` (the output of :func:`assisted`), last-touch rows get the
+    assisted totals of the same (goal, day, source) by a left join, missing → 0.
+    """
+    picks = F.array(*[F.struct(F.lit(model).alias("_model"), src.alias("_src")) for model, src in (
+        ("first_touch", F.col("first_source")),
+        ("last_touch", F.col("source_code")),
+        ("last_significant", F.coalesce(F.col("last_sig_source"), F.col("source_code"))),
+    )])
+    x = t.select("goal_id", "chain_date", "c", "r", F.inline(picks))
+    out = x.groupBy("goal_id", F.col("_model").alias("attribution_type"), F.col("chain_date").alias("start_date"),
+                    F.col("_src").alias("source_code")).agg(
+        F.count("*").cast("double").alias("visits"), F.sum("c").cast("double").alias("conversions"),
+        F.sum("r").cast("double").alias("revenue"))
+    if assists is None:
+        return out
+    a = assists.withColumn("attribution_type", F.lit("last_touch"))
+    return (out.join(a, ["goal_id", "attribution_type", "start_date", "source_code"], "left")
+            .fillna(0.0, ["assisted_conversions", "assisted_revenue"]))
+
+
 def linear(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
     """Each touch earns value / chain length from every chain that contains it."""
     st = session_day_totals(t) if st is None else st
@@ -160,10 +183,14 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     if half_life <= 0:
         raise ValueError(f"half_life must be positive, got {half_life}")
     H = float(half_life) * 86400.0
-    if "cum_z" not in t.columns or t.schema["cum_z"].metadata.get("half_life") != float(half_life):
+    reuse = "cum_z" in t.columns and t.schema["cum_z"].metadata.get("half_life") == float(half_life)
+    if not reuse:
         t = t.drop("z", "cum_z").withColumn("z", _decay_weight(half_life))
         t = running(t, [("cum_z", "sum", F.col("z"), False, SD)])
-    z_days = t.groupBy(*SESSION, "chain_date").agg(F.sum("z").alias("tot_z"))
+    if reuse and st is not None and "tot_z" in st.columns:
+        z_days = st.select(*SESSION, "chain_date", "tot_z")
+    else:
+        z_days = t.groupBy(*SESSION, "chain_date").agg(F.sum("z").alias("tot_z"))
 
     def factor(earlier: str, later: str) -> Column:
         return F.pow(F.lit(2.0), (_midnight(earlier) - _midnight(later)) / F.lit(H))
@@ -251,9 +278,7 @@ def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     st = session_day_totals(t)
     zero = [F.lit(0.0).alias("assisted_conversions"), F.lit(0.0).alias("assisted_revenue")]
     parts = [
-        first_touch(t).select(*RESULT, *zero),
-        last_touch_with_assists(t, st).select(*RESULT, "assisted_conversions", "assisted_revenue"),
-        last_significant(t).select(*RESULT, *zero),
+        endpoint_models(t, assisted(t, st)).select(*RESULT, "assisted_conversions", "assisted_revenue"),
         linear(t, st).select(*RESULT, *zero),
         time_decay(t, half_life, st).select(*RESULT, *zero),
     ]

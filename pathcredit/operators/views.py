@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from pathcredit.constants import METRIC_ASSISTED, METRIC_DIRECT
 from pathcredit.functions.codes import root_id, sub_id
 from pathcredit.functions.names import channel_name
-from pathcredit.sources.dictionaries import sized_for_broadcast
 
 
 def with_channel_name(df: DataFrame, code: str, name: str, dicts: DataFrame) -> DataFrame:
-    """Add ``name`` for channel code column ``code`` with one left join to the merged lookup."""
+    """Add ``name`` for channel code column ``code`` with one left join to the merged lookup.
+
+    ``dicts`` is joined as given: pass it through ``sized_for_broadcast`` once
+    (as the job does) to broadcast it after its size is checked.
+    """
     r, s, n = f"_{name}_root", f"_{name}_sub", f"_{name}_dict"
     d = dicts.select(F.col("root_id").alias(r), F.col("id").alias(s), F.col("name").alias(n))
     out = df.withColumn(r, root_id(code)).withColumn(s, sub_id(code))
-    out = out.join(sized_for_broadcast(d), [r, s], "left")
+    out = out.join(d, [r, s], "left")
     return out.withColumn(name, channel_name(F.col(code), F.col(r), F.col(s), F.col(n))).drop(r, s, n)
 
 
@@ -25,9 +28,8 @@ def v_attribution_results(results: DataFrame, dicts: DataFrame) -> DataFrame:
 
 
 def v_source_transitions(trans: DataFrame, dicts: DataFrame) -> DataFrame:
-    d = sized_for_broadcast(dicts)
-    out = with_channel_name(trans, "prev_source_code", "prev_source_name", d)
-    return with_channel_name(out, "next_source_code", "next_source_name", d)
+    out = with_channel_name(trans, "prev_source_code", "prev_source_name", dicts)
+    return with_channel_name(out, "next_source_code", "next_source_name", dicts)
 
 
 def v_assisted_long(named_results: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pathcredit.operators import views as V
 from pathcredit.operators.prepare import prepare_visits
 from pathcredit.operators.scan import layout
 from pathcredit.operators.sessions import sessionize
-from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionaries
+from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionaries, sized_for_broadcast
 from pathcredit.sources.visits import raw_visits
 
 
@@ -67,7 +67,8 @@ class AttributionRun:
 
     @cached_property
     def dictionaries(self) -> DataFrame:
-        return load_dictionaries(self.spark, self.dictionary_dir)
+        """The merged lookups, broadcast after one row count against the bound."""
+        return sized_for_broadcast(load_dictionaries(self.spark, self.dictionary_dir))
 
     @cached_property
     def named_results(self) -> DataFrame:

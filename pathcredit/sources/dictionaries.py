@@ -26,9 +26,15 @@ def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
         lines = spark.read.text(path)
     except AnalysisException:
         return spark.createDataFrame([], "id int, name string")
+    return parse_lines(lines)
+
+
+def parse_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(*keep, id, name)`` from a text DataFrame's ``value`` lines (rules of :func:`load_dictionary`)."""
     line = F.regexp_replace("value", r"^\s+|\s+$", "")
     parts = F.regexp_extract(line, r"^([^,]*),(.*)$", 1), F.regexp_extract(line, r"^([^,]*),(.*)$", 2)
     parsed = lines.select(
+        *keep,
         line.alias("line"),
         F.expr("try_cast(regexp_replace(regexp_extract(regexp_replace(value, '^\\\\s+|\\\\s+$', ''), "
                "'^([^,]*),(.*)$', 1), '^\\\\s+|\\\\s+$', '') AS INT)").alias("id"),
@@ -36,18 +42,24 @@ def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
     )
     return (parsed.where((F.col("line") != "") & ~F.col("line").startswith("#") & F.col("line").contains(","))
             .where(F.col("id").isNotNull() & (F.col("name") != ""))
-            .select("id", "name"))
+            .select(*keep, "id", "name"))
 
 
 def load_dictionaries(spark: SparkSession, directory: str = BUNDLED_DIR) -> DataFrame:
-    """All five lookups as one ``(root_id, id, name)`` table, keyed by the channel root."""
-    out = None
-    for root, filename in DICTIONARY_FILES.items():
-        d = load_dictionary(spark, os.path.join(directory, filename)).select(
-            F.lit(root).cast("smallint").alias("root_id"), "id", "name")
-        out = d if out is None else out.unionByName(d)
+    """All five lookups as one ``(root_id, id, name)`` table, keyed by the channel root.
+
+    One text scan of the folder; each line's root comes from its file name, so
+    other files in the folder are ignored and a missing file contributes no rows.
+    """
+    try:
+        lines = spark.read.option("pathGlobFilter", "*.csv").text(directory)
+    except AnalysisException:
+        return spark.createDataFrame([], "root_id smallint, id int, name string")
+    roots = F.create_map(*[x for root, name in DICTIONARY_FILES.items() for x in (F.lit(name), F.lit(root))])
+    tagged = lines.select("value", roots[F.col("_metadata.file_name")].cast("smallint").alias("root_id"))
+    d = parse_lines(tagged.where(F.col("root_id").isNotNull()), keep=("root_id",))
     # One id may be listed twice; the first listed name is not defined, keep one deterministically.
-    return out.groupBy("root_id", "id").agg(F.min("name").alias("name"))
+    return d.groupBy("root_id", "id").agg(F.min("name").alias("name"))
 
 
 def sized_for_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
