@@ -30,8 +30,12 @@ def main() -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pathcredit-bench-"))
 
-    # Warm-up on the smallest data so JVM start and code generation are not billed to a query.
-    registry.QUERIES["last_touch"](spark, "/root/testdata/sf0.001").count()
+    # Warm-up: the same job and queries once on the smallest data, so JVM start, JIT and
+    # code generation are not billed to the measured run.
+    warm = "/root/testdata/sf0.001"
+    run_for(spark, warm).touches
+    for key in HEADLINE:
+        registry.QUERIES[key](spark, warm).write.format("noop").mode("overwrite").save()
     forget_runs()
 
     times: dict[str, float] = {}

@@ -33,9 +33,16 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "pathc
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """The job reads visit times as UTC and dates chains in UTC."""
+    """Session settings the job's plans rely on, applied before they are built.
+
+    Visit times are read and chains dated in UTC. Joins keyed by (chunk, user,
+    session, ...) may reuse the (chunk, user) bucketed layout of one side
+    instead of shuffling both sides onto all of their keys.
+    """
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "+00:00", "Z"):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true") != "false":
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -39,3 +39,19 @@ def test_approximate_timeout_is_close(spark):
     local = _chunked(p, None)
     approx = timeout_value(_gaps(local, _chunk_bounds(local)), approx_accuracy=100000).first().timeout_seconds
     assert abs(approx - exact) / exact < 0.05
+
+
+def test_touch_table_does_not_reshuffle_visits(spark):
+    """Sessions are written bucketed by (chunk, visitor); the touch table's windows and
+    summary join read them in place, so only the small per-(chunk, visitor) summary moves."""
+    from pathcredit.config import ensure_utc, materialize
+    from pathcredit.operators import models as M
+    from pathcredit.operators.scan import layout
+    from pathcredit.operators.sessions import sessionize
+    ensure_utc(spark)
+    p = prepare_visits(raw_visits(spark, SF), 1, 99)
+    s = materialize(sessionize(p, timeout=116956), layout())
+    plan = M.touch_table(s, checkpoint=False)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert "Bucketed: true" in plan
+    assert exchanges and all("_chunk" not in line for line in exchanges)
