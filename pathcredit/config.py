@@ -61,7 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, bucket_by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, bucket_by: Sequence[str] = (), n_buckets: int | None = None,
+                arranged: bool = False) -> DataFrame:
     """Cut lineage: write ``df`` once under the shared checkpoint folder and continue
     from the files.
 
@@ -74,7 +75,9 @@ def materialize(df: DataFrame, bucket_by: Sequence[str] = (), n_buckets: int | N
     a unique name in the session catalog. Reading it back keeps the hash
     layout, so later windows, aggregates and joins keyed by those columns do
     not shuffle the table again. If ``df`` is already hash-partitioned that way,
-    the write adds no shuffle either (Spark drops the redundant repartition).
+    the write adds no shuffle either (Spark drops the redundant repartition);
+    ``arranged=True`` states that every partition of ``df`` already holds a
+    single bucket's rows, so no repartition is asked for at all.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
@@ -84,6 +87,6 @@ def materialize(df: DataFrame, bucket_by: Sequence[str] = (), n_buckets: int | N
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     n = int(n_buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartition(n, *bucket_by).write.format("parquet").bucketBy(n, *bucket_by)
-     .option("path", path).saveAsTable(name))
+    laid_out = df if arranged else df.repartition(n, *bucket_by)
+    laid_out.write.format("parquet").bucketBy(n, *bucket_by).option("path", path).saveAsTable(name)
     return spark.table(name)

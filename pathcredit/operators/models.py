@@ -45,13 +45,15 @@ def _decay_weight(half_life: float) -> Column:
 
 def touch_table(sessions: DataFrame, checkpoint: bool = True,
                 half_life: float = DEFAULT_HALF_LIFE_DAYS, n_buckets: int | None = None) -> DataFrame:
-    """Sessionized visits plus the running quantities the models share.
+    """Sessionized visits (all their columns) plus the running quantities the models share.
 
     The decay weights' running sum is included for ``half_life``; the value is
     recorded in the column metadata so ``time_decay`` knows when it can reuse it.
+    Keeping every session column lets the job write this one table instead of
+    the sessions and the touches separately.
     """
     df = sessions.select(
-        CHUNK, *USER, "session_id", "pos", "visit_id", "ts", "utc_start_time", "source_code",
+        "*",
         F.to_date("utc_start_time").alias("chain_date"),
         F.col("conversions").cast("double").alias("c"),
         F.col("revenue").cast("double").alias("r"),

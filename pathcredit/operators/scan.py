@@ -14,12 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pathcredit.config import materialize
 
 CHUNK = "_chunk"
+START = "_chunk_start"  # first (order) key of a user's rows in a chunk: orders a user's chunks
 USER = ("goal_id", "counter_id", "user_id")
 ORDER = ("ts", "visit_id")
 
@@ -29,21 +30,46 @@ _AGG = {"sum": F.sum, "max": F.max, "min": F.min, "list": F.collect_list}
 def chunk_rows(df: DataFrame, n_chunks: int | None = None,
                user: Sequence[str] = USER, order: Sequence[str] = ORDER) -> DataFrame:
     """Range-partition rows on (user, order) into ``n_chunks``, tag the chunk, and write
-    the rows as a table bucketed by (chunk, user).
+    the rows as a table bucketed by chunk.
 
     Range bounds come from a sample of the input; writing makes the assignment
-    a fact rather than something recomputed (and possibly re-sampled). The
-    bucketed layout is what every later per-(chunk, user) window, summary and
-    join needs, so none of them shuffles the rows again.
+    a fact rather than something recomputed (and possibly re-sampled). Each
+    chunk's label is chosen to hash into the chunk's own bucket, so every range
+    task writes exactly one bucket with no further shuffle, and every later
+    per-(chunk, user) window, summary and join reads the rows in place, one
+    chunk per task. A user's chunks are ordered by their first row, not by label.
     """
-    n = n_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.repartitionByRange(n, *user, *order).withColumn(CHUNK, F.spark_partition_id())
-    return materialize(tagged, layout(user), n)
+    spark = df.sparkSession
+    n = n_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *user, *order).withColumn("_part", F.spark_partition_id())
+    tagged = ranged.join(F.broadcast(chunk_labels(spark, n)), "_part").drop("_part")
+    return materialize(tagged, layout(user), n, arranged=True)
+
+
+def chunk_labels(spark: SparkSession, n: int) -> DataFrame:
+    """``(_part, _chunk)`` for ``n`` buckets: for each bucket the smallest non-negative
+    int whose bucket (Spark's hash modulo ``n``, as ``bucketBy`` uses) is that bucket.
+
+    One row per bucket, so the broadcast is bounded by the bucket count; 64·n
+    candidates leave a bucket unhit with probability about n·e^-64.
+    """
+    if n not in _LABELS:
+        candidates = spark.range(0, 64 * n).select(F.col("id").cast("int").alias(CHUNK))
+        rows = (candidates.groupBy(F.pmod(F.hash(CHUNK), F.lit(n)).alias("_part"))
+                .agg(F.min(CHUNK).alias(CHUNK)).collect())
+        if len(rows) != n:
+            raise RuntimeError(f"no chunk label found for {n - len(rows)} of {n} buckets")
+        _LABELS[n] = sorted((r["_part"], r[CHUNK]) for r in rows)
+    return spark.createDataFrame(_LABELS[n], f"_part int, {CHUNK} int")
+
+
+_LABELS: dict[int, list[tuple[int, int]]] = {}
 
 
 def layout(user: Sequence[str] = USER) -> list[str]:
-    """Bucket columns of every table in the (chunk, user) layout."""
-    return [CHUNK, *user]
+    """Bucket columns of every table in the chunk layout: hash of the chunk label alone,
+    which also satisfies every window, aggregate and join keyed by (chunk, user, ...)."""
+    return [CHUNK]
 
 
 def local_window(user: Sequence[str] = USER, order: Sequence[str] = ORDER, extra: Sequence[str] = ()):
@@ -76,6 +102,7 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
 
     # One exchange by user serves every window below (their keys all start with ``user``).
     summary = df.groupBy(CHUNK, *user).agg(
+        F.min(last).alias(START),
         *[F.min_by(f"_seg{i}", last).alias(f"_fseg{i}") for i in sid.values()],
         *[F.max_by(f"_seg{i}", last).alias(f"_tseg{i}") for i in sid.values()],
         *[F.max_by(f"_li_{s[0]}", last).alias(f"_t_{s[0]}") for s in specs],
@@ -84,14 +111,14 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     cum = []
     for name, kind, _, _, seg in specs:
         i = sid[tuple(seg)]
-        w_tail = Window.partitionBy(*user, f"_tseg{i}").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)
+        w_tail = Window.partitionBy(*user, f"_tseg{i}").orderBy(START).rowsBetween(Window.unboundedPreceding, 0)
         if kind == "list":
             cum.append(F.flatten(F.collect_list(f"_t_{name}").over(w_tail)).alias(f"_c_{name}"))
         else:
             cum.append(_AGG[kind](f"_t_{name}").over(w_tail).alias(f"_c_{name}"))
-    summary = summary.select(CHUNK, *user, *[f"_fseg{i}" for i in sid.values()],
+    summary = summary.select(CHUNK, *user, START, *[f"_fseg{i}" for i in sid.values()],
                              *[f"_tseg{i}" for i in sid.values()], *cum)
-    w_user = Window.partitionBy(*user).orderBy(CHUNK)
+    w_user = Window.partitionBy(*user).orderBy(START)
     carries = []
     for name, _, _, _, seg in specs:
         i = sid[tuple(seg)]

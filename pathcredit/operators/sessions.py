@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pathcredit.constants import DEFAULT_TIMEOUT_SECONDS, TIMEOUT_QUANTILE
 from pyspark.sql import Window
 
-from pathcredit.operators.scan import CHUNK, USER, chunk_rows, local_window
+from pathcredit.operators.scan import CHUNK, ORDER, START, USER, chunk_rows, local_window
 
 
 def with_ts(prepared: DataFrame) -> DataFrame:
@@ -26,8 +26,9 @@ def _chunked(prepared: DataFrame, n_chunks: int | None) -> DataFrame:
 def _chunk_bounds(local: DataFrame) -> DataFrame:
     """Per (chunk, visitor): first/last time, rows, and the previous chunk's last time."""
     s = local.groupBy(CHUNK, *USER).agg(F.min("ts").alias("_first_ts"), F.max("ts").alias("_last_ts"),
-                                         F.count("*").alias("_n")).repartition(*USER)
-    return s.withColumn("_prev_last_ts", F.lag("_last_ts").over(Window.partitionBy(*USER).orderBy(CHUNK)))
+                                         F.count("*").alias("_n"),
+                                         F.min(F.struct(*ORDER)).alias(START)).repartition(*USER)
+    return s.withColumn("_prev_last_ts", F.lag("_last_ts").over(Window.partitionBy(*USER).orderBy(START)))
 
 
 def _gaps(local: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -96,7 +97,7 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
         F.max(F.when(local_start, F.col("_rn"))).alias("_last_start_rn"),
     )
     s = bounds.join(inner, [CHUNK, *USER])
-    wu = Window.partitionBy(*USER).orderBy(CHUNK)
+    wu = Window.partitionBy(*USER).orderBy(START)
     first_start = F.col("_prev_last_ts").isNull() | (F.col("_first_ts") - F.col("_prev_last_ts") > T)
     s = s.withColumn("_first_start", first_start)
     s = s.withColumn("_grp_starts", F.col("_starts") + F.col("_first_start").cast("long"))
@@ -109,7 +110,7 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
     s = s.withColumn("_block", F.sum((F.col("_grp_starts") > 0).cast("long")).over(
         wu.rowsBetween(Window.unboundedPreceding, 0)))
     s = s.withColumn("_open", F.sum(tail).over(
-        Window.partitionBy(*USER, "_block").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)))
+        Window.partitionBy(*USER, "_block").orderBy(START).rowsBetween(Window.unboundedPreceding, 0)))
     s = s.select(CHUNK, *USER, "_prev_last_ts", "_first_start", "_carry_sid",
                  F.lag("_open").over(wu).alias("_carry_pos"))
 

@@ -20,7 +20,6 @@ from pathcredit.operators import chains as C
 from pathcredit.operators import models as M
 from pathcredit.operators import views as V
 from pathcredit.operators.prepare import prepare_visits
-from pathcredit.operators.scan import layout
 from pathcredit.operators.sessions import sessionize
 from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionaries, sized_for_broadcast
 from pathcredit.sources.visits import raw_visits
@@ -44,12 +43,19 @@ class AttributionRun:
         return prepare_visits(self.raw, self.counter_id, self.goal_ids)
 
     @cached_property
-    def sessions(self) -> DataFrame:
-        return materialize(sessionize(self.prepared, self.timeout, self.n_chunks), layout(), self.n_chunks)
+    def _sessionized(self) -> DataFrame:
+        """Sessionize plan (writes the chunk table and learns the timeout when not given)."""
+        return sessionize(self.prepared, self.timeout, self.n_chunks)
 
     @cached_property
     def touches(self) -> DataFrame:
-        return M.touch_table(self.sessions, n_buckets=self.n_chunks)
+        """Sessions plus running quantities, built in the chunk layout and written once."""
+        return M.touch_table(self._sessionized, n_buckets=self.n_chunks)
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        """Sessionized visits: the session columns of the written touch table (same layout)."""
+        return self.touches.select(*self._sessionized.columns)
 
     @cached_property
     def day_totals(self) -> DataFrame:
