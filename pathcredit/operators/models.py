@@ -155,16 +155,21 @@ def endpoint_models(t: DataFrame, assists: DataFrame | None = None) -> DataFrame
             .fillna(0.0, ["assisted_conversions", "assisted_revenue"]))
 
 
-def linear(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
-    """Each touch earns value / chain length from every chain that contains it."""
-    st = session_day_totals(t) if st is None else st
-    groups = t.groupBy(*SESSION, "chain_date", "source_code").agg(
+def _linear_groups(t: DataFrame) -> DataFrame:
+    """Per (session, day, source): touches ``m`` and same-day corrections ``e*`` (shares of
+    chains on the touch's own day that end before it)."""
+    return t.groupBy(*SESSION, "chain_date", "source_code").agg(
         F.count("*").cast("double").alias("m"),
         F.sum(F.col("cum_a1") - 1.0 / F.col("pos")).alias("e1"),
         F.sum(F.col("cum_ac") - F.col("c") / F.col("pos")).alias("ec"),
         F.sum(F.col("cum_ar") - F.col("r") / F.col("pos")).alias("er"),
     )
-    x = _spread(groups, st.select(*SESSION, "chain_date", "tot_a1", "tot_ac", "tot_ar"))
+
+
+def linear(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
+    """Each touch earns value / chain length from every chain that contains it."""
+    st = session_day_totals(t) if st is None else st
+    x = _spread(_linear_groups(t), st.select(*SESSION, "chain_date", "tot_a1", "tot_ac", "tot_ar"))
     same = F.col("end_date") == F.col("chain_date")
 
     def credit(tot: str, excl: str) -> Column:
@@ -174,9 +179,14 @@ def linear(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
                    credit("tot_ar", "er"), date="end_date")
 
 
-def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
-               st: DataFrame | None = None) -> DataFrame:
-    """Weights ``2^(-Δdays/half_life)`` to the chain's endpoint, normalised per chain.
+def _factor(earlier: str, later: str, half_life: float) -> Column:
+    """``2^((mid(earlier) - mid(later)) / H)``: moves a day's weights to a later day's midnight."""
+    return F.pow(F.lit(2.0), (_midnight(earlier) - _midnight(later)) / F.lit(float(half_life) * 86400.0))
+
+
+def _decay_groups(t: DataFrame, half_life: float, st: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Time-decay inputs to the spread: per (session, day, source) weight sums ``mz`` and
+    same-day corrections ``mzq_*``, and per (session, day) normalised chain values ``tot_q*``.
 
     With weights relative to midnight of the endpoint's day D, chain *i* has
     ``E_i = P(D) + running z`` where ``P(D)`` carries the earlier days of the
@@ -184,7 +194,6 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     """
     if half_life <= 0:
         raise ValueError(f"half_life must be positive, got {half_life}")
-    H = float(half_life) * 86400.0
     reuse = "cum_z" in t.columns and t.schema["cum_z"].metadata.get("half_life") == float(half_life)
     if not reuse:
         t = t.drop("z", "cum_z").withColumn("z", _decay_weight(half_life))
@@ -194,14 +203,11 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     else:
         z_days = t.groupBy(*SESSION, "chain_date").agg(F.sum("z").alias("tot_z"))
 
-    def factor(earlier: str, later: str) -> Column:
-        return F.pow(F.lit(2.0), (_midnight(earlier) - _midnight(later)) / F.lit(H))
-
     prior = (z_days.withColumnRenamed("chain_date", "_d0")
              .join(z_days.select(*SESSION, F.col("chain_date")), SESSION)
              .where(F.col("_d0") < F.col("chain_date"))
              .groupBy(*SESSION, "chain_date")
-             .agg(F.sum(F.col("tot_z") * factor("_d0", "chain_date")).alias("_prior")))
+             .agg(F.sum(F.col("tot_z") * _factor("_d0", "chain_date", half_life)).alias("_prior")))
     keyed = t.select(CHUNK, *SESSION, "chain_date").distinct().join(prior, [*SESSION, "chain_date"])
     q = t.join(keyed, [CHUNK, *SESSION, "chain_date"], "left")
     E = F.coalesce(F.col("_prior"), F.lit(0.0)) + F.col("cum_z")
@@ -214,9 +220,16 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
         F.sum("z").alias("mz"),
         *[F.sum(F.col("z") * (F.col(f"cum_{m}") - F.col(m))).alias(f"mzq_{m}") for m in ("q1", "qc", "qr")],
     )
+    return groups, qt
+
+
+def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
+               st: DataFrame | None = None) -> DataFrame:
+    """Weights ``2^(-Δdays/half_life)`` to the chain's endpoint, normalised per chain."""
+    groups, qt = _decay_groups(t, half_life, st)
     x = _spread(groups, qt)
     same = F.col("end_date") == F.col("chain_date")
-    f = factor("chain_date", "end_date")
+    f = _factor("chain_date", "end_date", half_life)
 
     def credit(m: str) -> Column:
         return F.when(same, F.col("mz") * F.col(f"tot_{m}") - F.col(f"mzq_{m}")) \
@@ -225,14 +238,18 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     return _result(x, "time_decay", "source_code", credit("q1"), credit("qc"), credit("qr"), date="end_date")
 
 
+def _first_occurrences(t: DataFrame) -> DataFrame:
+    """Per (session, source): day and running chain totals at the source's first touch."""
+    first = t.groupBy(*SESSION, "source_code").agg(
+        F.min_by(F.struct("chain_date", "cum_c", "cum_r", "cum_k"), F.col("pos")).alias("f"))
+    return first.select(*SESSION, "source_code", "f.*")
+
+
 def assisted(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
     """Per (goal, day, source): conversions and revenue of converting chains in which
     the source appears before the last position (once per chain)."""
     st = session_day_totals(t) if st is None else st
-    first = t.groupBy(*SESSION, "source_code").agg(
-        F.min_by(F.struct("chain_date", "cum_c", "cum_r", "cum_k"), F.col("pos")).alias("f"))
-    first = first.select(*SESSION, "source_code", "f.*")
-    x = _spread(first, st.select(*SESSION, "chain_date", "tot_c", "tot_r", "tot_k"))
+    x = _spread(_first_occurrences(t), st.select(*SESSION, "chain_date", "tot_c", "tot_r", "tot_k"))
     same = F.col("end_date") == F.col("chain_date")
 
     def after(tot: str, cum: str) -> Column:
@@ -276,16 +293,65 @@ def transitions(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
 
 def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
                     calculated_at: Column | None = None) -> DataFrame:
-    """All five models in one result table (assisted totals only on last-touch rows)."""
+    """All five models in one result table (assisted totals only on last-touch rows).
+
+    Same numbers as the five model functions and :func:`last_touch_with_assists`,
+    with fewer passes: linear, time decay and assisted share one spread join to
+    later days (their group rows tagged with the model, the day totals of all
+    three in one table), and every output row — endpoint models straight from
+    the touch table, spread rows, assists tagged as last touch — meets in one
+    final aggregation. Assists on a (day, source) without a last-touch row are
+    dropped there, as in the reference's left join.
+    """
     st = session_day_totals(t)
-    zero = [F.lit(0.0).alias("assisted_conversions"), F.lit(0.0).alias("assisted_revenue")]
-    parts = [
-        endpoint_models(t, assisted(t, st)).select(*RESULT, "assisted_conversions", "assisted_revenue"),
-        linear(t, st).select(*RESULT, *zero),
-        time_decay(t, half_life, st).select(*RESULT, *zero),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    dec_groups, qt = _decay_groups(t, half_life, st)
+    keys = [*SESSION, "chain_date", "source_code"]
+    groups = (
+        _linear_groups(t).select(*keys, F.lit("linear").alias("_model"), F.col("m").alias("_w"),
+                                 F.col("e1").alias("_e1"), F.col("ec").alias("_e2"), F.col("er").alias("_e3"))
+        .unionByName(dec_groups.select(*keys, F.lit("time_decay").alias("_model"), F.col("mz").alias("_w"),
+                                       F.col("mzq_q1").alias("_e1"), F.col("mzq_qc").alias("_e2"),
+                                       F.col("mzq_qr").alias("_e3")))
+        .unionByName(_first_occurrences(t).select(*keys, F.lit("last_touch").alias("_model"),
+                                                  F.lit(1.0).alias("_w"), F.col("cum_c").alias("_e1"),
+                                                  F.col("cum_r").alias("_e2"),
+                                                  F.col("cum_k").cast("double").alias("_e3")))
+    )
+    totals = st.join(qt, [*SESSION, "chain_date"])
+    x = _spread(groups, totals)
+    same = F.col("end_date") == F.col("chain_date")
+    is_lin, is_dec = F.col("_model") == "linear", F.col("_model") == "time_decay"
+    f = F.when(is_dec, _factor("chain_date", "end_date", half_life)).otherwise(F.lit(1.0))
+
+    def value(i: int, lin: str, dec: str, ast: str) -> Column:
+        tot = F.when(is_lin, F.col(lin)).when(is_dec, F.col(dec)).otherwise(F.col(ast).cast("double"))
+        return F.col("_w") * f * tot - F.when(same, F.col(f"_e{i}")).otherwise(F.lit(0.0))
+
+    v1, v2 = value(1, "tot_a1", "tot_q1", "tot_c"), value(2, "tot_ac", "tot_qc", "tot_r")
+    v3 = value(3, "tot_ar", "tot_qr", "tot_k")
+    is_assist = F.col("_model") == "last_touch"
+    zero = F.lit(0.0)
+    spread_rows = x.select(
+        "goal_id", "_model", F.col("end_date").alias("_date"), F.col("source_code").alias("_src"),
+        F.when(is_assist, zero).otherwise(v1).alias("_n"), F.when(is_assist, zero).otherwise(v2).alias("_c"),
+        F.when(is_assist, zero).otherwise(v3).alias("_r"), F.when(is_assist, v1).otherwise(zero).alias("_ac"),
+        F.when(is_assist, v2).otherwise(zero).alias("_ar"), F.when(is_assist, 0).otherwise(1).alias("_keep"))
+
+    picks = F.array(*[F.struct(F.lit(model).alias("_model"), src.alias("_src")) for model, src in (
+        ("first_touch", F.col("first_source")),
+        ("last_touch", F.col("source_code")),
+        ("last_significant", F.coalesce(F.col("last_sig_source"), F.col("source_code"))),
+    )])
+    endpoint_rows = t.select("goal_id", F.col("chain_date").alias("_date"), F.lit(1.0).alias("_n"),
+                             F.col("c").alias("_c"), F.col("r").alias("_r"), zero.alias("_ac"), zero.alias("_ar"),
+                             F.lit(1).alias("_keep"), F.inline(picks))
+
+    out = (endpoint_rows.unionByName(spread_rows)
+           .groupBy("goal_id", F.col("_model").alias("attribution_type"), F.col("_date").alias("start_date"),
+                    F.col("_src").alias("source_code"))
+           .agg(F.sum("_n").alias("visits"), F.sum("_c").alias("conversions"), F.sum("_r").alias("revenue"),
+                F.sum("_ac").alias("assisted_conversions"), F.sum("_ar").alias("assisted_revenue"),
+                F.max("_keep").alias("_keep"))
+           .where(F.col("_keep") == 1).drop("_keep"))
     stamp = calculated_at if calculated_at is not None else F.current_timestamp()
-    return out.withColumn("calculated_at", stamp)
+    return out.select(*RESULT, "assisted_conversions", "assisted_revenue").withColumn("calculated_at", stamp)

@@ -141,3 +141,23 @@ def test_models_match_explicit_chains(spark, n_chunks):
     got = {(r.start_date, r.source_code): round(r.conversions, 9) for r in M.linear(t).collect()}
     exp = {(r.d, r.source_code): round(r.conversions, 9) for r in lin.collect()}
     assert got == exp
+
+
+def test_fused_job_equals_the_model_functions(spark):
+    """attribution_all (one spread join, one final aggregation) against each model on its own."""
+    p = prepare_visits(raw_visits(spark, SF), 1, 99)
+    t = M.touch_table(sessionize(p))
+    cols = ["attribution_type", "start_date", "source_code", "visits", "conversions", "revenue",
+            "assisted_conversions", "assisted_revenue"]
+    zero = [F.lit(0.0).alias("assisted_conversions"), F.lit(0.0).alias("assisted_revenue")]
+    parts = [M.last_touch_with_assists(t).select(*cols)] + [
+        f(t).select(*cols[:6], *zero) for f in (M.first_touch, M.last_significant, M.linear, M.time_decay)]
+    expected = parts[0]
+    for part in parts[1:]:
+        expected = expected.unionByName(part)
+
+    def rows(df):
+        return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                      for r in df.select(*cols).collect())
+
+    assert rows(M.attribution_all(t)) == rows(expected)
