@@ -81,16 +81,24 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     """Add running aggregates within contiguous segments of each user's ordered rows.
 
     Each spec is ``(name, kind, column, exclusive, segment)``: ``kind`` is
-    ``sum``/``max``/``min``/``list`` (ordered prefix list); ``segment`` lists columns (beyond ``user``) that are
-    constant over contiguous runs of rows (a session, a session-day); exclusive
-    specs aggregate strictly earlier rows. One summary and one join serve all specs.
+    ``sum``/``max``/``min``/``list`` (ordered prefix list); ``segment`` lists columns (beyond ``user``) whose
+    values never decrease along the order, so each value is one contiguous run
+    of rows (a session number, a session-day); exclusive specs aggregate
+    strictly earlier rows. One summary and one join serve all specs.
+
+    When the segments are nested (``[]``, ``[session]``, ``[session, day]``),
+    every window orders by the remaining segment columns before ``order``:
+    the same row order, but one sort order for all windows, so Spark sorts
+    the rows once instead of once per segment.
     """
     segments = sorted({tuple(s[4]) for s in specs})
     sid = {seg: i for i, seg in enumerate(segments)}
+    full = max(segments, key=len)
+    nested = all(full[:len(seg)] == seg for seg in segments)
     last = F.struct(*[F.col(c) for c in order])
     added = []
     for name, kind, col, excl, seg in specs:
-        base = local_window(user, order, seg)
+        base = local_window(user, [*full[len(seg):], *order] if nested else order, seg)
         added.append(_AGG[kind](col).over(
             base.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_li_{name}"))
         if excl:
