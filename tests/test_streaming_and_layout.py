@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF
@@ -55,3 +57,13 @@ def test_touch_table_does_not_reshuffle_visits(spark):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert "Bucketed: true" in plan
     assert exchanges and all("_chunk" not in line for line in exchanges)
+
+
+@pytest.mark.parametrize("n", [1, 3, 8, 16, 200])
+def test_chunk_labels_hash_to_their_own_bucket(spark, n):
+    """Range task p writes its rows with label L(p); bucketBy(n) must put them in bucket p."""
+    from pathcredit.operators.scan import CHUNK, chunk_labels
+    labels = chunk_labels(spark, n)
+    rows = labels.select("_part", F.pmod(F.hash(CHUNK), F.lit(n)).alias("_bucket")).collect()
+    assert sorted(r._part for r in rows) == list(range(n))
+    assert all(r._part == r._bucket for r in rows)
