@@ -1,7 +1,8 @@
 """Quality classifier: averaged subword embeddings with a softmax output, trained by numpy SGD.
 
-A document's features are its words and its character n-grams (code points, case
-kept), hashed into a fixed number of buckets; each bucket has a learned vector, a
+A document's features are its words, a word "same again" for each word equal to
+the one before, and its character n-grams (code points, case kept), hashed into a
+fixed number of buckets; each bucket has a learned vector, a
 document is the mean of its features' vectors, and a softmax over two classes
 reads that mean. Training runs on the driver over a bounded sample: at most
 ``MAX_PER_CLASS`` labelled rows of each class, in the order of a hash of their
@@ -42,6 +43,7 @@ MAX_PER_CLASS = 1500
 MAX_TRAIN_CHARS = 20_000
 THRESHOLD = 0.7
 PIECE = 1 << 18
+SAME = np.uint32(0)  # bucket of "the same word again"
 _M = np.uint32(0x9E3779B1)  # odd multiplier of the rolling hashes
 
 
@@ -64,7 +66,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def piece_features(piece: str) -> Iterator[np.ndarray]:
-    """Bucket numbers of a piece: one array for its words, one for each n-gram length."""
+    """Bucket numbers of a piece: arrays for its words, for repeats of the word before, for each n-gram length."""
     codes = np.frombuffer(f" {piece} ".encode("utf-32-le", "surrogatepass"), np.uint32)
     space = codes <= 32
     starts = np.flatnonzero(~space[1:] & space[:-1]) + 1
@@ -74,7 +76,9 @@ def piece_features(piece: str) -> Iterator[np.ndarray]:
         nearest[starts] = starts
         place -= np.maximum.accumulate(nearest)  # position inside the word
         chars = np.where(space, np.uint32(0), (codes + np.uint32(7)) * (place * _M | np.uint32(1)) ^ (codes << np.uint32(9)))
-        yield _mix(np.add.reduceat(chars, starts, dtype=np.uint32) * _M + np.uint32(1))
+        words = _mix(np.add.reduceat(chars, starts, dtype=np.uint32) * _M + np.uint32(1))
+        yield words
+        yield words[1:][words[1:] == words[:-1]] * np.uint32(0) + SAME
     rolled = codes * _M
     for n in range(2, max(GRAMS) + 1):
         rolled = (rolled[:-1] ^ (rolled[:-1] >> np.uint32(16))) * _M + codes[n - 1:]
