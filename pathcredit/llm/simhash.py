@@ -15,9 +15,9 @@ sample) cut the points into shards. By the triangle bound, a point's ball
 reaches only those shards whose shells its distance to the vantage points
 overlaps; it is sent to its home shard and, as a query, to the overlapping ones.
 Each shard goes on dividing its points with vantage points of its own, and
-leaves compare exactly, on all 64 bits. A shard returns a spanning forest of its
-links (at most one link per point in it), and the links' connected components
-come from alternating large-star and small-star rounds in Spark.
+leaves compare exactly, on all 64 bits. A shard returns what its links join, as
+at most one link per point in it, and the links' connected components come from
+rounds of joins in Spark.
 
 Defined results: a null text counts as empty; a text without words has
 fingerprint zero, linked like any other; a null id takes part in linking and
@@ -158,29 +158,30 @@ def reach(points: np.ndarray, tree: list[tuple[np.uint64, int]], depth: int, mas
     return index[keep], shard[keep], home[keep]
 
 
-class Forest:
-    """Union-find over array positions, kept to the links that joined two sets."""
+class Sets:
+    """Union-find over array positions."""
 
     def __init__(self, n: int) -> None:
         self.parent = np.arange(n)
-        self.links: list[tuple[int, int]] = []
 
-    def join(self, x: int, others: np.ndarray) -> None:
-        """Link ``x`` to every one of ``others``."""
-        members = np.append(others, x)
-        roots = self.parent[members]
-        while (up := self.parent[roots]).tolist() != roots.tolist():
+    def roots(self, of: np.ndarray) -> np.ndarray:
+        roots = self.parent[of]
+        while not np.array_equal(up := self.parent[roots], roots):
             roots = up
-        sets, first = np.unique(roots, return_index=True)
-        own = roots[-1]
-        self.links += [(x, int(members[i])) for r, i in zip(sets, first) if r != own]
-        self.parent[sets] = sets[0]
-        self.parent[members] = sets[0]
+        return roots
 
+    def join(self, members: np.ndarray) -> None:
+        roots = np.unique(self.roots(members))
+        self.parent[roots] = roots[0]
+        self.parent[members] = roots[0]
 
-def links_within(fps: np.ndarray, home: np.ndarray, mask: np.uint64, max_bits: int) -> list[tuple[int, int]]:
-    """A spanning forest of all links (<= ``max_bits`` bits) of home points to home points and queries."""
-    forest = Forest(len(fps))
+
+def links_within(fps: np.ndarray, home: np.ndarray, mask: np.uint64, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what the links (<= ``max_bits`` bits) of home points to home points and queries join.
+
+    One link for each linked point but the smallest of its set, to that smallest one.
+    """
+    sets = Sets(len(fps))
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
     every = np.arange(len(fps))
     # (home points, queries, metric, search radius on it); the home points are among the queries.
@@ -188,27 +189,32 @@ def links_within(fps: np.ndarray, home: np.ndarray, mask: np.uint64, max_bits: i
     while todo:
         own, asked, metric, radius, seed = todo.pop()
         if len(own) <= LEAF or len(asked) <= LEAF:
-            _compare(fps, own, asked, max_bits, forest)
+            _compare(fps, own, asked, max_bits, sets)
             continue
         cut = _vantage(fps[own], metric, seed)
         if cut is None and metric != full:  # all equal on this part: go on with whole fingerprints
             todo.append((own, asked, full, max_bits, seed + 1))
             continue
         if cut is None:
-            _compare(fps, own, asked, max_bits, forest)
+            _compare(fps, own, asked, max_bits, sets)
             continue
         v, t = cut
         d_own, d_asked = distance(fps[own], v, metric), distance(fps[asked], v, metric)
         inner, outer = d_asked - radius <= t, d_asked + radius > t
         if metric == full and inner.mean() + outer.mean() > 1.98:  # no branch can be pruned any more
-            _compare(fps, own, asked, max_bits, forest)
+            _compare(fps, own, asked, max_bits, sets)
             continue
         todo.append((own[d_own <= t], asked[inner], metric, radius, seed + 1))
         todo.append((own[d_own > t], asked[outer], metric, radius, seed + 1))
-    return forest.links
+    root = sets.roots(every)
+    smallest = np.full(len(fps), np.iinfo(np.int64).max)
+    signed = fps.view(np.int64)
+    np.minimum.at(smallest, root, signed)
+    linked = smallest[root] != signed
+    return signed[linked], smallest[root][linked]
 
 
-def _compare(fps: np.ndarray, own: np.ndarray, asked: np.ndarray, max_bits: int, forest: Forest) -> None:
+def _compare(fps: np.ndarray, own: np.ndarray, asked: np.ndarray, max_bits: int, sets: Sets) -> None:
     """Exact comparison in blocks of bounded size."""
     if not len(own) or not len(asked):
         return
@@ -218,7 +224,7 @@ def _compare(fps: np.ndarray, own: np.ndarray, asked: np.ndarray, max_bits: int,
         bits = np.bitwise_count(fps[block][:, None] ^ fps[own][None, :])
         near = bits - np.uint8(1) < max_bits  # 0 bits, the point itself, wraps around to 255
         for i in np.flatnonzero(near.any(axis=1)):
-            forest.join(int(block[i]), own[near[i]])
+            sets.join(np.append(own[near[i]], block[i]))
 
 
 def near_links(points: DataFrame, max_bits: int, shard_points: int = SHARD_POINTS) -> DataFrame:
@@ -243,8 +249,7 @@ def near_links(points: DataFrame, max_bits: int, shard_points: int = SHARD_POINT
     def search(key: tuple, table: pa.Table) -> pa.Table:
         mask = masks[key[0].as_py()]
         fps = table.column("fp").to_numpy().view(np.uint64)
-        found = links_within(fps, table.column("home").to_numpy(), mask, max_bits)
-        a, b = (fps[[x[k] for x in found]].view(np.int64) if found else np.zeros(0, np.int64) for k in (0, 1))
+        a, b = links_within(fps, table.column("home").to_numpy(), mask, max_bits)
         return pa.table({"a": a, "b": b})
 
     routed = points.mapInArrow(route, "tree int, shard int, fp long, home boolean")
@@ -253,27 +258,29 @@ def near_links(points: DataFrame, max_bits: int, shard_points: int = SHARD_POINT
 
 # ------------------------------------------------------------------ connected components
 
-def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
-    """(node, root): each linked node's smallest reachable node, by large-star and small-star rounds.
+def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """(node, root): each linked node's smallest reachable node, from links (a, b).
 
-    Every round is two joins keyed by node, whose skewed sides Spark may split;
-    the links of a round are written under the shared checkpoint folder. Rounds
-    end when every link leads from a node to its component's smallest.
+    In each round every node takes the smallest root of its neighbours and
+    itself, then the root of that root. Counts of a hub's links are minima,
+    aggregated before their shuffle, and Spark may split the joins' skewed side.
+    A round's roots are written under the shared checkpoint folder; rounds end
+    when no root changes any more.
     """
-    now = materialize(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct())
+    a, b = F.col("a"), F.col("b")
+    both = materialize(links.select(F.explode(F.array(
+        F.struct(a.alias("u"), b.alias("v")), F.struct(b.alias("u"), a.alias("v")),
+        F.struct(a.alias("u"), a.alias("v")), F.struct(b.alias("u"), b.alias("v")))).alias("e")).select("e.*"))
+    roots = both.groupBy("u").agg(F.min("v").alias("root"))
     before = None
     for _ in range(max_rounds):
-        both = now.union(now.select(F.col("v"), F.col("u")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        down = materialize(down)
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        now = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct())
-        state = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
+        heard = (both.join(roots.select(F.col("u").alias("v"), "root"), "v")
+                 .groupBy("u").agg(F.min("root").alias("root")))
+        roots = materialize(heard.alias("x").join(heard.alias("y"), F.col("x.root") == F.col("y.u"))
+                            .select("x.u", "y.root"))
+        state = roots.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "root")), F.lit(0))).first()
         if before == tuple(state):
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return roots.withColumnRenamed("u", "node")
         before = tuple(state)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
