@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathcredit.config import materialize
 
-__all__ = ["ascii_lower", "crc32_of_id", "fresh", "input_order", "materialize", "whole_text"]
+__all__ = ["all_columns", "ascii_lower", "crc32_of_id", "fresh", "input_order", "materialize", "whole_text"]
 
 
 def fresh(name: str) -> str:
@@ -33,11 +34,17 @@ def crc32_of_id(id_col: Column | str) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
 
 
+def all_columns(df: DataFrame) -> list[Column]:
+    """Every column of ``df``, whatever characters its name has."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def input_order(df: DataFrame) -> list[Column] | None:
-    """Columns that order rows as they lie in the input's files, or None when ``df`` is not a file scan."""
+    """Columns of ``df`` that order its rows as they lie in its files, or None when ``df`` is not a file scan."""
     try:
-        order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
-        df.select(*order).schema  # noqa: B018  analysed here: raises unless it is a Parquet scan
+        scanned = df.metadataColumn("_metadata")  # the file source's own, even beside a column of that name
+        order = [scanned["file_path"], scanned["row_index"]]
+        df.select(*order).schema  # noqa: B018  analysed here
         return order
-    except Exception:  # noqa: BLE001  AnalysisException of either the classic or the connect client
+    except AnalysisException:
         return None

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import fresh, input_order, materialize
+from pathcredit.llm.common import all_columns, fresh, input_order, materialize
 
 OTHER = "(other)"
 BLOCK_ROWS = 16
@@ -160,7 +160,7 @@ def in_mixed_order(docs: DataFrame, targets: dict[str, int] | None = None, id_co
     # The file a row lies in and its number there name it for good; other inputs are written once for that.
     stored = docs if input_order(docs) else materialize(docs)
     row, position = fresh("row"), fresh("position")
-    keyed = stored.select(*docs.columns, F.struct(*input_order(stored)).alias(row))
+    keyed = stored.select(*all_columns(docs), F.struct(*input_order(stored)).alias(row))
     mixed = mix_sources(keyed, targets, id_col, source_col, block_rows, F.col(row))
     placed = mixed.select(F.col("row_key").alias(row), F.col("position").alias(position))
-    return keyed.join(placed, row).repartitionByRange(n, position).sortWithinPartitions(position).select(*docs.columns)
+    return keyed.join(placed, row).repartitionByRange(n, position).sortWithinPartitions(position).select(*all_columns(docs))

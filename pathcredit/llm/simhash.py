@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import fresh, input_order, materialize, whole_text
+from pathcredit.llm.common import all_columns, fresh, input_order, materialize, whole_text
 
 SEED = 42
 HASHES_AT_ONCE = 1 << 16
@@ -307,9 +307,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     stored = docs if input_order(docs) else materialize(docs)
     row = fresh("row")
-    keyed = stored.select(*docs.columns, F.struct(*input_order(stored)).alias(row))
+    keyed = stored.select(*all_columns(docs), F.struct(*input_order(stored)).alias(row))
     ranked = keyed.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
                                    F.col(row).alias("row")).alias("id"), F.col(text_col).alias("text"))
     found = simhash_near_duplicates(ranked, "id", "text", shingle, max_bits)
     extra = materialize(found.where("id <> component_id").select(F.col("id.row").alias(row)))
-    return keyed.join(extra, row, "left_anti").select(*docs.columns)
+    return keyed.join(extra, row, "left_anti").select(*all_columns(docs))
