@@ -6,8 +6,8 @@ after its context of ``ORDER`` characters interpolates the counts of that
 context with those of ever shorter contexts down to the uniform distribution,
 each weighted by how many different characters followed it (Witten-Bell). URLs
 are written in an alphabet of at most 32 symbols, and one that stands before the
-first, so there are at most 33**ORDER * 32 different (context, character) pairs: that proven bound lets the
-table of log ratios be broadcast at any input size.
+first, so there are at most 33**ORDER * 32 different (context, character) pairs:
+that proven bound lets the table of log ratios be broadcast at any input size.
 
 A URL's score is the mean over its characters of ln p(accepted) - ln p(rejected).
 The cut between the two is calibrated on a fifth of the ruled URLs that the
@@ -74,23 +74,27 @@ def grams_of(symbols: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(symbols) + 1), lambda i: F.substring(padded, i, F.lit(ORDER + 1)))
 
 
-def markov_logs(counts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(gram, log_p): ln probability of each wanted gram's last character after the rest, from (gram, n).
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """(gram, ratio): ln p(last character | the rest) of the accepted less that of the rejected.
 
-    All tables here are bounded by the alphabet.
+    ``counts`` has every gram with its numbers in ``allow`` and ``block`` training
+    URLs. All tables here are bounded by the alphabet.
     """
-    p = F.lit(1.0 / SYMBOLS)
-    out = wanted.select("gram")
+    classes = ("allow", "block")
+    p = {c: F.lit(1.0 / SYMBOLS) for c in classes}
+    out = counts.select("gram")
     for k in range(ORDER + 1):
         pair = F.substring("gram", ORDER + 1 - k, k + 1)
-        seen = counts.groupBy(pair.alias(f"g{k}")).agg(F.sum("n").alias(f"n{k}"))
+        seen = counts.groupBy(pair.alias(f"g{k}")).agg(*[F.sum(c).alias(f"{c}_n{k}") for c in classes])
         after = seen.groupBy(F.substring(f"g{k}", 1, k).alias(f"c{k}")).agg(
-            F.sum(f"n{k}").alias(f"all{k}"), F.count("*").alias(f"kinds{k}"))
+            *[F.sum(f"{c}_n{k}").alias(f"{c}_all{k}") for c in classes],
+            *[F.count_if(F.col(f"{c}_n{k}") > 0).alias(f"{c}_kinds{k}") for c in classes])
         out = (out.withColumn(f"g{k}", pair).withColumn(f"c{k}", F.substring("gram", ORDER + 1 - k, k))
-               .join(seen, f"g{k}", "left").join(after, f"c{k}", "left"))
-        n, total, kinds = (F.coalesce(F.col(f"{x}{k}"), F.lit(0)) for x in ("n", "all", "kinds"))
-        p = F.when(total > 0, (n + kinds * p) / (total + kinds)).otherwise(p)
-    return out.select("gram", F.log(p).alias("log_p"))
+               .join(seen, f"g{k}").join(after, f"c{k}"))
+        for c in classes:
+            n, total, kinds = (F.col(f"{c}_{x}{k}") for x in ("n", "all", "kinds"))
+            p[c] = F.when(total > 0, (n + kinds * p[c]) / (total + kinds)).otherwise(p[c])
+    return out.select("gram", (F.log(p["allow"]) - F.log(p["block"])).cast("float").alias("ratio"))
 
 
 def _cut(held: DataFrame) -> float:
@@ -124,10 +128,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         default = "block" if trained["block"] else "allow"
         return rows.select(F.col("id").alias(id_col), "host", "path", "rule",
                            F.coalesce("says", F.lit(default)).alias("verdict"), F.lit(None).cast("double").alias("ratio"))
-    logs = [markov_logs(counted.where(F.col(s) > 0).select("gram", F.col(s).alias("n")), counted)
-            .withColumnRenamed("log_p", s) for s in ("allow", "block")]
-    ratios = materialize(logs[0].join(logs[1], "gram").select(
-        "gram", (F.col("allow") - F.col("block")).cast("float").alias("ratio")))
+    ratios = materialize(log_ratios(counted))
 
     scored = materialize(
         exploded.select("row", "gram").join(F.broadcast(ratios), "gram")  # at most 33**ORDER * 32 rows
