@@ -45,23 +45,24 @@ def lookback_chains(touches: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS) -> Da
     Both ends are inclusive, also for visits in the same second. Converting
     visits are expanded to the day buckets their window covers and equi-joined
     with visits on (visitor, day), then filtered on time: a range join whose
-    work is the chains' own size. Positions come from each visitor's running
+    work is the chains' own size. A chain's key is its converting visit's running
+    index: one visit id may convert on several dates. Positions come from each visitor's running
     visit index (contiguous within a chain), so no per-chain window is needed.
     """
     span = int(days) * 86400
     day = F.floor(F.col("ts") / 86400).cast("long")
     v = touches.select(*USER, "visit_id", "ts", "gidx", "source_code", "user_prev_source", day.alias("_day"))
     conv = touches.where(F.col("c") > 0).select(
-        *USER, F.col("visit_id").alias("conv_visit_id"), F.col("ts").alias("conv_ts"),
+        *USER, F.col("visit_id").alias("conv_visit_id"), F.col("gidx").alias("conv_gidx"), F.col("ts").alias("conv_ts"),
         F.explode(F.sequence(F.floor((F.col("ts") - span) / 86400).cast("long"), day)).alias("_day"))
     pairs = conv.join(v, [*USER, "_day"]).where(
         (F.col("ts") >= F.col("conv_ts") - span) & (F.col("ts") <= F.col("conv_ts")))
-    key = [*USER, "conv_visit_id"]
+    key = [*USER, "conv_visit_id", "conv_gidx"]
     bounds = pairs.groupBy(*key).agg(F.min("gidx").alias("_g0"), F.count("*").alias("chain_length"))
     out = pairs.join(bounds, key)
     return out.select(
         *key, "visit_id", "source_code", "user_prev_source",
         (F.col("gidx") - F.col("_g0") + 1).alias("position"), "chain_length",
         ((F.col("conv_ts") - F.col("ts")) / 86400.0).alias("days_before_conv"),
-        (F.col("visit_id") == F.col("conv_visit_id")).cast("int").alias("is_converting"),
+        (F.col("gidx") == F.col("conv_gidx")).cast("int").alias("is_converting"),
     )

@@ -9,7 +9,7 @@ from pathcredit.constants import DEFAULT_HALF_LIFE_DAYS
 from pathcredit.functions.codes import is_significant
 from pathcredit.operators.scan import USER
 
-CHAIN = [*USER, "conv_visit_id"]
+CHAIN = [*USER, "conv_gidx"]
 
 
 def _credit(df: DataFrame, source: str | Column, value: Column) -> DataFrame:

@@ -7,8 +7,9 @@ aggregate over visits, using running sums within a session-day and totals per
 
 * a chain is a visit *i*; its date, conversions and revenue are visit *i*'s;
 * touch *j* belongs to every chain *i ≥ j* of its session, so what a touch
-  earns is a suffix sum: the rest of its own day (total minus running sum) plus
-  whole totals of later days, joined from the small (session, day) table.
+  earns is a suffix sum: the rest of its own day (summed from the day's end, never
+  a difference, so credit of nothing is exactly 0) plus whole totals of later
+  days, joined from the small (session, day) table.
 
 Output grain of every model: (goal_id, start_date, source_code) with visits,
 conversions and revenue as doubles.
@@ -70,11 +71,11 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True,
         ("scum_c", "sum", F.col("c"), False, S),
         ("cum_n", "sum", F.lit(1).cast("long"), False, SD),
         ("cum_c", "sum", F.col("c"), False, SD),
-        ("cum_r", "sum", F.col("r"), False, SD),
         ("cum_k", "sum", F.col("k"), False, SD),
-        ("cum_a1", "sum", 1.0 / F.col("pos"), False, SD),
-        ("cum_ac", "sum", F.col("c") / F.col("pos"), False, SD),
-        ("cum_ar", "sum", F.col("r") / F.col("pos"), False, SD),
+        ("rest_r", "rsum", F.col("r"), True, SD),
+        ("suf_a1", "rsum", 1.0 / F.col("pos"), False, SD),
+        ("suf_ac", "rsum", F.col("c") / F.col("pos"), False, SD),
+        ("suf_ar", "rsum", F.col("r") / F.col("pos"), False, SD),
         ("cum_z", "sum", F.col("z"), False, SD),
     ]
     df = running(df, specs)
@@ -131,39 +132,12 @@ def last_significant(t: DataFrame) -> DataFrame:
     return _result(chosen, "last_significant", "_src", F.lit(1), F.col("c"), F.col("r"))
 
 
-def endpoint_models(t: DataFrame, assists: DataFrame | None = None) -> DataFrame:
-    """First touch, last touch and last significant in one aggregation: every chain
-    names its three credited sources, one row each, grouped once.
-
-    With ``assists`` (the output of :func:`assisted`), last-touch rows get the
-    assisted totals of the same (goal, day, source) by a left join, missing → 0.
-    """
-    picks = F.array(*[F.struct(F.lit(model).alias("_model"), src.alias("_src")) for model, src in (
-        ("first_touch", F.col("first_source")),
-        ("last_touch", F.col("source_code")),
-        ("last_significant", F.coalesce(F.col("last_sig_source"), F.col("source_code"))),
-    )])
-    x = t.select("goal_id", "chain_date", "c", "r", F.inline(picks))
-    out = x.groupBy("goal_id", F.col("_model").alias("attribution_type"), F.col("chain_date").alias("start_date"),
-                    F.col("_src").alias("source_code")).agg(
-        F.count("*").cast("double").alias("visits"), F.sum("c").cast("double").alias("conversions"),
-        F.sum("r").cast("double").alias("revenue"))
-    if assists is None:
-        return out
-    a = assists.withColumn("attribution_type", F.lit("last_touch"))
-    return (out.join(a, ["goal_id", "attribution_type", "start_date", "source_code"], "left")
-            .fillna(0.0, ["assisted_conversions", "assisted_revenue"]))
-
-
 def _linear_groups(t: DataFrame) -> DataFrame:
-    """Per (session, day, source): touches ``m`` and same-day corrections ``e*`` (shares of
-    chains on the touch's own day that end before it)."""
+    """Per (session, day, source): touches ``m`` and what they earn on their own day, ``e*``
+    (shares of the day's chains that end at or after the touch)."""
     return t.groupBy(*SESSION, "chain_date", "source_code").agg(
         F.count("*").cast("double").alias("m"),
-        F.sum(F.col("cum_a1") - 1.0 / F.col("pos")).alias("e1"),
-        F.sum(F.col("cum_ac") - F.col("c") / F.col("pos")).alias("ec"),
-        F.sum(F.col("cum_ar") - F.col("r") / F.col("pos")).alias("er"),
-    )
+        F.sum("suf_a1").alias("e1"), F.sum("suf_ac").alias("ec"), F.sum("suf_ar").alias("er"))
 
 
 def linear(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
@@ -172,8 +146,8 @@ def linear(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
     x = _spread(_linear_groups(t), st.select(*SESSION, "chain_date", "tot_a1", "tot_ac", "tot_ar"))
     same = F.col("end_date") == F.col("chain_date")
 
-    def credit(tot: str, excl: str) -> Column:
-        return F.col("m") * F.col(tot) - F.when(same, F.col(excl)).otherwise(F.lit(0.0))
+    def credit(tot: str, own_day: str) -> Column:
+        return F.when(same, F.col(own_day)).otherwise(F.col("m") * F.col(tot))
 
     return _result(x, "linear", "source_code", credit("tot_a1", "e1"), credit("tot_ac", "ec"),
                    credit("tot_ar", "er"), date="end_date")
@@ -186,7 +160,7 @@ def _factor(earlier: str, later: str, half_life: float) -> Column:
 
 def _decay_groups(t: DataFrame, half_life: float, st: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Time-decay inputs to the spread: per (session, day, source) weight sums ``mz`` and
-    same-day corrections ``mzq_*``, and per (session, day) normalised chain values ``tot_q*``.
+    what they earn on their own day, ``mzq_*``, and per (session, day) normalised chain values ``tot_q*``.
 
     With weights relative to midnight of the endpoint's day D, chain *i* has
     ``E_i = P(D) + running z`` where ``P(D)`` carries the earlier days of the
@@ -212,13 +186,13 @@ def _decay_groups(t: DataFrame, half_life: float, st: DataFrame | None = None) -
     q = t.join(keyed, [CHUNK, *SESSION, "chain_date"], "left")
     E = F.coalesce(F.col("_prior"), F.lit(0.0)) + F.col("cum_z")
     q = q.withColumn("q1", 1.0 / E).withColumn("qc", F.col("c") / E).withColumn("qr", F.col("r") / E)
-    q = running(q, [(f"cum_{m}", "sum", F.col(m), False, SD) for m in ("q1", "qc", "qr")])
+    q = running(q, [(f"suf_{m}", "rsum", F.col(m), False, SD) for m in ("q1", "qc", "qr")])
 
     qt = q.groupBy(*SESSION, "chain_date").agg(
         F.sum("q1").alias("tot_q1"), F.sum("qc").alias("tot_qc"), F.sum("qr").alias("tot_qr"))
     groups = q.groupBy(*SESSION, "chain_date", "source_code").agg(
         F.sum("z").alias("mz"),
-        *[F.sum(F.col("z") * (F.col(f"cum_{m}") - F.col(m))).alias(f"mzq_{m}") for m in ("q1", "qc", "qr")],
+        *[F.sum(F.col("z") * F.col(f"suf_{m}")).alias(f"mzq_{m}") for m in ("q1", "qc", "qr")],
     )
     return groups, qt
 
@@ -232,17 +206,20 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     f = _factor("chain_date", "end_date", half_life)
 
     def credit(m: str) -> Column:
-        return F.when(same, F.col("mz") * F.col(f"tot_{m}") - F.col(f"mzq_{m}")) \
-            .otherwise(F.col("mz") * f * F.col(f"tot_{m}"))
+        return F.when(same, F.col(f"mzq_{m}")).otherwise(F.col("mz") * f * F.col(f"tot_{m}"))
 
     return _result(x, "time_decay", "source_code", credit("q1"), credit("qc"), credit("qr"), date="end_date")
 
 
 def _first_occurrences(t: DataFrame) -> DataFrame:
-    """Per (session, source): day and running chain totals at the source's first touch."""
-    first = t.groupBy(*SESSION, "source_code").agg(
-        F.min_by(F.struct("chain_date", "cum_c", "cum_r", "cum_k"), F.col("pos")).alias("f"))
-    return first.select(*SESSION, "source_code", "f.*")
+    """Per (session, source): the day of the source's first touch, and that day's later chains.
+
+    Conversions and chains are whole numbers, so their differences are exact;
+    revenue is summed from the day's end.
+    """
+    later = t.groupBy(*SESSION, "source_code").agg(
+        F.min_by(F.struct("chain_date", "cum_c", "rest_r", "cum_k"), F.col("pos")).alias("f"))
+    return later.select(*SESSION, "source_code", "f.*")
 
 
 def assisted(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
@@ -255,9 +232,10 @@ def assisted(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
     def after(tot: str, cum: str) -> Column:
         return F.col(tot) - F.when(same, F.col(cum)).otherwise(F.lit(0))
 
+    revenue = F.when(same, F.col("rest_r")).otherwise(F.col("tot_r"))
     return (x.groupBy("goal_id", F.col("end_date").alias("start_date"), "source_code")
             .agg(F.sum(after("tot_c", "cum_c")).cast("double").alias("assisted_conversions"),
-                 F.sum(after("tot_r", "cum_r")).cast("double").alias("assisted_revenue"),
+                 F.sum(revenue).cast("double").alias("assisted_revenue"),
                  F.sum(after("tot_k", "cum_k")).alias("_chains"))
             .where(F.col("_chains") > 0).drop("_chains"))
 
@@ -314,28 +292,29 @@ def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
                                        F.col("mzq_qr").alias("_e3")))
         .unionByName(_first_occurrences(t).select(*keys, F.lit("last_touch").alias("_model"),
                                                   F.lit(1.0).alias("_w"), F.col("cum_c").alias("_e1"),
-                                                  F.col("cum_r").alias("_e2"),
+                                                  F.col("rest_r").alias("_e2"),
                                                   F.col("cum_k").cast("double").alias("_e3")))
     )
     totals = st.join(qt, [*SESSION, "chain_date"])
     x = _spread(groups, totals)
     same = F.col("end_date") == F.col("chain_date")
-    is_lin, is_dec = F.col("_model") == "linear", F.col("_model") == "time_decay"
+    is_lin, is_dec, is_ast = (F.col("_model") == m for m in ("linear", "time_decay", "last_touch"))
     f = F.when(is_dec, _factor("chain_date", "end_date", half_life)).otherwise(F.lit(1.0))
 
     def value(i: int, lin: str, dec: str, ast: str) -> Column:
         tot = F.when(is_lin, F.col(lin)).when(is_dec, F.col(dec)).otherwise(F.col(ast).cast("double"))
-        return F.col("_w") * f * tot - F.when(same, F.col(f"_e{i}")).otherwise(F.lit(0.0))
+        # On the touch's own day: what it earned there; for assists' counts the day's total less those before.
+        own = F.when(is_ast, tot - F.col(f"_e{i}")).otherwise(F.col(f"_e{i}")) if i != 2 else F.col("_e2")
+        return F.when(same, own).otherwise(F.col("_w") * f * tot)
 
     v1, v2 = value(1, "tot_a1", "tot_q1", "tot_c"), value(2, "tot_ac", "tot_qc", "tot_r")
     v3 = value(3, "tot_ar", "tot_qr", "tot_k")
-    is_assist = F.col("_model") == "last_touch"
     zero = F.lit(0.0)
     spread_rows = x.select(
         "goal_id", "_model", F.col("end_date").alias("_date"), F.col("source_code").alias("_src"),
-        F.when(is_assist, zero).otherwise(v1).alias("_n"), F.when(is_assist, zero).otherwise(v2).alias("_c"),
-        F.when(is_assist, zero).otherwise(v3).alias("_r"), F.when(is_assist, v1).otherwise(zero).alias("_ac"),
-        F.when(is_assist, v2).otherwise(zero).alias("_ar"), F.when(is_assist, 0).otherwise(1).alias("_keep"))
+        F.when(is_ast, zero).otherwise(v1).alias("_n"), F.when(is_ast, zero).otherwise(v2).alias("_c"),
+        F.when(is_ast, zero).otherwise(v3).alias("_r"), F.when(is_ast, v1).otherwise(zero).alias("_ac"),
+        F.when(is_ast, v2).otherwise(zero).alias("_ar"), F.when(is_ast, 0).otherwise(1).alias("_keep"))
 
     picks = F.array(*[F.struct(F.lit(model).alias("_model"), src.alias("_src")) for model, src in (
         ("first_touch", F.col("first_source")),

@@ -24,7 +24,7 @@ START = "_chunk_start"  # first (order) key of a user's rows in a chunk: orders
 USER = ("goal_id", "counter_id", "user_id")
 ORDER = ("ts", "visit_id")
 
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min, "list": F.collect_list}
+_AGG = {"sum": F.sum, "rsum": F.sum, "max": F.max, "min": F.min, "list": F.collect_list}
 
 
 def chunk_rows(df: DataFrame, n_chunks: int | None = None,
@@ -81,7 +81,9 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     """Add running aggregates within contiguous segments of each user's ordered rows.
 
     Each spec is ``(name, kind, column, exclusive, segment)``: ``kind`` is
-    ``sum``/``max``/``min``/``list`` (ordered prefix list); ``segment`` lists columns (beyond ``user``) whose
+    ``sum``/``max``/``min``/``list`` (ordered prefix list) over the rows up to this one, or ``rsum``, the sum
+    over this and all later rows (added up from the end, so a tail of zeros is exactly 0);
+    ``segment`` lists columns (beyond ``user``) whose
     values never decrease along the order, so each value is one contiguous run
     of rows (a session number, a session-day); exclusive specs aggregate
     strictly earlier rows. One summary and one join serve all specs.
@@ -99,10 +101,13 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     added = []
     for name, kind, col, excl, seg in specs:
         base = local_window(user, [*full[len(seg):], *order] if nested else order, seg)
-        added.append(_AGG[kind](col).over(
-            base.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_li_{name}"))
+        backward = kind == "rsum"
+        frame = ((Window.currentRow, Window.unboundedFollowing) if backward
+                 else (Window.unboundedPreceding, Window.currentRow))
+        added.append(_AGG[kind](col).over(base.rowsBetween(*frame)).alias(f"_li_{name}"))
         if excl:
-            added.append(_AGG[kind](col).over(base.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_le_{name}"))
+            frame = (1, Window.unboundedFollowing) if backward else (Window.unboundedPreceding, -1)
+            added.append(_AGG[kind](col).over(base.rowsBetween(*frame)).alias(f"_le_{name}"))
     for seg, i in sid.items():
         key = F.struct(*[F.col(c) for c in seg]) if seg else F.struct(F.lit(0).alias("_"))
         added.append(key.alias(f"_seg{i}"))
@@ -113,14 +118,19 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
         F.min(last).alias(START),
         *[F.min_by(f"_seg{i}", last).alias(f"_fseg{i}") for i in sid.values()],
         *[F.max_by(f"_seg{i}", last).alias(f"_tseg{i}") for i in sid.values()],
-        *[F.max_by(f"_li_{s[0]}", last).alias(f"_t_{s[0]}") for s in specs],
+        # What a chunk hands on: its last row's running value, or its first row's for sums from the end.
+        *[(F.min_by if s[1] == "rsum" else F.max_by)(f"_li_{s[0]}", last).alias(f"_t_{s[0]}") for s in specs],
     ).repartition(*user)
     # Tails of consecutive chunks that end in the same segment accumulate.
     cum = []
     for name, kind, _, _, seg in specs:
         i = sid[tuple(seg)]
         w_tail = Window.partitionBy(*user, f"_tseg{i}").orderBy(START).rowsBetween(Window.unboundedPreceding, 0)
-        if kind == "list":
+        if kind == "rsum":  # heads of consecutive chunks that begin in the same segment
+            w_head = (Window.partitionBy(*user, f"_fseg{i}").orderBy(START)
+                      .rowsBetween(0, Window.unboundedFollowing))
+            cum.append(F.sum(f"_t_{name}").over(w_head).alias(f"_c_{name}"))
+        elif kind == "list":
             cum.append(F.flatten(F.collect_list(f"_t_{name}").over(w_tail)).alias(f"_c_{name}"))
         else:
             cum.append(_AGG[kind](f"_t_{name}").over(w_tail).alias(f"_c_{name}"))
@@ -128,20 +138,25 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
                              *[f"_tseg{i}" for i in sid.values()], *cum)
     w_user = Window.partitionBy(*user).orderBy(START)
     carries = []
-    for name, _, _, _, seg in specs:
+    for name, kind, _, _, seg in specs:
         i = sid[tuple(seg)]
+        if kind == "rsum":
+            goes_on = F.lead(f"_fseg{i}").over(w_user) == F.col(f"_tseg{i}")
+            carries.append(F.when(goes_on, F.lead(f"_c_{name}").over(w_user)).alias(f"_k_{name}"))
+            continue
         continues = F.lag(f"_tseg{i}").over(w_user) == F.col(f"_fseg{i}")
         carries.append(F.when(continues, F.lag(f"_c_{name}").over(w_user)).alias(f"_k_{name}"))
-    summary = summary.select(CHUNK, *user, *[f"_fseg{i}" for i in sid.values()], *carries)
+    summary = summary.select(CHUNK, *user, *[f"_{x}seg{i}" for x in "ft" for i in sid.values()], *carries)
     df = df.join(summary, [CHUNK, *user], "left")
 
-    temp = [f"_seg{i}" for i in sid.values()] + [f"_fseg{i}" for i in sid.values()]
+    temp = [f"_{x}seg{i}" for x in ("", "f", "t") for i in sid.values()]
     values = []
     for name, kind, _, excl, seg in specs:
         i = sid[tuple(seg)]
         local = F.col(f"_le_{name}" if excl else f"_li_{name}")
-        carry = F.when(F.col(f"_seg{i}") == F.col(f"_fseg{i}"), F.col(f"_k_{name}"))
-        if kind == "sum":
+        open_end = f"_tseg{i}" if kind == "rsum" else f"_fseg{i}"
+        carry = F.when(F.col(f"_seg{i}") == F.col(open_end), F.col(f"_k_{name}"))
+        if kind in ("sum", "rsum"):
             value = F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
         elif kind == "list":
             value = F.when(carry.isNull(), local).otherwise(F.concat(carry, local))
