@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pathcredit.config import materialize
 from pathcredit.constants import DEFAULT_TIMEOUT_SECONDS, TIMEOUT_QUANTILE
-from pyspark.sql import Window
-
 from pathcredit.operators.scan import CHUNK, ORDER, START, USER, chunk_rows, local_window
 
 
@@ -38,21 +37,46 @@ def _gaps(local: DataFrame, bounds: DataFrame) -> DataFrame:
     return inner.unionByName(first)
 
 
-def timeout_value(gaps: DataFrame, quantile: float = TIMEOUT_QUANTILE,
-                  default: int = DEFAULT_TIMEOUT_SECONDS, approx_accuracy: int | None = None) -> DataFrame:
-    """One-row DataFrame: integer part of the exact quantile of positive gaps, else ``default``.
+def exact_quantile(values: DataFrame, column: str, quantile: float) -> float | None:
+    """The interpolated quantile of a whole-number column, None without values.
 
-    Gaps are whole seconds, so the exact percentile's buffer holds one count per
-    distinct gap value and aggregates partially on each executor; for histories
-    spanning years, ``approx_accuracy`` switches to a bounded sketch. With several
-    goals the visits repeat per goal, so only the smallest goal's copy counts.
+    Values are counted, the counts range-partitioned by value, and each
+    partition's total placed by a running sum over one row per partition; only
+    the partitions that hold the two wanted ranks are looked into. No task ever
+    holds all distinct values.
+    """
+    counts = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    # Written, so that totals and values see the same sampled range bounds.
+    ranges = materialize(counts.repartitionByRange("v").withColumn("pid", F.spark_partition_id()))
+    totals = ranges.groupBy("pid").agg(F.sum("n").alias("n")).collect()  # one row per partition
+    size = sum(r["n"] for r in totals)
+    if not size:
+        return None
+    rank = quantile * (size - 1)
+    found, before = {}, 0
+    for r in sorted(totals, key=lambda r: r["pid"]):
+        wanted = [k for k in {int(rank), min(int(rank) + 1, size - 1)} if before <= k < before + r["n"]]
+        if wanted:
+            upto = F.sum("n").over(Window.partitionBy("pid").orderBy("v"))
+            inside = ranges.where(F.col("pid") == r["pid"]).withColumn("upto", upto + before)
+            for k in wanted:
+                found[k] = inside.where((F.col("upto") > k) & (F.col("upto") - F.col("n") <= k)).first()["v"]
+        before += r["n"]
+    low, high = found[int(rank)], found[min(int(rank) + 1, size - 1)]
+    return low + (rank - int(rank)) * (high - low)
+
+
+def timeout_value(gaps: DataFrame, quantile: float = TIMEOUT_QUANTILE, default: int = DEFAULT_TIMEOUT_SECONDS,
+                  goal_id: int | None = None) -> int:
+    """Integer part of the exact quantile of positive gaps, else ``default``.
+
+    With several goals the visits repeat per goal, so only one goal's copy
+    counts: ``goal_id``, by default the smallest.
     """
-    one_goal = gaps.where(F.col("goal_id") == gaps.select(F.min("goal_id")).scalar())
-    pct = F.percentile("gap", quantile) if approx_accuracy is None \
-        else F.percentile_approx("gap", quantile, approx_accuracy)
-    p = one_goal.where(F.col("gap") > 0).agg(pct.alias("p"))
-    t = F.floor(F.col("p")).cast("long")
-    return p.select(F.when(t > 0, t).otherwise(F.lit(default)).cast("long").alias("timeout_seconds"))
+    if goal_id is None:
+        goal_id = gaps.agg(F.min("goal_id")).first()[0]
+    p = exact_quantile(gaps.where((F.col("goal_id") == F.lit(goal_id)) & (F.col("gap") > 0)), "gap", quantile)
+    return int(p) if p is not None and int(p) > 0 else default
 
 
 def visit_gaps(prepared: DataFrame, n_chunks: int | None = None) -> DataFrame:
@@ -68,11 +92,12 @@ def visit_gaps(prepared: DataFrame, n_chunks: int | None = None) -> DataFrame:
 def session_timeout(prepared: DataFrame, quantile: float = TIMEOUT_QUANTILE,
                     default: int = DEFAULT_TIMEOUT_SECONDS, n_chunks: int | None = None) -> DataFrame:
     local = _chunked(prepared, n_chunks)
-    return timeout_value(_gaps(local, _chunk_bounds(local)), quantile, default)
+    value = timeout_value(_gaps(local, _chunk_bounds(local)), quantile, default)
+    return prepared.sparkSession.range(1).select(F.lit(value).cast("long").alias("timeout_seconds"))
 
 
 def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunks: int | None = None,
-               quantile: float = TIMEOUT_QUANTILE) -> DataFrame:
+               quantile: float = TIMEOUT_QUANTILE, gaps_of: int | None = None) -> DataFrame:
     """Session id (1-based per visitor) and position of every visit.
 
     A new session starts at a visitor's first visit and after any gap strictly
@@ -86,7 +111,7 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
     if timeout is None:
         # One number, computed once over the chunk-local gaps; every later stage
         # then compares against a literal instead of re-planning a subquery.
-        timeout = F.lit(int(timeout_value(_gaps(local, bounds), quantile).first()[0]))
+        timeout = F.lit(timeout_value(_gaps(local, bounds), quantile, goal_id=gaps_of))
     elif not isinstance(timeout, Column):
         timeout = F.lit(int(timeout))
     T = timeout.cast("long")
@@ -151,19 +176,28 @@ def user_last_close(sessions: DataFrame) -> DataFrame:
 
 
 def event_timeline(sessions: DataFrame) -> DataFrame:
-    """Visits and both marker kinds as one flat timeline ordered by (time, type, visit id).
+    """Visits and both marker kinds as one flat timeline per visitor, with each row's ``position`` in
+    the order (time, type, visit id).
 
     Marker rows have type ``0_NULL`` and sort before a visit (``2_VISIT``) at the
-    same second, as in the marker formulation of sessions.
+    same second, as in the marker formulation of sessions. ``sessions`` is the
+    touch table: a visit stands after ``gidx - 1`` visits and one break for every
+    session before its own, a break right before the visit that starts the next
+    session, and the closing marker last, so no further ordered pass is needed.
     """
-    visits = sessions.select(*USER, F.col("utc_start_time").alias("event_time"),
-                             F.lit("2_VISIT").alias("event_type"), "visit_id", "source_code")
-    marker = [F.lit("0_NULL").alias("event_type"), F.lit(0).cast("long").alias("visit_id"),
-              F.lit("null").alias("source_code")]
-    breaks = session_breaks(sessions).select(*USER, F.col("marker_time").alias("event_time"), *marker)
-    closes = user_last_close(sessions).select(*USER, F.col("marker_time").alias("event_time"), *marker)
-    return visits.unionByName(breaks).unionByName(closes)
+    at = F.col("gidx") + F.col("session_id") - 1
+    id_type = sessions.schema["visit_id"].dataType
 
+    def rows(df: DataFrame, time: Column, position: Column, *what: Column) -> DataFrame:
+        return df.select(*USER, time.alias("event_time"), *what, position.alias("position"))
 
-def session_layout_columns() -> list[str]:
-    return [CHUNK, *USER]
+    marker = [F.lit("0_NULL").alias("event_type"), F.lit(0).cast(id_type).alias("visit_id"),
+              F.lit("null").alias("source_code")]
+    visits = rows(sessions, F.col("utc_start_time"), at, F.lit("2_VISIT").alias("event_type"), F.col("visit_id"),
+                  F.col("source_code"))
+    breaks = rows(sessions.where(F.col("is_start") & F.col("prev_ts").isNotNull()),
+                  F.timestamp_seconds(F.col("prev_ts") + F.col("timeout_seconds")), at - 1, *marker)
+    last = sessions.groupBy(*USER).agg(F.max("ts").alias("ts"), F.max("timeout_seconds").alias("timeout"),
+                                       F.max(at).alias("at"))
+    closes = rows(last, F.timestamp_seconds(F.col("ts") + F.col("timeout")), F.col("at") + 1, *marker)
+    return visits.unionByName(breaks).unionByName(closes)

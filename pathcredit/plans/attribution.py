@@ -21,8 +21,9 @@ from pathcredit.operators import models as M
 from pathcredit.operators import views as V
 from pathcredit.operators.prepare import prepare_visits
 from pathcredit.operators.sessions import sessionize
-from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionaries, sized_for_broadcast
-from pathcredit.sources.visits import raw_visits
+from pathcredit.sources import sinks
+from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionaries
+from pathcredit.sources.visits import raw_visits, scan_visits
 
 
 @dataclass
@@ -45,12 +46,13 @@ class AttributionRun:
     @cached_property
     def _sessionized(self) -> DataFrame:
         """Sessionize plan (writes the chunk table and learns the timeout when not given)."""
-        return sessionize(self.prepared, self.timeout, self.n_chunks)
+        goals = [self.goal_ids] if isinstance(self.goal_ids, int) else list(self.goal_ids)
+        return sessionize(self.prepared, self.timeout, self.n_chunks, gaps_of=min(goals))
 
     @cached_property
     def touches(self) -> DataFrame:
         """Sessions plus running quantities, built in the chunk layout and written once."""
-        return M.touch_table(self._sessionized, n_buckets=self.n_chunks)
+        return M.touch_table(self._sessionized, half_life=self.half_life, n_buckets=self.n_chunks)
 
     @cached_property
     def sessions(self) -> DataFrame:
@@ -73,8 +75,8 @@ class AttributionRun:
 
     @cached_property
     def dictionaries(self) -> DataFrame:
-        """The merged lookups, broadcast after one row count against the bound."""
-        return sized_for_broadcast(load_dictionaries(self.spark, self.dictionary_dir))
+        """The merged lookups; Spark broadcasts them when their bytes are few enough."""
+        return load_dictionaries(self.spark, self.dictionary_dir)
 
     @cached_property
     def named_results(self) -> DataFrame:
@@ -88,6 +90,12 @@ class AttributionRun:
     def assisted_long(self) -> DataFrame:
         return V.v_assisted_long(self.named_results)
 
+    def write(self, out: str) -> None:
+        """The job's outputs under ``out``: prepared visits as a whole, the others per goal."""
+        sinks.write_prepared(self.prepared, f"{out}/{PREPARED}")
+        for name, table in ((COMBINED, self.chains), (RESULTS, self.results), (TRANSITIONS, self.transitions)):
+            sinks.replace_goal(table, f"{out}/{name}")
+
     @cached_property
     def chains(self) -> DataFrame:
         return C.build_chains(self.sessions)
@@ -97,6 +105,24 @@ class AttributionRun:
         return C.lookback_chains(self.touches, self.lookback_days)
 
 
+PREPARED, COMBINED, RESULTS, TRANSITIONS = ("visits_prepared", "visits_combined", "attribution_results",
+                                            "source_transitions")
+
+
+def run_daily(spark: SparkSession, source: str | DataFrame, out: str, counter_id: int, goal_ids: int | Iterable[int],
+              half_life: float = DEFAULT_HALF_LIFE_DAYS) -> AttributionRun:
+    """The daily job: raw deliveries of a counter to the four tables under ``out``.
+
+    Prepared visits are refreshed as a whole; the goals' partitions of the
+    combined visits, results and transitions are replaced, other goals stay.
+    """
+    ensure_utc(spark)
+    goals = goal_ids if isinstance(goal_ids, int) else tuple(goal_ids)
+    run = AttributionRun(spark, scan_visits(spark, source, counter_id), counter_id, goals, half_life)
+    run.write(out)
+    return run
+
+
 _RUNS: dict[tuple, AttributionRun] = {}
 
 

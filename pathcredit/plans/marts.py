@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pathcredit.config import materialize
 from pathcredit.constants import (
     DEFAULT_PERIOD_DAYS, DEFAULT_SELECTOR_MODEL, MIN_STEP_VISITS, TOP_SOURCES, TOP_TRANSITIONS,
 )
@@ -15,11 +16,17 @@ from pathcredit.functions.names import model_name
 from pathcredit.operators.models import SESSION
 
 
-def kpi_touchpoints(touches: DataFrame, goal_id: int | None = None) -> DataFrame:
-    """Converting chains and their average number of touches (a chain's touches = its position)."""
+def kpi_touchpoints(touches: DataFrame, goal_id: int | None = None, start: date | None = None,
+                    end: date | None = None) -> DataFrame:
+    """Converting chains and their average number of touches (a chain's touches = its position),
+    of the chains ending between ``start`` and ``end`` if given."""
     t = touches.where(F.col("c") > 0)
     if goal_id is not None:
         t = t.where(F.col("goal_id") == goal_id)
+    if start is not None:
+        t = t.where(F.col("chain_date") >= F.lit(start))
+    if end is not None:
+        t = t.where(F.col("chain_date") <= F.lit(end))
     return t.agg(F.count("*").alias("converting_chains"), F.avg("pos").alias("avg_touchpoints"))
 
 
@@ -54,13 +61,22 @@ def channel_ratios(named: DataFrame) -> DataFrame:
 
 def top_ranked(df: DataFrame, dims: Sequence[str], among: Sequence[str], measure: str, n: int) -> DataFrame:
     """Aggregate ``measure`` over ``dims``, dense-rank the ``among`` values by it descending
-    within the other dimensions, keep ranks ≤ n."""
+    within the other dimensions, keep ranks ≤ n, largest first.
+
+    Without other dimensions the n largest different totals are found first (partial
+    top-n per task), and ranks given only to the rows that reach them.
+    """
     g = df.groupBy(*dims).agg(F.sum(measure).alias(measure))
     others = [d for d in dims if d not in among]
-    totals = g.groupBy(*others, *among).agg(F.sum(measure).alias("_total"))
-    w = Window.partitionBy(*others).orderBy(F.desc("_total")) if others else Window.orderBy(F.desc("_total"))
-    ranks = totals.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= n).drop("_total")
-    return g.join(ranks, [*others, *among])
+    if others:
+        w = Window.partitionBy(*others).orderBy(F.desc(measure))
+        top = g.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= n)
+    else:
+        g = materialize(g)
+        levels = [r[0] for r in g.select(measure).distinct().orderBy(F.desc(measure)).limit(n).collect()]
+        rank = F.array_position(F.array(*[F.lit(x) for x in levels]), F.col(measure)) if levels else F.lit(0)
+        top = g.withColumn("rank", rank.cast("int")).where(F.col("rank") > 0)
+    return top.orderBy(*others, "rank", *among)
 
 
 def top_sources(named: DataFrame, n: int = TOP_SOURCES) -> DataFrame:
@@ -88,7 +104,8 @@ def model_mix(named: DataFrame, n: int = TOP_SOURCES) -> DataFrame:
     """Share of each top channel within its model (the 100 % stacked chart)."""
     top = top_sources(named, n)
     w = Window.partitionBy("attribution_type")
-    return top.withColumn("share", F.try_divide(F.col("conversions"), F.sum("conversions").over(w)))
+    return top.withColumn("share", F.try_divide(F.col("conversions"), F.sum("conversions").over(w))).orderBy(
+        "attribution_type", F.desc("conversions"), "source_name")
 
 
 def source_time_series(named: DataFrame, model: str = DEFAULT_SELECTOR_MODEL, n: int = TOP_SOURCES) -> DataFrame:
@@ -99,12 +116,14 @@ def source_time_series(named: DataFrame, model: str = DEFAULT_SELECTOR_MODEL, n:
 
 
 def source_by_model(named: DataFrame, n: int = TOP_SOURCES) -> DataFrame:
-    """Top channels × models with display names."""
-    return top_sources(named, n).withColumn("model_name", model_name(F.col("attribution_type")))
+    """Top channels × models with display names, by conversions descending."""
+    return top_sources(named, n).withColumn("model_name", model_name(F.col("attribution_type"))).orderBy(
+        F.desc("conversions"), "attribution_type", "source_name")
 
 
 def direct_vs_assisted(assisted_long: DataFrame, n: int = TOP_SOURCES) -> DataFrame:
-    return top_ranked(assisted_long, ["source_name", "metric_type"], ["source_name"], "value", n)
+    return top_ranked(assisted_long, ["source_name", "metric_type"], ["source_name"], "value", n).orderBy(
+        F.desc("value"), "source_name", "metric_type")
 
 
 def transition_matrix(named_trans: DataFrame, n: int = TOP_TRANSITIONS) -> DataFrame:
@@ -112,7 +131,8 @@ def transition_matrix(named_trans: DataFrame, n: int = TOP_TRANSITIONS) -> DataF
     top = top_transitions(named_trans, n)
     return top.cube("prev_source_name", "next_source_name").agg(
         F.sum("transitions").alias("transitions"),
-        F.grouping_id().alias("total_level"))
+        F.grouping_id().alias("total_level")).orderBy(
+            F.desc("transitions"), "total_level", "prev_source_name", "next_source_name")
 
 
 def source_model_pivot(named: DataFrame, n: int = TOP_SOURCES) -> DataFrame:
@@ -127,7 +147,8 @@ def source_model_pivot(named: DataFrame, n: int = TOP_SOURCES) -> DataFrame:
         F.sum("visits").alias("visits"), F.sum("conversions").alias("conversions"),
         F.sum("revenue").alias("revenue"),
         F.try_divide(F.sum("revenue"), F.sum("conversions")).alias("revenue_per_conversion"),
-        F.grouping_id().alias("total_level"))
+        F.grouping_id().alias("total_level")).orderBy(
+            F.desc("conversions"), "total_level", "source_name", "model_name")
 
 
 def selector_filter(named: DataFrame, as_of: date | None = None, days: int = DEFAULT_PERIOD_DAYS,

@@ -9,7 +9,9 @@ from __future__ import annotations
 import datetime as dt
 import os
 import re
+import uuid
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +24,13 @@ from pathcredit.operators import chains as C
 from pathcredit.operators import lookback as L
 from pathcredit.operators import models as M
 from pathcredit.operators import views as V
-from pathcredit.operators.prepare import collapse, flatten_touch
-from pathcredit.operators.sessions import event_timeline, session_breaks, session_timeout, user_last_close, \
-    visit_gaps
+from pathcredit.operators.prepare import collapse, flatten_touch, prepare_visits
+from pathcredit.operators.sessions import event_timeline, session_breaks, session_timeout, sessionize, \
+    user_last_close, visit_gaps
 from pathcredit.plans import checks as G
 from pathcredit.plans import marts as MT
 from pathcredit.plans import oracle as O
-from pathcredit.plans.attribution import run_for
+from pathcredit.plans.attribution import COMBINED, PREPARED, RESULTS, run_daily, run_for
 from pathcredit.sources import goals as GL
 from pathcredit.sources import sinks
 from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionary
@@ -95,6 +97,11 @@ def _run(spark, sf_dir, **kw):
     return run_for(spark, sf_dir, **kw)
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pathcredit-{name}-{uuid.uuid4().hex}"
+
+
 def _ts(col: str, alias: str):
     return F.unix_seconds(F.col(col)).alias(alias)
 
@@ -138,6 +145,20 @@ def _(spark, sf):
                     goal_hits("goals", 99).alias("conversions"))
 
 
+@query("unsigned_ids", """
+  SELECT CAST(CAST(user_id AS HUGEINT) + 9223372036854775808 AS VARCHAR) AS user_id,
+         CAST(CAST(visit_id AS HUGEINT) + 9223372036854775808 AS VARCHAR) AS visit_id, session_id,
+         CAST(pos AS BIGINT) AS pos FROM vs""")
+def _(spark, sf):
+    """Ids beyond 2**63 - 1, as the export's unsigned numbers may be, from source to sessions."""
+    flat = denormalise_nested(raw_visits(spark, sf))
+    wide = {c: (F.col(c).cast("decimal(20,0)") + F.lit(Decimal(2 ** 63))).cast("decimal(20,0)")
+            for c in ("CounterUserIDHash", "VisitID")}
+    raw = normalise_nested(flat.withColumns(wide))
+    s = sessionize(prepare_visits(raw, 1, 99))
+    return s.select(F.col("user_id").cast("string"), F.col("visit_id").cast("string"), "session_id", "pos")
+
+
 def _dict_query(root: int, filename: str):
     @query(f"dict_load_{filename[:-4]}", f"""
       SELECT CAST(sub_id AS INTEGER) AS id, d.name, COUNT(*) AS visits
@@ -150,7 +171,7 @@ def _dict_query(root: int, filename: str):
         d = d.groupBy("id").agg(F.min("name").alias("name"))
         codes = _run(spark, sf).prepared.where(root_id("source_code") == root).select(
             sub_id("source_code").alias("id"))
-        return codes.join(F.broadcast(d), "id", "left").groupBy("id", "name").agg(F.count("*").alias("visits"))
+        return codes.join(d, "id", "left").groupBy("id", "name").agg(F.count("*").alias("visits"))
 
 
 for _root, _fn in DICTIONARY_FILES.items():
@@ -161,8 +182,7 @@ for _root, _fn in DICTIONARY_FILES.items():
   SELECT * FROM m_all WHERE goal_id = 99
   UNION ALL SELECT * FROM m_all3 WHERE goal_id = 42""", ALL_FLOATS)
 def _(spark, sf):
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/pathcredit-goal-replace-{os.getpid()}-{id(spark)}-" \
-        + dt.datetime.now().strftime("%H%M%S%f")
+    path = _scratch(spark, "goal-replace")
     first = _run(spark, sf, goal_ids=(99, 42)).results.drop("calculated_at")
     sinks.replace_goal(first, path)
     redo = _run(spark, sf, goal_ids=42, half_life=14.0).results.drop("calculated_at")
@@ -294,11 +314,13 @@ def _(spark, sf):
 
 
 @query("event_timeline", """
-  SELECT goal_id, counter_id, user_id, ets AS event_ts, event_type, visit_id, source_code FROM tl""")
+  SELECT goal_id, counter_id, user_id, ets AS event_ts, event_type, visit_id, source_code,
+         ROW_NUMBER() OVER (PARTITION BY goal_id, counter_id, user_id ORDER BY ets, event_type, visit_id) AS position
+  FROM tl""")
 def _(spark, sf):
-    t = event_timeline(_run(spark, sf).sessions)
+    t = event_timeline(_run(spark, sf).touches)
     return t.select("goal_id", "counter_id", "user_id", _ts("event_time", "event_ts"), "event_type", "visit_id",
-                    "source_code")
+                    "source_code", "position")
 
 
 @query("sessionize", "SELECT goal_id, counter_id, user_id, visit_id, ts, session_id, CAST(pos AS BIGINT) AS pos FROM vs")
@@ -351,7 +373,7 @@ def _(spark, sf):
 
 @query("source_transitions", "SELECT * FROM m_tr", ("transitions", "converting_chains"))
 def _(spark, sf):
-    return M.transitions(_run(spark, sf).touches)
+    return _run(spark, sf).transitions.drop("calculated_at")
 
 
 LB = "goal_id, source_code"
@@ -536,15 +558,16 @@ def _(spark, sf):
 # ---------------------------------------------------------------- G. checks
 
 @query("table_counts", """
+  SELECT *, CAST(rows = 0 AS INTEGER) AS empty FROM (
   SELECT 'visits_raw' AS table_name, COUNT(*) AS rows FROM raw
   UNION ALL SELECT 'visits_prepared', COUNT(*) FROM p
-  UNION ALL SELECT 'visits_combined', COUNT(*) FROM vs
-  UNION ALL SELECT 'attribution_results', COUNT(*) FROM m_all""")
+  UNION ALL SELECT 'visits_combined', COUNT(DISTINCT (user_id, chain_id)) FROM cp
+  UNION ALL SELECT 'attribution_results', COUNT(*) FROM m_all)""")
 def _(spark, sf):
-    r = _run(spark, sf)
-    out = G.table_counts(spark, {"visits_raw": raw_visits(spark, sf), "visits_prepared": r.prepared,
-                                 "visits_combined": r.sessions, "attribution_results": r.results})
-    return out.drop("empty")
+    out = _scratch(spark, "daily")
+    run_daily(spark, raw_visits(spark, sf), out, 1, 99)
+    written = {n: spark.read.parquet(f"{out}/{n}") for n in (PREPARED, COMBINED, RESULTS)}
+    return G.table_counts(spark, {"visits_raw": raw_visits(spark, sf), **written})
 
 
 @query("model_summary", """

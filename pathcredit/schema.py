@@ -81,3 +81,6 @@ PARALLEL_SCALARS = {
     "VisitVersion": "visit_version",
     "Sign": "sign",
 }
+
+# Ids that the export delivers as unsigned 64-bit numbers.
+UNSIGNED_IDS = ("user_id", "visit_id")

@@ -11,7 +11,6 @@ from pyspark.sql.utils import AnalysisException
 from pathcredit.constants import DICTIONARY_FILES
 
 BUNDLED_DIR = os.path.join(os.path.dirname(__file__), "dicts")
-BROADCAST_ROW_LIMIT = 100_000
 
 
 def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -61,7 +60,3 @@ def load_dictionaries(spark: SparkSession, directory: str = BUNDLED_DIR) -> Data
     # One id may be listed twice; the first listed name is not defined, keep one deterministically.
     return d.groupBy("root_id", "id").agg(F.min("name").alias("name"))
 
-
-def sized_for_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint only after checking the row count against ``limit``."""
-    return F.broadcast(df) if df.count() <= limit else df

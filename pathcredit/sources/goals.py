@@ -9,24 +9,21 @@ from pyspark.sql import functions as F
 
 from pathcredit.constants import ATTRIBUTION_GOAL_TYPES
 
+_GOAL = "id long, name string, type string, is_retargeting int"
+
 BUNDLED_CATALOGUE = os.path.join(os.path.dirname(__file__), "goals", "catalogue.json")
 
 
 def read_goal_catalogue(spark: SparkSession, path: str = BUNDLED_CATALOGUE) -> DataFrame:
-    """One row per goal of a catalogue document ``{"goals": [...]}``; a document without
-    a ``goals`` array is an error."""
-    doc = spark.read.option("multiLine", "true").json(path)
-    if "goals" not in doc.columns:
+    """One row per goal of a catalogue document ``{"goals": [...]}``, none for an empty
+    array; a document without a ``goals`` array is an error."""
+    doc = spark.read.schema(f"goals array<struct<{_GOAL.replace(' ', ':').replace(',:', ',')}>>").option(
+        "multiLine", "true").json(path)
+    if doc.where(F.col("goals").isNotNull()).isEmpty():
         raise ValueError(f"no 'goals' array in {path}")
-    g = doc.select(F.explode("goals").alias("g")).select("g.*")
-    cols = set(g.columns)
-    return g.select(
-        F.col("id").cast("long").alias("goal_id"),
-        (F.col("name") if "name" in cols else F.lit(None).cast("string")).alias("name"),
-        (F.col("type") if "type" in cols else F.lit(None).cast("string")).alias("type"),
-        F.coalesce(F.col("is_retargeting").cast("int") if "is_retargeting" in cols else F.lit(None).cast("int"),
-                   F.lit(0)).alias("is_retargeting"),
-    )
+    return doc.select(F.explode("goals").alias("g")).select(
+        F.col("g.id").alias("goal_id"), "g.name", "g.type",
+        F.coalesce("g.is_retargeting", F.lit(0)).alias("is_retargeting"))
 
 
 def usable_goals(catalogue: DataFrame, show_all: bool = False) -> DataFrame:
@@ -39,7 +36,7 @@ def usable_goals(catalogue: DataFrame, show_all: bool = False) -> DataFrame:
 def goal_by_name(catalogue: DataFrame, name: str) -> DataFrame:
     """The single goal whose trimmed name equals ``name`` ignoring case; none or several is an error."""
     hit = catalogue.where(F.lower(F.trim(F.col("name"))) == name.strip().lower())
-    ids = [r.goal_id for r in hit.select("goal_id").limit(11).collect()]
+    ids = [r.goal_id for r in hit.select("goal_id").orderBy("goal_id").collect()]
     if not ids:
         raise LookupError(f"no goal named {name!r} (case-insensitive exact match)")
     if len(ids) > 1:

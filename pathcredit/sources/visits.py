@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pathcredit.schema import (
-    PARALLEL_GOALS, PARALLEL_PURCHASES, PARALLEL_SCALARS, PARALLEL_TRAFFIC, RAW_VISITS,
+    PARALLEL_GOALS, PARALLEL_PURCHASES, PARALLEL_SCALARS, PARALLEL_TRAFFIC, RAW_VISITS, UNSIGNED_IDS,
 )
 
 
@@ -121,8 +122,19 @@ def normalise_nested(df: DataFrame) -> DataFrame:
     """Export-style parallel arrays (dotted names) → ``array<struct>`` columns.
 
     Rows whose parallel arrays differ in length are rejected with an error, as
-    the export guarantees equal lengths.
+    the export guarantees equal lengths. Visitor, visit and banner ids are
+    unsigned 64-bit numbers: where the source delivers them as such (Spark reads
+    them as ``decimal(20,0)``), they stay decimals, else they are longs.
     """
+    def id_type(kind: T.DataType) -> T.DataType:
+        while isinstance(kind, T.ArrayType):
+            kind = kind.elementType
+        return T.DecimalType(20, 0) if isinstance(kind, T.DecimalType) else T.LongType()
+
+    banner = id_type(df.schema[PARALLEL_TRAFFIC["click_banner_id"]].dataType)
+    traffic = T.ArrayType(T.StructType([
+        T.StructField(f.name, banner) if f.name == "click_banner_id" else f
+        for f in RAW_VISITS["traffic_source"].dataType.elementType.fields]))
     def zipped(mapping: dict[str, str], struct_type) -> Column:
         arrays = [F.col(f"`{flat}`") for flat in mapping.values()]
         sizes = [F.size(a) for a in arrays]
@@ -133,11 +145,12 @@ def normalise_nested(df: DataFrame) -> DataFrame:
         checked = F.when(same, z).otherwise(F.raise_error(F.lit("parallel arrays differ in length")))
         return checked.cast(struct_type)
 
-    scalars = [F.col(f"`{theirs}`").cast(RAW_VISITS[ours].dataType).alias(ours)
-               for theirs, ours in PARALLEL_SCALARS.items()]
+    scalars = [F.col(f"`{theirs}`").cast(
+        id_type(df.schema[theirs].dataType) if ours in UNSIGNED_IDS else RAW_VISITS[ours].dataType).alias(ours)
+        for theirs, ours in PARALLEL_SCALARS.items()]
     return df.select(
         *scalars,
-        zipped(PARALLEL_TRAFFIC, RAW_VISITS["traffic_source"].dataType).alias("traffic_source"),
+        zipped(PARALLEL_TRAFFIC, traffic).alias("traffic_source"),
         zipped(PARALLEL_GOALS, RAW_VISITS["goals"].dataType).alias("goals"),
         zipped(PARALLEL_PURCHASES, RAW_VISITS["purchases"].dataType).alias("purchases"),
     )
@@ -149,8 +162,13 @@ def with_week(df: DataFrame) -> DataFrame:
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Weekly-partitioned raw store, hash-distributed by visitor, sorted like the source's key."""
+    """Weekly-partitioned raw store, sorted like the source's key inside its files.
+
+    Rows are dealt by ranges that go down to the visit, so a visitor with a large
+    share of a week's visits is spread over several tasks and files. All weeks of
+    ``path`` are replaced when ``mode`` is overwrite.
+    """
     (with_week(df)
-     .repartition("week", "counter_id", "user_id")
-     .sortWithinPartitions("counter_id", "start_date", "user_id", "visit_id")
-     .write.mode(mode).partitionBy("week").parquet(path))
+     .repartitionByRange("week", "counter_id", "user_id", "visit_id")
+     .sortWithinPartitions("week", "counter_id", "start_date", "user_id", "visit_id")
+     .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("week").parquet(path))

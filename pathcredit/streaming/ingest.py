@@ -2,8 +2,9 @@
 
 New snapshot files dropped into a folder are appended to the weekly-partitioned
 raw store. ``trigger(availableNow=True)`` processes whatever has arrived and
-stops, which fits a daily schedule; the checkpoint remembers which files were
-taken, so a rerun after a failure neither skips nor repeats a file.
+stops, which fits a daily schedule. A batch may be delivered again after a
+failure, so each batch overwrites a folder of its own, named by its id: a
+repeated batch replaces itself.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ def ingest_raw(spark: SparkSession, landing_dir: str, raw_path: str, checkpoint:
                available_now: bool = True):
     stream = spark.readStream.schema(RAW_VISITS).parquet(landing_dir)
 
-    def append(batch: DataFrame, _epoch: int) -> None:
-        write_raw(batch, raw_path, mode="append")
+    def land(batch: DataFrame, epoch: int) -> None:
+        write_raw(batch, f"{raw_path}/batch={epoch}", mode="overwrite")
 
-    writer = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 day")
     return writer.start()

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -8,19 +9,22 @@ from pathcredit.operators import chains as C
 from pathcredit.operators import lookback as L
 from pathcredit.operators import models as M
 from pathcredit.operators.prepare import prepare_visits
-from pathcredit.operators.sessions import session_timeout, sessionize
+from pathcredit.operators.sessions import exact_quantile, session_timeout, sessionize
 from pathcredit.sources.visits import raw_visits
 
 
-def _touches(spark, visits, timeout=30 * 86400, n_chunks=None):
+def _touches(spark, visits, timeout=FX.SESSION_GAP, n_chunks=None):
     p = prepare_visits(FX.raw(spark, visits), FX.COUNTER, FX.GOAL)
     return M.touch_table(sessionize(p, timeout=timeout, n_chunks=n_chunks))
 
 
-def _credit(df, col="conversions"):
-    """Credit per channel, channels with no credit left out."""
-    return {r.source_code: round(r[col], 9) for r in
-            df.groupBy("source_code").agg(F.sum(col).alias(col)).collect() if round(r[col], 9) != 0}
+EVERYONE = [v for visits in FX.HISTORIES.values() for v in visits]
+MODELS = {"first_touch": M.first_touch, "last_touch": M.last_touch, "last_significant": M.last_significant,
+          "linear": M.linear, "time_decay": M.time_decay}
+
+
+def _by_day(df, *values):
+    return {(r.start_date, r.source_code): tuple(round(r[v], 8) for v in values) for r in df.collect()}
 
 
 def test_timeout_matches_golden(spark):
@@ -29,7 +33,7 @@ def test_timeout_matches_golden(spark):
 
 
 def test_timeout_falls_back_without_gaps(spark):
-    p = prepare_visits(FX.raw(spark, FX.SCENARIOS["single_touch"]), FX.COUNTER, FX.GOAL)
+    p = prepare_visits(FX.raw(spark, FX.HISTORIES["lone buyer"]), FX.COUNTER, FX.GOAL)
     assert session_timeout(p).first().timeout_seconds == 1800
 
 
@@ -48,83 +52,89 @@ def test_sessions_do_not_depend_on_chunking(spark, n_chunks):
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
 
-def test_single_touch(spark):
-    t = _touches(spark, FX.SCENARIOS["single_touch"])
-    for f in (M.first_touch, M.last_touch, M.last_significant, M.linear, M.time_decay):
-        assert _credit(f(t)) == {"3_1": 1.0}
-    assert M.assisted(t).count() == 0 and M.transitions(t).count() == 0
-
-
-def test_two_touch(spark):
-    t = _touches(spark, FX.SCENARIOS["two_touch"])
-    assert _credit(M.first_touch(t)) == {"2_621": 1.0}
-    assert _credit(M.last_touch(t)) == {"6": 1.0}
-    assert _credit(M.last_touch(t), "visits") == {"2_621": 1.0, "6": 1.0}
-    assert _credit(M.last_significant(t)) == {"2_621": 1.0}
-    lin = _credit(M.linear(t))
-    assert lin == {"2_621": 0.5, "6": 0.5}
-    assert {r.source_code: r.assisted_conversions for r in M.assisted(t).collect()} == {"2_621": 1.0}
-    tr = M.transitions(t).collect()
-    assert [(r.prev_source_code, r.next_source_code, r.transitions, r.converting_chains) for r in tr] == \
-        [("2_621", "6", 1.0, 1.0)]
-
-
-def test_three_touch(spark):
-    t = _touches(spark, FX.SCENARIOS["three_touch"])
-    assert _credit(M.last_significant(t)) == {"3_1": 1.0}
-    assert _credit(M.last_significant(t), "visits") == {"2_621": 1.0, "3_1": 2.0}
-    lin = _credit(M.linear(t))
-    assert lin["6"] == pytest.approx(1 / 3) and lin["3_1"] == pytest.approx(1 / 3)
-    assert {r.source_code for r in M.assisted(t).collect()} == {"2_621", "3_1"}
-    assert M.transitions(t).where(F.col("converting_chains") > 0).count() == 2
-    assert sorted(r.chain_length for r in C.chain_paths(C.build_chains(
-        sessionize(prepare_visits(FX.raw(spark, FX.SCENARIOS["three_touch"]), FX.COUNTER, FX.GOAL),
-                   timeout=30 * 86400))).collect()) == [1, 2, 3]
-
-
-def test_time_decay_favours_recent_touches(spark):
-    t = _touches(spark, FX.SCENARIOS["three_touch"])
-    d = _credit(M.time_decay(t))
-    assert d["6"] > d["3_1"] > d["2_621"]
-    assert sum(d.values()) == pytest.approx(1.0)
-    w = [2 ** (-7 / 7), 2 ** (-3 / 7), 1.0]
-    assert d["2_621"] == pytest.approx(w[0] / sum(w))
+@pytest.mark.parametrize("n_chunks", [1, 4, 16])
+def test_models_match_plain_reckoning(spark, n_chunks):
+    t = _touches(spark, EVERYONE, n_chunks=n_chunks)
+    chains = FX.session_chains(EVERYONE)
+    for name, model in MODELS.items():
+        assert _by_day(model(t), "visits", "conversions", "revenue") == FX.credit(chains, name), name
+    assert _by_day(M.assisted(t), "assisted_conversions", "assisted_revenue") == FX.assists(chains)
+    got = {(r.start_date, r.prev_source_code, r.next_source_code): (r.transitions, r.converting_chains)
+           for r in M.transitions(t).collect()}
+    assert got == FX.steps(chains)
+
+
+@pytest.mark.parametrize("history", list(FX.HISTORIES))
+def test_each_history_conserves_visits_and_conversions(spark, history):
+    visits = FX.HISTORIES[history]
+    out = M.attribution_all(_touches(spark, visits)).groupBy("attribution_type").agg(
+        F.sum("visits").alias("v"), F.sum("conversions").alias("c"), F.sum("revenue").alias("r")).collect()
+    chains = FX.session_chains(visits)
+    assert {r.attribution_type for r in out} == set(MODELS)
+    for r in out:
+        assert (r.v, r.c, r.r) == pytest.approx((len(chains), sum(x[-1]["c"] for x in chains), sum(x[-1]["r"] for x in chains)))
+
+
+@pytest.mark.parametrize("n_chunks", [1, 4, 16])
+def test_channels_after_the_last_conversion_earn_exactly_nothing(spark, n_chunks):
+    """Unrounded: sixty visits of a day, two channels seen only after the last conversion."""
+    visits = [FX.visit(41, i / 5, "3_6" if i % 2 else "2_7", 0.1 * i if i % 3 == 0 else None) for i in range(50)]
+    visits += [FX.visit(41, 10 + i / 7, "7" if i % 2 else "8_4") for i in range(10)]
+    t = _touches(spark, visits, n_chunks=n_chunks)
+    late = M.attribution_all(t).where(F.col("source_code").isin("7", "8_4") & (F.col("conversions") != 0))
+    assert late.count() == 0
+    both = M.linear(t).unionByName(M.time_decay(t)).where(F.col("source_code").isin("7", "8_4"))
+    rows = both.select("conversions", "revenue", F.try_divide("revenue", "conversions").alias("ratio"), "visits").collect()
+    assert len(rows) == 4 and all(tuple(r)[:3] == (0.0, 0.0, None) and r.visits > 0 for r in rows)
+
+
+def test_decay_needs_a_half_life(spark):
     with pytest.raises(ValueError):
-        M.time_decay(t, half_life=0)
-
-
-def test_multi_client_invariants(spark):
-    t = _touches(spark, FX.SCENARIOS["multi_client"])
-    for f in (M.first_touch, M.last_touch, M.last_significant, M.linear, M.time_decay):
-        assert sum(_credit(f(t)).values()) == pytest.approx(3.0)
-    pairs = {(r.prev_source_code, r.next_source_code) for r in
-             M.transitions(t).where(F.col("converting_chains") > 0).collect()}
-    assert pairs == {("8_1", "7"), ("3_1", "6")}
-
-
-def test_all_non_significant_falls_back_to_last_touch(spark):
-    t = _touches(spark, [FX.visit(1, 3, "0"), FX.visit(1, 2, "4"), FX.visit(1, 0, "6", True)])
-    assert _credit(M.last_significant(t)) == {"6": 1.0}
-
-
-def test_duplicate_source_assists_once(spark):
-    t = _touches(spark, [FX.visit(1, 5, "2_621"), FX.visit(1, 3, "2_621"), FX.visit(1, 0, "6", True)])
-    assert {r.source_code: r.assisted_conversions for r in M.assisted(t).collect()} == {"2_621": 1.0}
-
-
-def test_lookback_window_excludes_old_touch(spark):
-    t = _touches(spark, FX.SCENARIOS["lookback"])
-    ch = C.lookback_chains(t, 90)
-    assert {r.source_code for r in ch.collect()} == {"2_621", "6"}
-    assert {r.source_code: r.credit for r in L.lookback_first_touch(ch).collect()} == {"2_621": 1.0}
+        M.time_decay(_touches(spark, FX.HISTORIES["lone buyer"]), half_life=0)
+
+
+@pytest.mark.parametrize("days", [1, 4, 90])
+def test_lookback_models_match_plain_reckoning(spark, days):
+    ch = C.lookback_chains(_touches(spark, EVERYONE), days)
+    chains = FX.lookback_chains(EVERYONE, days)
+    for name, model in (("first_touch", L.lookback_first_touch), ("last_significant", L.lookback_last_significant),
+                        ("linear", L.lookback_linear), ("time_decay", L.lookback_time_decay)):
+        want = {}
+        for chain in chains:
+            for code, x in FX.shares(chain, name).items():
+                want[code] = want.get(code, 0.0) + x
+        assert {r.source_code: r.credit for r in model(ch).collect()} == pytest.approx(want), name
+    assert ch.where("is_converting = 1").count() == len(chains)
+
+
+def test_one_visit_id_converting_on_two_dates_is_two_chains(spark):
+    visits = [FX.visit(51, 0, "2_7"), FX.visit(51, 24, "6", 5.0, visit_id=7), FX.visit(51, 300, "3_6"),
+              FX.visit(51, 700, "8_4", 6.0, visit_id=7)]
+    ch = C.lookback_chains(_touches(spark, visits), 90)
+    assert {(r.conv_gidx, r.chain_length) for r in ch.collect()} == {(2, 2), (4, 4)}
+    assert sorted(r.chain_length for r in ch.where("is_converting = 1").collect()) == [2, 4]
+    assert sum(r.credit for r in L.lookback_last_touch(ch).collect()) == 2.0
+    assert sum(r.credit for r in L.lookback_linear(ch).collect()) == pytest.approx(2.0)
 
 
-def test_repeat_converter_has_two_lookback_chains(spark):
-    t = _touches(spark, FX.SCENARIOS["repeat_converter"])
-    ch = C.lookback_chains(t, 90)
-    assert ch.select("conv_visit_id").distinct().count() == 2
-    assert sum(r.credit for r in L.lookback_linear(ch).collect()) == pytest.approx(2.0)
-    assert sum(r.credit for r in L.lookback_time_decay(ch).collect()) == pytest.approx(2.0)
+def test_a_visitor_with_a_third_of_all_visits(spark):
+    visits = [FX.visit(61, i / 50, ("2_7", "0", "3_6")[i % 3], 1.0 if i % 17 == 0 else None) for i in range(400)]
+    visits += [FX.visit(100 + i, i % 90, "8_4", 2.0 if i % 4 == 0 else None) for i in range(800)]
+    t = _touches(spark, visits, n_chunks=12)
+    assert t.where("user_id = 61").select("_chunk").distinct().count() > 2
+    chains = FX.session_chains(visits)
+    for name in ("linear", "last_significant"):
+        assert _by_day(MODELS[name](t), "visits", "conversions", "revenue") == FX.credit(chains, name)
+    s = sessionize(prepare_visits(FX.raw(spark, visits), FX.COUNTER, FX.GOAL), timeout=FX.SESSION_GAP, n_chunks=12)
+    assert C.chain_paths(C.build_chains(s)).agg(F.sum("chain_length")).first()[0] == sum(map(len, chains))
+
+
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.95, 1.0])
+def test_quantile_is_exact_over_partitions(spark, q):
+    values = [(i * i) % 1013 for i in range(777)] + [5] * 300
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v long").repartition(5)
+    assert exact_quantile(df, "v", q) == pytest.approx(float(np.quantile(values, q)))
+    assert exact_quantile(df.where("v < 0"), "v", q) is None
 
 
 @pytest.mark.parametrize("n_chunks", [1, 5])

@@ -5,8 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
+from pathcredit.plans import checks as G
+from pathcredit.plans.attribution import run_daily
 from pathcredit.plans.registry import ORACLES, QUERIES
 from pathcredit.sources import sinks
+from pathcredit.sources.visits import raw_visits
 
 
 def test_replace_goal_keeps_other_goals(spark, tmp_path):
@@ -19,6 +22,27 @@ def test_replace_goal_keeps_other_goals(spark, tmp_path):
     assert rows == [(1, "x"), (2, "z")]
 
 
+def test_daily_job_replaces_only_its_goals(spark, tmp_path):
+    out, raw = str(tmp_path / "daily"), raw_visits(spark, SF)
+    run_daily(spark, raw, out, 1, (99, 42))
+    tables = ("visits_combined", "attribution_results", "source_transitions")
+
+    def rows(name, goal):
+        df = spark.read.parquet(f"{out}/{name}").where(F.col("goal_id") == goal).drop("calculated_at")
+        return sorted(str(tuple(round(v, 6) if isinstance(v, float) else v for v in r))
+                      for r in df.select(*sorted(df.columns)).collect())
+    before = {(t, g): rows(t, g) for t in tables for g in (99, 42)}
+    assert all(before.values())
+    run_daily(spark, raw.where("visit_id < 700"), out, 1, 42, half_life=2.0)
+    for t in tables:
+        assert rows(t, 99) == before[t, 99]
+        assert rows(t, 42) != before[t, 42]
+    assert spark.read.parquet(f"{out}/visits_prepared").select("goal_id").distinct().count() == 1
+    counts = {r.table_name: r.empty for r in G.table_counts(spark, {
+        "full": raw, "none": raw.where("visit_id < 0")}).collect()}
+    assert counts == {"full": 0, "none": 1}
+
+
 def test_latest_by_picks_newest(spark):
     df = spark.createDataFrame([(1, 1.0, dt.datetime(2024, 1, 1)), (1, 2.0, dt.datetime(2024, 1, 2)),
                                 (2, 5.0, dt.datetime(2024, 1, 1))], "k long, v double, calculated_at timestamp")

@@ -8,7 +8,6 @@ from conftest import SF
 from pathcredit.sources.visits import raw_visits, write_raw
 from pathcredit.streaming.ingest import ingest_raw
 from pathcredit.operators.prepare import prepare_visits
-from pathcredit.operators.sessions import session_timeout
 
 
 def test_write_raw_partitions_by_monday(spark, tmp_path):
@@ -34,13 +33,24 @@ def test_streaming_ingest_takes_each_file_once(spark, tmp_path):
     assert spark.read.parquet(store).count() == raw.count()
 
 
-def test_approximate_timeout_is_close(spark):
-    p = prepare_visits(raw_visits(spark, SF), 1, 99)
-    exact = session_timeout(p).first().timeout_seconds
-    from pathcredit.operators.sessions import _chunk_bounds, _chunked, _gaps, timeout_value
-    local = _chunked(p, None)
-    approx = timeout_value(_gaps(local, _chunk_bounds(local)), approx_accuracy=100000).first().timeout_seconds
-    assert abs(approx - exact) / exact < 0.05
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    raw, store = raw_visits(spark, SF), str(tmp_path / "store")
+    for part in (raw, raw, raw.where("visit_id < 100")):
+        write_raw(part, f"{store}/batch=3", mode="overwrite")
+    write_raw(raw, f"{store}/batch=4", mode="overwrite")
+    assert spark.read.parquet(store).count() == raw.count() + raw.where("visit_id < 100").count()
+
+
+def test_a_heavy_visitors_week_is_spread(spark, tmp_path):
+    raw = raw_visits(spark, SF)
+    bot = raw.where("visit_id % 3 = 0").withColumn("user_id", F.lit(5).cast("long"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the test's partitions are tiny
+    try:
+        write_raw(bot, str(tmp_path / "raw"), mode="overwrite")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(str(tmp_path / "raw")).select(F.input_file_name().alias("f")).distinct().count()
+    assert files > bot.select(F.trunc("start_date", "week")).distinct().count()
 
 
 def test_touch_table_does_not_reshuffle_visits(spark):
