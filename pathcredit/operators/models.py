@@ -8,8 +8,8 @@ aggregate over visits, using running sums within a session-day and totals per
 * a chain is a visit *i*; its date, conversions and revenue are visit *i*'s;
 * touch *j* belongs to every chain *i ≥ j* of its session, so what a touch
   earns is a suffix sum: the rest of its own day (summed from the day's end, never
-  a difference, so credit of nothing is exactly 0) plus whole totals of later
-  days, joined from the small (session, day) table.
+  a difference, so credit of nothing is exactly 0) plus, for each later day, that
+  day's total times the running weight of the session's earlier days.
 
 Output grain of every model: (goal_id, start_date, source_code) with visits,
 conversions and revenue as doubles.
@@ -17,7 +17,7 @@ conversions and revenue as doubles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathcredit.config import materialize
@@ -28,7 +28,6 @@ from pathcredit.operators.scan import CHUNK, USER, layout, running
 SESSION = [*USER, "session_id"]
 S = ["session_id"]
 SD = ["session_id", "chain_date"]
-MEASURES = ("n", "c", "r")
 RESULT = ["goal_id", "attribution_type", "start_date", "source_code", "visits", "conversions", "revenue"]
 
 
@@ -67,11 +66,11 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True,
         ("first", "min", touch, False, S),
         ("ls", "max", F.when(is_significant("source_code"), touch), False, S),
         ("prev", "max", touch, True, S),
-        ("scum_n", "sum", F.lit(1).cast("long"), False, S),
-        ("scum_c", "sum", F.col("c"), False, S),
-        ("cum_n", "sum", F.lit(1).cast("long"), False, SD),
-        ("cum_c", "sum", F.col("c"), False, SD),
-        ("cum_k", "sum", F.col("k"), False, SD),
+        ("ssuf_n", "rsum", F.lit(1).cast("long"), False, S),
+        ("ssuf_c", "rsum", F.col("c"), False, S),
+        ("suf_n", "rsum", F.lit(1).cast("long"), False, SD),
+        ("suf_c", "rsum", F.col("c"), False, SD),
+        ("suf_k", "rsum", F.col("k"), False, SD),
         ("rest_r", "rsum", F.col("r"), True, SD),
         ("suf_a1", "rsum", 1.0 / F.col("pos"), False, SD),
         ("suf_ac", "rsum", F.col("c") / F.col("pos"), False, SD),
@@ -110,10 +109,49 @@ def _result(df: DataFrame, model: str, source: str, n: Column, c: Column, r: Col
              "visits", "conversions", "revenue")
 
 
-def _spread(groups: DataFrame, st: DataFrame) -> DataFrame:
-    """Pair (session, day, ...) groups with their own and every later day of the session."""
-    later = st.withColumnRenamed("chain_date", "end_date")
-    return groups.join(later, SESSION).where(F.col("end_date") >= F.col("chain_date"))
+def _on_session_days(groups: DataFrame, days: DataFrame, dims: list[str], sums: list[str]) -> DataFrame:
+    """``groups`` per (session, dims, day), with a row of zeros for every later day of the session.
+
+    A session of D days with S groups gives at most S·D rows; no day is paired
+    with another. All rows of a (session, dims) meet in one shuffle.
+    """
+    keys = [*SESSION, *dims]
+    starts = groups.groupBy(*keys).agg(F.min("chain_date").alias("_from"))
+    later = (starts.join(days.select(*SESSION, "chain_date"), SESSION).where(F.col("chain_date") > F.col("_from"))
+             .select(*keys, "chain_date", *[F.lit(0.0).alias(c) for c in sums]))
+    both = groups.select(*keys, "chain_date", *[F.col(c).cast("double").alias(c) for c in sums]).unionByName(later)
+    return both.repartition(*keys).groupBy(*keys, "chain_date").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+#: Half-lives in a block of running weights: 2**512 and its square stay far inside the range of doubles.
+_BLOCK = 512.0
+
+
+def _earlier(df: DataFrame, keys: list[str], weight: str, half_lives: Column | None = None) -> DataFrame:
+    """Adds ``_acc``: the sum of ``weight`` over the earlier days of the same ``keys``, each halved once
+    per half-life up to this day. ``half_lives`` (one per day; None: no decay) may be null for rows
+    that do not decay.
+
+    A running sum of ``weight · 2**x`` times ``2**-x``, x the half-lives since the
+    first day, taken in blocks of x so that no power overflows. Two series of
+    blocks overlap by half: a day uses the one in which at least half a block
+    lies before it; what lies further back is below 2**-256.
+    """
+    if half_lives is None:
+        before = Window.partitionBy(*keys).orderBy("chain_date").rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn("_acc", F.coalesce(F.sum(weight).over(before), F.lit(0.0)))
+    x = F.coalesce(F.date_diff("chain_date", F.min("chain_date").over(Window.partitionBy(*keys))) * half_lives, F.lit(0.0))
+    df = df.withColumn("_x", x)
+    for i, shift in ((1, 0.0), (2, _BLOCK / 2)):
+        df = df.withColumn(f"_b{i}", F.floor((F.col("_x") + shift) / _BLOCK))
+        df = df.withColumn(f"_s{i}", F.col("_x") + shift - F.col(f"_b{i}") * _BLOCK)
+    sums = []
+    for i in (1, 2):
+        before = Window.partitionBy(*keys, f"_b{i}").orderBy("chain_date").rowsBetween(Window.unboundedPreceding, -1)
+        moved = F.sum(F.col(weight) * F.pow(F.lit(2.0), f"_s{i}")).over(before)
+        sums.append(F.coalesce(moved, F.lit(0.0)) * F.pow(F.lit(2.0), -F.col(f"_s{i}")))
+    whole = (F.col("_b1") == 0) | (F.col("_s1") >= _BLOCK / 2)
+    return df.withColumn("_acc", F.when(whole, sums[0]).otherwise(sums[1])).drop("_x", "_b1", "_s1", "_b2", "_s2")
 
 
 def last_touch(t: DataFrame) -> DataFrame:
@@ -143,23 +181,22 @@ def _linear_groups(t: DataFrame) -> DataFrame:
 def linear(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
     """Each touch earns value / chain length from every chain that contains it."""
     st = session_day_totals(t) if st is None else st
-    x = _spread(_linear_groups(t), st.select(*SESSION, "chain_date", "tot_a1", "tot_ac", "tot_ar"))
-    same = F.col("end_date") == F.col("chain_date")
+    x = _on_session_days(_linear_groups(t), st, ["source_code"], ["m", "e1", "ec", "er"])
+    x = _earlier(x, [*SESSION, "source_code"], "m").join(
+        st.select(*SESSION, "chain_date", "tot_a1", "tot_ac", "tot_ar"), [*SESSION, "chain_date"])
 
     def credit(tot: str, own_day: str) -> Column:
-        return F.when(same, F.col(own_day)).otherwise(F.col("m") * F.col(tot))
+        return F.col("_acc") * F.col(tot) + F.col(own_day)
 
-    return _result(x, "linear", "source_code", credit("tot_a1", "e1"), credit("tot_ac", "ec"),
-                   credit("tot_ar", "er"), date="end_date")
+    return _result(x, "linear", "source_code", credit("tot_a1", "e1"), credit("tot_ac", "ec"), credit("tot_ar", "er"))
 
 
-def _factor(earlier: str, later: str, half_life: float) -> Column:
-    """``2^((mid(earlier) - mid(later)) / H)``: moves a day's weights to a later day's midnight."""
-    return F.pow(F.lit(2.0), (_midnight(earlier) - _midnight(later)) / F.lit(float(half_life) * 86400.0))
+def _per_day(half_life: float) -> Column:
+    return F.lit(1.0 / float(half_life))
 
 
 def _decay_groups(t: DataFrame, half_life: float, st: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Time-decay inputs to the spread: per (session, day, source) weight sums ``mz`` and
+    """Time-decay inputs: per (session, day, source) weight sums ``mz`` and
     what they earn on their own day, ``mzq_*``, and per (session, day) normalised chain values ``tot_q*``.
 
     With weights relative to midnight of the endpoint's day D, chain *i* has
@@ -177,11 +214,8 @@ def _decay_groups(t: DataFrame, half_life: float, st: DataFrame | None = None) -
     else:
         z_days = t.groupBy(*SESSION, "chain_date").agg(F.sum("z").alias("tot_z"))
 
-    prior = (z_days.withColumnRenamed("chain_date", "_d0")
-             .join(z_days.select(*SESSION, F.col("chain_date")), SESSION)
-             .where(F.col("_d0") < F.col("chain_date"))
-             .groupBy(*SESSION, "chain_date")
-             .agg(F.sum(F.col("tot_z") * _factor("_d0", "chain_date", half_life)).alias("_prior")))
+    prior = _earlier(z_days, list(SESSION), "tot_z", _per_day(half_life)).select(
+        *SESSION, "chain_date", F.col("_acc").alias("_prior"))
     keyed = t.select(CHUNK, *SESSION, "chain_date").distinct().join(prior, [*SESSION, "chain_date"])
     q = t.join(keyed, [CHUNK, *SESSION, "chain_date"], "left")
     E = F.coalesce(F.col("_prior"), F.lit(0.0)) + F.col("cum_z")
@@ -201,42 +235,38 @@ def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
                st: DataFrame | None = None) -> DataFrame:
     """Weights ``2^(-Δdays/half_life)`` to the chain's endpoint, normalised per chain."""
     groups, qt = _decay_groups(t, half_life, st)
-    x = _spread(groups, qt)
-    same = F.col("end_date") == F.col("chain_date")
-    f = _factor("chain_date", "end_date", half_life)
+    x = _on_session_days(groups, qt, ["source_code"], ["mz", "mzq_q1", "mzq_qc", "mzq_qr"])
+    x = _earlier(x, [*SESSION, "source_code"], "mz", _per_day(half_life)).join(qt, [*SESSION, "chain_date"])
 
     def credit(m: str) -> Column:
-        return F.when(same, F.col(f"mzq_{m}")).otherwise(F.col("mz") * f * F.col(f"tot_{m}"))
+        return F.col("_acc") * F.col(f"tot_{m}") + F.col(f"mzq_{m}")
 
-    return _result(x, "time_decay", "source_code", credit("q1"), credit("qc"), credit("qr"), date="end_date")
+    return _result(x, "time_decay", "source_code", credit("q1"), credit("qc"), credit("qr"))
 
 
 def _first_occurrences(t: DataFrame) -> DataFrame:
-    """Per (session, source): the day of the source's first touch, and that day's later chains.
-
-    Conversions and chains are whole numbers, so their differences are exact;
-    revenue is summed from the day's end.
-    """
-    later = t.groupBy(*SESSION, "source_code").agg(
-        F.min_by(F.struct("chain_date", "cum_c", "rest_r", "cum_k"), F.col("pos")).alias("f"))
-    return later.select(*SESSION, "source_code", "f.*")
+    """Per (session, source): the day of the source's first touch (weight 1) and what that day's later
+    chains hold: conversions, revenue, converting chains."""
+    first = t.groupBy(*SESSION, "source_code").agg(F.min_by(F.struct(
+        "chain_date", (F.col("suf_c") - F.col("c")).alias("ac"), F.coalesce("rest_r", F.lit(0.0)).alias("ar"),
+        (F.col("suf_k") - F.col("k")).alias("ak")), F.col("pos")).alias("f"))
+    return first.select(*SESSION, "source_code", "f.*", F.lit(1.0).alias("w"))
 
 
 def assisted(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
     """Per (goal, day, source): conversions and revenue of converting chains in which
     the source appears before the last position (once per chain)."""
     st = session_day_totals(t) if st is None else st
-    x = _spread(_first_occurrences(t), st.select(*SESSION, "chain_date", "tot_c", "tot_r", "tot_k"))
-    same = F.col("end_date") == F.col("chain_date")
+    x = _on_session_days(_first_occurrences(t), st, ["source_code"], ["w", "ac", "ar", "ak"])
+    x = _earlier(x, [*SESSION, "source_code"], "w").join(
+        st.select(*SESSION, "chain_date", "tot_c", "tot_r", "tot_k"), [*SESSION, "chain_date"])
 
-    def after(tot: str, cum: str) -> Column:
-        return F.col(tot) - F.when(same, F.col(cum)).otherwise(F.lit(0))
+    def after(tot: str, own_day: str) -> Column:
+        return F.col("_acc") * F.col(tot) + F.col(own_day)
 
-    revenue = F.when(same, F.col("rest_r")).otherwise(F.col("tot_r"))
-    return (x.groupBy("goal_id", F.col("end_date").alias("start_date"), "source_code")
-            .agg(F.sum(after("tot_c", "cum_c")).cast("double").alias("assisted_conversions"),
-                 F.sum(revenue).cast("double").alias("assisted_revenue"),
-                 F.sum(after("tot_k", "cum_k")).alias("_chains"))
+    return (x.groupBy("goal_id", F.col("chain_date").alias("start_date"), "source_code")
+            .agg(F.sum(after("tot_c", "ac")).alias("assisted_conversions"),
+                 F.sum(after("tot_r", "ar")).alias("assisted_revenue"), F.sum(after("tot_k", "ak")).alias("_chains"))
             .where(F.col("_chains") > 0).drop("_chains"))
 
 
@@ -254,19 +284,16 @@ def last_touch_with_assists(t: DataFrame, st: DataFrame | None = None) -> DataFr
 def transitions(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
     """Consecutive (prev, next) source pairs over all chains: occurrences and Σ chain conversions."""
     st = session_day_totals(t) if st is None else st
-    pairs = t.where(F.col("pos") >= 2).groupBy(*SESSION, "chain_date", "prev_source", "source_code").agg(
-        F.count("*").cast("double").alias("m"),
-        F.sum(F.col("cum_n") - 1).cast("double").alias("en"),
-        F.sum(F.col("cum_c") - F.col("c")).alias("ec"),
-    )
-    x = _spread(pairs, st.select(*SESSION, "chain_date", "tot_n", "tot_c"))
-    same = F.col("end_date") == F.col("chain_date")
-    n = F.col("m") * F.col("tot_n") - F.when(same, F.col("en")).otherwise(F.lit(0.0))
-    c = F.col("m") * F.col("tot_c") - F.when(same, F.col("ec")).otherwise(F.lit(0.0))
-    return x.groupBy("goal_id", F.col("end_date").alias("start_date"),
+    dims = ["prev_source", "source_code"]
+    pairs = t.where(F.col("pos") >= 2).groupBy(*SESSION, "chain_date", *dims).agg(
+        F.count("*").alias("m"), F.sum("suf_n").alias("en"), F.sum("suf_c").alias("ec"))
+    x = _earlier(_on_session_days(pairs, st, dims, ["m", "en", "ec"]), [*SESSION, *dims], "m").join(
+        st.select(*SESSION, "chain_date", "tot_n", "tot_c"), [*SESSION, "chain_date"])
+    return x.groupBy("goal_id", F.col("chain_date").alias("start_date"),
                      F.col("prev_source").alias("prev_source_code"),
                      F.col("source_code").alias("next_source_code")).agg(
-        F.sum(n).cast("double").alias("transitions"), F.sum(c).cast("double").alias("converting_chains"))
+        F.sum(F.col("_acc") * F.col("tot_n") + F.col("en")).alias("transitions"),
+        F.sum(F.col("_acc") * F.col("tot_c") + F.col("ec")).alias("converting_chains"))
 
 
 def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
@@ -274,10 +301,10 @@ def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     """All five models in one result table (assisted totals only on last-touch rows).
 
     Same numbers as the five model functions and :func:`last_touch_with_assists`,
-    with fewer passes: linear, time decay and assisted share one spread join to
-    later days (their group rows tagged with the model, the day totals of all
+    with fewer passes: linear, time decay and assisted share one pass over their
+    sessions' days (their group rows tagged with the model, the day totals of all
     three in one table), and every output row — endpoint models straight from
-    the touch table, spread rows, assists tagged as last touch — meets in one
+    the touch table, day rows, assists tagged as last touch — meets in one
     final aggregation. Assists on a (day, source) without a last-touch row are
     dropped there, as in the reference's left join.
     """
@@ -290,28 +317,25 @@ def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
         .unionByName(dec_groups.select(*keys, F.lit("time_decay").alias("_model"), F.col("mz").alias("_w"),
                                        F.col("mzq_q1").alias("_e1"), F.col("mzq_qc").alias("_e2"),
                                        F.col("mzq_qr").alias("_e3")))
-        .unionByName(_first_occurrences(t).select(*keys, F.lit("last_touch").alias("_model"),
-                                                  F.lit(1.0).alias("_w"), F.col("cum_c").alias("_e1"),
-                                                  F.col("rest_r").alias("_e2"),
-                                                  F.col("cum_k").cast("double").alias("_e3")))
+        .unionByName(_first_occurrences(t).select(*keys, F.lit("last_touch").alias("_model"), F.col("w").alias("_w"),
+                                                  F.col("ac").alias("_e1"), F.col("ar").alias("_e2"),
+                                                  F.col("ak").cast("double").alias("_e3")))
     )
     totals = st.join(qt, [*SESSION, "chain_date"])
-    x = _spread(groups, totals)
-    same = F.col("end_date") == F.col("chain_date")
     is_lin, is_dec, is_ast = (F.col("_model") == m for m in ("linear", "time_decay", "last_touch"))
-    f = F.when(is_dec, _factor("chain_date", "end_date", half_life)).otherwise(F.lit(1.0))
+    dims = ["_model", "source_code"]
+    x = _on_session_days(groups, st, dims, ["_w", "_e1", "_e2", "_e3"])
+    x = _earlier(x, [*SESSION, *dims], "_w", F.when(is_dec, _per_day(half_life))).join(totals, [*SESSION, "chain_date"])
 
     def value(i: int, lin: str, dec: str, ast: str) -> Column:
         tot = F.when(is_lin, F.col(lin)).when(is_dec, F.col(dec)).otherwise(F.col(ast).cast("double"))
-        # On the touch's own day: what it earned there; for assists' counts the day's total less those before.
-        own = F.when(is_ast, tot - F.col(f"_e{i}")).otherwise(F.col(f"_e{i}")) if i != 2 else F.col("_e2")
-        return F.when(same, own).otherwise(F.col("_w") * f * tot)
+        return F.col("_acc") * tot + F.col(f"_e{i}")
 
     v1, v2 = value(1, "tot_a1", "tot_q1", "tot_c"), value(2, "tot_ac", "tot_qc", "tot_r")
     v3 = value(3, "tot_ar", "tot_qr", "tot_k")
     zero = F.lit(0.0)
-    spread_rows = x.select(
-        "goal_id", "_model", F.col("end_date").alias("_date"), F.col("source_code").alias("_src"),
+    day_rows = x.select(
+        "goal_id", "_model", F.col("chain_date").alias("_date"), F.col("source_code").alias("_src"),
         F.when(is_ast, zero).otherwise(v1).alias("_n"), F.when(is_ast, zero).otherwise(v2).alias("_c"),
         F.when(is_ast, zero).otherwise(v3).alias("_r"), F.when(is_ast, v1).otherwise(zero).alias("_ac"),
         F.when(is_ast, v2).otherwise(zero).alias("_ar"), F.when(is_ast, 0).otherwise(1).alias("_keep"))
@@ -325,7 +349,7 @@ def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
                              F.col("c").alias("_c"), F.col("r").alias("_r"), zero.alias("_ac"), zero.alias("_ar"),
                              F.lit(1).alias("_keep"), F.inline(picks))
 
-    out = (endpoint_rows.unionByName(spread_rows)
+    out = (endpoint_rows.unionByName(day_rows)
            .groupBy("goal_id", F.col("_model").alias("attribution_type"), F.col("_date").alias("start_date"),
                     F.col("_src").alias("source_code"))
            .agg(F.sum("_n").alias("visits"), F.sum("_c").alias("conversions"), F.sum("_r").alias("revenue"),

@@ -13,7 +13,6 @@ from pathcredit.constants import (
     DEFAULT_PERIOD_DAYS, DEFAULT_SELECTOR_MODEL, MIN_STEP_VISITS, TOP_SOURCES, TOP_TRANSITIONS,
 )
 from pathcredit.functions.names import model_name
-from pathcredit.operators.models import SESSION
 
 
 def kpi_touchpoints(touches: DataFrame, goal_id: int | None = None, start: date | None = None,
@@ -35,15 +34,14 @@ def chain_steps(touches: DataFrame, min_visits: int = MIN_STEP_VISITS, goal_id:
     step and their conversions; edges seen in fewer than ``min_visits`` chains are dropped.
 
     The edge ending at session position p sits in every chain i ≥ p of the session:
-    (length − p + 1) chains with the session's conversions from p on.
+    the touch table's counts from each visit to its session's end, added up by edge
+    before anything moves.
     """
     t = touches if goal_id is None else touches.where(F.col("goal_id") == goal_id)
-    totals = t.groupBy(*SESSION).agg(F.max("scum_n").alias("_len"), F.sum("c").alias("_tc"))
-    e = t.where(F.col("pos") >= 2).join(totals, SESSION)
-    return (e.groupBy(F.col("prev_source").alias("from_channel"), F.col("source_code").alias("to_channel"),
-                      (F.col("pos") - 1).alias("step"))
-            .agg(F.sum(F.col("_len") - F.col("pos") + 1).alias("visits"),
-                 F.sum(F.col("_tc") - F.col("scum_c") + F.col("c")).alias("conversions"))
+    return (t.where(F.col("pos") >= 2)
+            .groupBy(F.col("prev_source").alias("from_channel"), F.col("source_code").alias("to_channel"),
+                     (F.col("pos") - 1).alias("step"))
+            .agg(F.sum("ssuf_n").alias("visits"), F.sum("ssuf_c").alias("conversions"))
             .where(F.col("visits") >= min_visits)
             .orderBy("step", F.desc("visits"), "from_channel", "to_channel"))
 
