@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pathcredit.llm.mixing import BLOCK_ROWS, OTHER, TARGETS
+from pathcredit.llm.url_filter import DIGIT, END, ORDER, OTHER as OTHER_SYMBOL, RULES, START, SYMBOLS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
@@ -172,3 +173,50 @@ SELECT record_id, warc_type, url, status, CASE WHEN status = 'resolved' THEN bas
          fresh), chr(10)) END AS headers,
        CASE status WHEN 'full' THEN strlen(payload) WHEN 'resolved' THEN strlen(old_payload) END AS payload_bytes
 FROM merged"""
+
+
+_HOST = "translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER_URL = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RULE_ROWS = ", ".join(f"('{says}', '{rule}', '{rule.partition('/')[0]}', '/{rule.partition('/')[2]}')" for says, rule in RULES)
+
+
+def _level(k: int) -> str:
+    """Both classes' probability of a gram's last character after its last ``k`` characters."""
+    pair, context = f"substring(gram, {ORDER + 1 - k}, {k + 1})", f"substring(gram, {ORDER + 1 - k}, {k})"
+    lower = f"{1 / SYMBOLS}" if k == 0 else "{c}_p"
+    of = ", ".join(
+        f"CASE WHEN {c}_all > 0 THEN ({c}_n + {c}_kinds * {lower.format(c=c)}) / ({c}_all + {c}_kinds) ELSE {lower.format(c=c)} END AS {c}_p"
+        for c in ("allow", "block"))
+    return f"""
+seen{k} AS (SELECT {pair} AS pair, {context} AS context, sum(allow) AS allow_n, sum(block) AS block_n FROM counted GROUP BY 1, 2),
+after{k} AS (SELECT context, sum(allow_n) AS allow_all, sum(block_n) AS block_all, count(*) FILTER (allow_n > 0) AS allow_kinds,
+                    count(*) FILTER (block_n > 0) AS block_kinds FROM seen{k} GROUP BY 1),
+p{k} AS (SELECT gram, {of}
+         FROM {"counted" if k == 0 else f"p{k - 1}"} g JOIN seen{k} s ON s.pair = {pair} JOIN after{k} a USING (context)),"""
+
+
+# Characters with their contexts counted by class, probabilities level by level, the cut from the held-out fifth.
+URL_FILTER = rf"""
+WITH page AS (
+  SELECT row_number() OVER () AS r, page_id, {_HOST} AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+         regexp_replace(regexp_replace({_LOWER_URL}, '[0-9]', '{DIGIT}', 'g'), '[^a-z0/.\-]', '{OTHER_SYMBOL}', 'g') AS symbols
+  FROM pages),
+rules(says, rule, name, start) AS (VALUES {_RULE_ROWS}),
+fits AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(says, length(rule)) AS says
+         FROM page JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start) GROUP BY r),
+ruled AS (SELECT page.*, rule, says, ('0x' || substr(md5(symbols), 1, 8))::BIGINT % 5 = 0 AS held FROM page LEFT JOIN fits USING (r)),
+grams AS (SELECT r, says, held, substring('{START * ORDER}' || symbols || '{END}', i::INTEGER, {ORDER + 1}) AS gram
+          FROM (SELECT *, unnest(range(1, length(symbols) + 2)) AS i FROM ruled)),
+counted AS (SELECT gram, count(*) FILTER (says = 'allow' AND NOT held) AS allow, count(*) FILTER (says = 'block' AND NOT held) AS block
+            FROM grams GROUP BY gram),{"".join(_level(k) for k in range(ORDER + 1))}
+ratios AS (SELECT gram, (ln(allow_p) - ln(block_p))::FLOAT AS ratio FROM p{ORDER}),
+scored AS (SELECT r, avg(ratio::DOUBLE) AS ratio FROM grams JOIN ratios USING (gram) GROUP BY r),
+moments AS (
+  SELECT count(*) FILTER (says = 'allow') AS n1, count(*) FILTER (says = 'block') AS n0, avg(ratio) FILTER (says = 'allow') AS m1,
+         avg(ratio) FILTER (says = 'block') AS m0, var_pop(ratio) FILTER (says = 'allow') AS v1, var_pop(ratio) FILTER (says = 'block') AS v0
+  FROM ruled JOIN scored USING (r) WHERE held AND says IS NOT NULL),
+cut AS (SELECT CASE WHEN n1 > 0 AND n0 > 0 AND m1 > m0
+               THEN (m1 + m0) / 2 + (n1 * v1 + n0 * v0) / (n1 + n0) / (m1 - m0) * ln(n0 / n1) ELSE 0.0 END AS cut FROM moments)
+SELECT page_id, host, path, rule, coalesce(says, CASE WHEN ratio - cut >= 0 THEN 'allow' ELSE 'block' END) AS verdict,
+       round(ratio - cut, 6) + 0.0 AS ratio
+FROM ruled JOIN scored USING (r), cut"""

@@ -37,7 +37,7 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages")).withColumn("ratio", F.round("ratio", 6) + F.lit(0.0))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +66,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__:
 
 LLM_ORACLES: dict[str, str] = {
     "op1_byte_shards": oracles.BYTE_SHARDS, "op3_warc_revisits": oracles.WARC_REVISITS,
-    "op4_licenses": oracles.LICENSES, "op6_mixing": oracles.MIXING, "op8_exact_dedup": oracles.EXACT_DEDUP,
+    "op4_licenses": oracles.LICENSES, "op5_url_filter": oracles.URL_FILTER, "op6_mixing": oracles.MIXING, "op8_exact_dedup": oracles.EXACT_DEDUP,
     "op9_decontamination": oracles.DECONTAMINATION}

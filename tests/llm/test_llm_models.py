@@ -225,3 +225,10 @@ def test_scoring_without_rows_or_training_rows(spark):
     assert pitman_yor.score_documents(docs_of(spark, [])).count() == 0
     got = pitman_yor.score_documents(docs_of(spark, [(1, "a b"), (2, None)]), held_out=lambda i: F.lit(True)).collect()
     assert {(r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) for r in got} == {(3, 0, 0, 0.0), (1, 0, 0, 0.0)}
+
+
+def test_pitman_yor_does_not_depend_on_how_chunks_are_gathered(spark):
+    docs = docs_of(spark, [(i, "the " * 9 + f"cat, w{i % 7} the dog{i % 3}. the") for i in range(60)])
+    one, many = (pitman_yor.score_documents(docs, chunk_rows=4, n_buckets=5, chunks_together=n).orderBy("doc_id").collect()
+                 for n in (1000, 2))
+    assert len(one) == 60 and one == many
