@@ -1,15 +1,27 @@
-"""Credit models over look-back chains: one unit of credit per converting visit."""
+"""Credit models over look-back chains: one unit of credit per converting visit.
+
+A chain is the run of a visitor's visits from the first one in the window to the
+last one in the converting visit's second. First touch, last touch, last
+significant, linear and transitions never build (conversion, touch) pairs: probe
+rows at the window's two ends are ordered among the visits by the chunked scan, and
+running values at the probes answer. Time decay and assisted read the chain table.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.constants import DEFAULT_HALF_LIFE_DAYS
+from pathcredit.constants import DEFAULT_HALF_LIFE_DAYS, DEFAULT_LOOKBACK_DAYS
 from pathcredit.functions.codes import is_significant
-from pathcredit.operators.scan import USER
+from pathcredit.operators.scan import USER, chunk_rows, running
 
 CHAIN = [*USER, "conv_gidx"]
+DAY = 86400
+BEFORE, AT, AFTER = -1, 0, 1  # where a row stands among the visits of its second
+PLACE = ("ts", "kind", "gidx")
 
 
 def _credit(df: DataFrame, source: str | Column, value: Column) -> DataFrame:
@@ -17,24 +29,70 @@ def _credit(df: DataFrame, source: str | Column, value: Column) -> DataFrame:
     return df.groupBy("goal_id", src.alias("source_code")).agg(F.sum(value).cast("double").alias("credit"))
 
 
-def lookback_first_touch(ch: DataFrame) -> DataFrame:
-    return _credit(ch.where(F.col("position") == 1), "source_code", F.lit(1.0))
+def _rows(df: DataFrame, ts: Column, kind: int, *more: Column) -> DataFrame:
+    return df.select(*USER, ts.alias("ts"), F.lit(kind).alias("kind"), "gidx", *more)
 
 
-def lookback_last_touch(ch: DataFrame) -> DataFrame:
-    return _credit(ch.where(F.col("is_converting") == 1), "source_code", F.lit(1.0))
+def _placed(parts: list[DataFrame], specs: list[tuple], block: int | None = None) -> DataFrame:
+    """Running values over visits and probes in order; ``block`` is the length of a segment in seconds."""
+    rows = reduce(DataFrame.unionByName, parts)
+    if block:
+        rows = rows.withColumn("block", F.floor(F.col("ts") / block))
+    return running(chunk_rows(rows, order=PLACE), specs, order=PLACE)
 
 
-def lookback_last_significant(ch: DataFrame) -> DataFrame:
-    """Latest significant touch by position, else the touch at the last position."""
-    touch = F.struct("position", "source_code")
-    per_chain = ch.groupBy(*CHAIN).agg(
-        F.max(F.when(is_significant("source_code"), touch)).alias("_sig"), F.max(touch).alias("_last"))
-    return _credit(per_chain, F.coalesce(F.col("_sig.source_code"), F.col("_last.source_code")), F.lit(1.0))
+def chain_ends(touches: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
+    """One row per converting visit: the running indices of its chain's first and last visit, its time, and
+    the last visit and the last significant visit up to its second as (gidx, source_code)."""
+    conv = touches.where(F.col("c") > 0)
+    ts, source = F.col("ts"), F.col("source_code")
+    visit = F.when(F.col("n") == 1, F.struct("gidx", "source_code"))
+    placed = _placed(
+        [_rows(touches, ts, AT, source, F.lit(1).alias("n")),
+         _rows(conv, ts - int(days) * DAY, BEFORE, source, F.lit(0).alias("n")),
+         _rows(conv, ts, AFTER, source, F.lit(0).alias("n"))],
+        [("upto", "sum", F.col("n"), False, []), ("last", "max", visit, False, []),
+         ("significant", "max", F.when(is_significant("source_code"), visit), False, [])])
+    end = F.col("kind") == AFTER
+    return placed.where(F.col("kind") != AT).groupBy(*USER, F.col("gidx").alias("conv_gidx")).agg(
+        (F.max(F.when(~end, F.col("upto"))) + 1).alias("first_gidx"),
+        *[F.max(F.when(end, F.col(x))).alias(y) for x, y in (
+            ("upto", "last_gidx"), ("ts", "conv_ts"), ("last", "last"), ("significant", "significant"))])
+
 
+def lookback_first_touch(touches: DataFrame, ends: DataFrame) -> DataFrame:
+    begun = ends.groupBy(*USER, F.col("first_gidx").alias("gidx")).agg(F.count("*").alias("chains"))
+    return _credit(begun.join(touches.select(*USER, "gidx", "source_code"), [*USER, "gidx"]), "source_code", F.col("chains"))
 
-def lookback_linear(ch: DataFrame) -> DataFrame:
-    return _credit(ch, "source_code", 1.0 / F.col("chain_length"))
+
+def lookback_last_touch(touches: DataFrame) -> DataFrame:
+    return _credit(touches.where(F.col("c") > 0), "source_code", F.lit(1.0))
+
+
+def lookback_last_significant(ends: DataFrame) -> DataFrame:
+    """Latest significant touch by position, else the touch at the last position."""
+    inside = F.col("significant.gidx") >= F.col("first_gidx")
+    return _credit(ends, F.when(inside, F.col("significant.source_code")).otherwise(F.col("last.source_code")), F.lit(1.0))
+
+
+def lookback_linear(touches: DataFrame, ends: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
+    """Every visit earns one part of each conversion in the window after it.
+
+    With time cut into blocks of the window's length, that window is the rest of
+    the visit's block and the beginning of the next one: a sum from the block's end at the
+    visit, and one from the block's start at a probe. Credit is only ever added.
+    """
+    span, ts, nothing = int(days) * DAY, F.col("ts"), F.lit(0.0).alias("part")
+    part = (1.0 / (F.col("last_gidx") - F.col("first_gidx") + 1)).alias("part")
+    parts = [_rows(touches, ts, BEFORE, "source_code", nothing),
+             _rows(ends.withColumn("gidx", F.col("conv_gidx")), F.col("conv_ts"), AT,
+                   F.lit(None).cast("string").alias("source_code"), part)]
+    if span:
+        parts.append(_rows(touches, ts + span, AFTER, "source_code", nothing))
+    placed = _placed(parts, [("rest", "rsum", F.col("part"), False, ["block"]),
+                             ("begun", "sum", F.col("part"), False, ["block"])], max(span, 1))
+    earned = F.when(F.col("kind") == BEFORE, F.col("rest")).otherwise(F.col("begun"))
+    return _credit(placed.where((F.col("kind") != AT) & (earned > 0)), "source_code", earned)
 
 
 def lookback_time_decay(ch: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
@@ -51,8 +109,19 @@ def lookback_assisted(ch: DataFrame) -> DataFrame:
     return _credit(firsts.where(F.col("_p") < F.col("_n")), "source_code", F.lit(1.0))
 
 
-def lookback_transitions(ch: DataFrame) -> DataFrame:
-    """Consecutive pairs of every look-back chain (one per occurrence)."""
-    return ch.where(F.col("position") >= 2).groupBy(
-        "goal_id", F.col("user_prev_source").alias("prev_source_code"),
-        F.col("source_code").alias("next_source_code")).agg(F.count("*").cast("double").alias("transitions"))
+def lookback_transitions(touches: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
+    """Consecutive pairs of every look-back chain (one per occurrence).
+
+    A visit and the one before it are a pair of every conversion from the visit's second on to
+    the end of the window after the earlier one: a difference of two running counts.
+    """
+    until = F.col("prev_ts") + int(days) * DAY
+    pairs = touches.where(until >= F.col("ts"))
+    codes = (F.col("user_prev_source").alias("prev_source_code"), F.col("source_code").alias("next_source_code"))
+    none = [F.lit(None).cast("string").alias(c) for c in ("prev_source_code", "next_source_code")]
+    zero = F.lit(0).alias("n")
+    placed = _placed([_rows(touches.where(F.col("c") > 0), F.col("ts"), AT, *none, F.lit(1).alias("n")),
+                      _rows(pairs, F.col("ts"), BEFORE, *codes, zero), _rows(pairs, until, AFTER, *codes, zero)],
+                     [("upto", "sum", F.col("n"), False, [])])
+    return (placed.where(F.col("kind") != AT).groupBy("goal_id", "prev_source_code", "next_source_code")
+            .agg(F.sum(F.col("kind") * F.col("upto")).cast("double").alias("transitions")).where("transitions > 0"))

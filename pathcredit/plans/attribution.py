@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pathcredit.config import ensure_utc, materialize
 from pathcredit.constants import DEFAULT_HALF_LIFE_DAYS, DEFAULT_LOOKBACK_DAYS
 from pathcredit.operators import chains as C
+from pathcredit.operators import lookback as L
 from pathcredit.operators import models as M
 from pathcredit.operators import views as V
 from pathcredit.operators.prepare import prepare_visits
@@ -104,6 +105,10 @@ class AttributionRun:
     def lookback(self) -> DataFrame:
         return C.lookback_chains(self.touches, self.lookback_days)
 
+    @cached_property
+    def lookback_ends(self) -> DataFrame:
+        return materialize(L.chain_ends(self.touches, self.lookback_days))
+
 
 PREPARED, COMBINED, RESULTS, TRANSITIONS = ("visits_prepared", "visits_combined", "attribution_results",
                                             "source_transitions")

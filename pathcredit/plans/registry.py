@@ -379,19 +379,19 @@ def _(spark, sf):
 LB = "goal_id, source_code"
 for _key, _sql, _fn in (
     ("lookback_first_touch", f"SELECT {LB}, CAST(COUNT(*) AS DOUBLE) AS credit FROM lb WHERE position = 1 GROUP BY 1, 2",
-     L.lookback_first_touch),
+     lambda r: L.lookback_first_touch(r.touches, r.lookback_ends)),
     ("lookback_last_touch", f"SELECT {LB}, CAST(COUNT(*) AS DOUBLE) AS credit FROM lb WHERE is_converting = 1 GROUP BY 1, 2",
-     L.lookback_last_touch),
+     lambda r: L.lookback_last_touch(r.touches)),
     ("lookback_last_significant", """SELECT lb.goal_id, lb.source_code, CAST(COUNT(*) AS DOUBLE) AS credit FROM lb
        JOIN lbsig s ON s.goal_id = lb.goal_id AND s.counter_id = lb.counter_id AND s.user_id = lb.user_id
-        AND s.conv_visit_id = lb.conv_visit_id AND lb.position = s.sp GROUP BY 1, 2""", L.lookback_last_significant),
-    ("lookback_linear", f"SELECT {LB}, SUM(1.0 / chain_length) AS credit FROM lb GROUP BY 1, 2", L.lookback_linear),
-    ("lookback_time_decay", f"SELECT {LB}, SUM(w / tw) AS credit FROM lbw GROUP BY 1, 2", L.lookback_time_decay),
+        AND s.conv_visit_id = lb.conv_visit_id AND lb.position = s.sp GROUP BY 1, 2""", lambda r: L.lookback_last_significant(r.lookback_ends)),
+    ("lookback_linear", f"SELECT {LB}, SUM(1.0 / chain_length) AS credit FROM lb GROUP BY 1, 2", lambda r: L.lookback_linear(r.touches, r.lookback_ends, r.lookback_days)),
+    ("lookback_time_decay", f"SELECT {LB}, SUM(w / tw) AS credit FROM lbw GROUP BY 1, 2", lambda r: L.lookback_time_decay(r.lookback)),
     ("lookback_assisted", f"""SELECT {LB}, CAST(COUNT(*) AS DOUBLE) AS credit FROM
        (SELECT DISTINCT goal_id, counter_id, user_id, conv_visit_id, source_code FROM lb WHERE position < chain_length)
-       GROUP BY 1, 2""", L.lookback_assisted),
+       GROUP BY 1, 2""", lambda r: L.lookback_assisted(r.lookback)),
 ):
-    query(_key, _sql, ("credit",))((lambda f: lambda spark, sf: f(_run(spark, sf).lookback))(_fn))
+    query(_key, _sql, ("credit",))((lambda f: lambda spark, sf: f(_run(spark, sf)))(_fn))
 
 
 @query("lookback_transitions", """
@@ -400,7 +400,8 @@ for _key, _sql, _fn in (
   FROM lb a JOIN lb b ON a.goal_id = b.goal_id AND a.counter_id = b.counter_id AND a.user_id = b.user_id
    AND a.conv_visit_id = b.conv_visit_id AND b.position = a.position + 1 GROUP BY 1, 2, 3""", ("transitions",))
 def _(spark, sf):
-    return L.lookback_transitions(_run(spark, sf).lookback)
+    r = _run(spark, sf)
+    return L.lookback_transitions(r.touches, r.lookback_days)
 
 
 # ---------------------------------------------------------------- E. named views

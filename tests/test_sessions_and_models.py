@@ -95,17 +95,20 @@ def test_decay_needs_a_half_life(spark):
 
 def test_lookback_models_match_plain_reckoning(spark):
     touches = _touches(spark, EVERYONE)
-    for days in (1, 90):
-        ch = C.lookback_chains(touches, days)
+    for days in (0, 1, 90):
+        ch, ends = C.lookback_chains(touches, days), L.chain_ends(touches, days)
         chains = FX.lookback_chains(EVERYONE, days)
-        for name, model in (("first_touch", L.lookback_first_touch), ("last_significant", L.lookback_last_significant),
-                            ("linear", L.lookback_linear), ("time_decay", L.lookback_time_decay)):
+        for name, got in (("first_touch", L.lookback_first_touch(touches, ends)),
+                          ("last_significant", L.lookback_last_significant(ends)),
+                          ("linear", L.lookback_linear(touches, ends, days)), ("time_decay", L.lookback_time_decay(ch))):
             want = {}
             for chain in chains:
                 for code, x in FX.shares(chain, name).items():
                     want[code] = want.get(code, 0.0) + x
-            assert {r.source_code: r.credit for r in model(ch).collect()} == pytest.approx(want), (name, days)
+            assert {r.source_code: r.credit for r in got.collect()} == pytest.approx(want), (name, days)
         assert ch.where("is_converting = 1").count() == len(chains)
+        pairs = ch.where("position >= 2").groupBy("user_prev_source", "source_code").count().collect()
+        assert {tuple(r)[1:] for r in L.lookback_transitions(touches, days).collect()} == {tuple(r) for r in pairs}
 
 
 def test_decay_over_many_half_lives(spark):
@@ -124,11 +127,12 @@ def test_decay_over_many_half_lives(spark):
 def test_one_visit_id_converting_on_two_dates_is_two_chains(spark):
     visits = [FX.visit(51, 0, "2_7"), FX.visit(51, 24, "6", 5.0, visit_id=7), FX.visit(51, 300, "3_6"),
               FX.visit(51, 700, "8_4", 6.0, visit_id=7)]
-    ch = C.lookback_chains(_touches(spark, visits), 90)
+    touches = _touches(spark, visits)
+    ch, ends = C.lookback_chains(touches, 90), L.chain_ends(touches, 90)
     assert {(r.conv_gidx, r.chain_length) for r in ch.collect()} == {(2, 2), (4, 4)}
     assert sorted(r.chain_length for r in ch.where("is_converting = 1").collect()) == [2, 4]
-    assert sum(r.credit for r in L.lookback_last_touch(ch).collect()) == 2.0
-    assert sum(r.credit for r in L.lookback_linear(ch).collect()) == pytest.approx(2.0)
+    assert sum(r.credit for r in L.lookback_last_touch(touches).collect()) == 2.0
+    assert sum(r.credit for r in L.lookback_linear(touches, ends, 90).collect()) == pytest.approx(2.0)
 
 
 def test_a_visitor_with_a_third_of_all_visits(spark):
