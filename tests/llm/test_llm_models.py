@@ -232,3 +232,30 @@ def test_pitman_yor_does_not_depend_on_how_chunks_are_gathered(spark):
     one, many = (pitman_yor.score_documents(docs, chunk_rows=4, n_buckets=5, chunks_together=n).orderBy("doc_id").collect()
                  for n in (1000, 2))
     assert len(one) == 60 and one == many
+
+
+@pytest.mark.parametrize(("c", "w"), [(2, 3.0), (31, 50.0), (31, 5.0), (200, 400.0), (1000, 0.1), (1000, 50.0), (1000, 1e4)])
+def test_one_move_is_a_whole_sweep(c, w):
+    d = 0.8
+    t = pitman_yor.move(np.full(20000, c), np.ones(20000, np.int64), np.full(20000, w), d, np.random.default_rng(2))
+    log_p = pitman_yor._log_stirling(c, d)[c, 1:] + np.arange(1, c + 1) * math.log(w)
+    p = np.exp(log_p - log_p.max())
+    want = (p * np.arange(1, c + 1)).sum() / p.sum()
+    assert t.mean() == pytest.approx(want, rel=0.025)
+    assert t.min() >= 1 and t.max() <= c
+
+
+def test_closing_probability_of_large_dishes_is_right_up_to_all_tables():
+    d, c = 0.8, 400
+    s, t = pitman_yor._log_stirling(c, d), np.arange(2, c + 1)
+    assert np.allclose(pitman_yor.alone(np.full(len(t), c), t, d), np.exp(s[c - 1, t - 1] - s[c, t]), atol=0.002)
+
+
+def test_table_totals_settle_whatever_they_start_from(spark):
+    rng = np.random.default_rng(5)
+    n = 4000
+    seated = spark.createDataFrame([(i % 4, i, int(c), i // 8, int(k)) for i, (c, k) in enumerate(zip(
+        rng.integers(0, 5, n), 1 + rng.poisson(rng.gamma(0.3, 30, n))))], "bucket int, at int, context int, word int, n long").cache()
+    five = np.array([r["n"] for r in seated.groupBy("context").agg(F.sum("n").alias("n")).orderBy("context").collect()], float)
+    low, high = (pitman_yor.settle(seated, pitman_yor.Totals(five * x, five, five.sum() * x / 2, n // 8))[1][-1] for x in (0.02, 1.0))
+    assert np.allclose(low.tables, high.tables, rtol=0.05) and low.word_tables == pytest.approx(high.word_tables, rel=0.1)
