@@ -232,8 +232,9 @@ def near_links(points: DataFrame, max_bits: int, shard_points: int = SHARD_POINT
     n = points.count()
     depth = max(0, math.ceil(math.log2(max(1, n / shard_points))))
     masks = parts(max_bits)
-    # Only the upper vantage points come from a sample of about SAMPLE fingerprints; every point is searched.
-    some = points.where(F.pmod(F.xxhash64("fp"), F.lit(max(1, n // SAMPLE))) == 0) if depth else points.limit(0)
+    # Only the upper vantage points come from a sample of at most about SAMPLE fingerprints, never of more than
+    # about half; every point is searched.
+    some = points.where(F.pmod(F.xxhash64("fp"), F.lit(max(2, math.ceil(n / SAMPLE)))) == 0) if depth else points.limit(0)
     sample = np.array([r[0] for r in some.orderBy("fp").collect()], np.int64).view(np.uint64)
     trees = [upper_tree(sample, m, depth) for m in masks]
 

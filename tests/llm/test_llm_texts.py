@@ -248,3 +248,12 @@ def test_sketches_never_miss():
         for _ in range(20):
             some = [shingles[i] for i in rng.permutation(len(shingles))[:keep]]
             assert block.candidates(b" . ".join(some)) == {0}
+
+
+@pytest.mark.parametrize("n", [90, 150, 450])
+def test_vantage_sample_is_bounded_and_never_all_fingerprints(spark, monkeypatch, n):
+    monkeypatch.setattr(simhash, "SAMPLE", 100)
+    sampled, build = [], simhash.upper_tree
+    monkeypatch.setattr(simhash, "upper_tree", lambda sample, *a: sampled.append(len(sample)) or build(sample, *a))
+    simhash.near_links(spark.range(n).select(F.xxhash64("id").alias("fp")), 4, 50)
+    assert sampled and 0 < max(sampled) < min(0.75 * n, 130)
