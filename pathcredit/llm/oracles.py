@@ -220,3 +220,46 @@ cut AS (SELECT CASE WHEN n1 > 0 AND n0 > 0 AND m1 > m0
 SELECT page_id, host, path, rule, coalesce(says, CASE WHEN ratio - cut >= 0 THEN 'allow' ELSE 'block' END) AS verdict,
        round(ratio - cut, 6) + 0.0 AS ratio
 FROM ruled JOIN scored USING (r), cut"""
+
+
+# Levels of a tree as lists of digests; a row's path takes one sibling from each.
+_LEVELS_UP = """SELECT part, l + 1, list_transform(range((len(ds) + 1) // 2), lambda i:
+    sha256(ds[2 * i + 1] || coalesce(ds[2 * i + 2], ''))) FROM {0} WHERE len(ds) > 1"""
+_FIELDS = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+                      for c in ("doc_id", "source", "lang", "{0}", "text"))
+MERKLE = f"""
+WITH RECURSIVE tbl AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n)),
+hashed AS (
+  SELECT doc_id, lang, sha256({_FIELDS.format('n_chars')}) AS leaf, sha256({_FIELDS.format('(n_chars + 1)')}) AS changed,
+         xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(range(length(doc_id::VARCHAR)), lambda i: ascii(substr(doc_id::VARCHAR, i + 1, 1))::BIGINT)),
+           lambda c, b: xor(c >> 8, tbl.t[(xor(c, b) & 255) + 1]))) % 7 = 0 AS tampered
+  FROM documents, tbl),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS part FROM hashed),
+low(part, l, ds) AS (
+  SELECT part, 0, list(leaf ORDER BY place) FROM leaves GROUP BY part UNION ALL {_LEVELS_UP.format('low')}),
+subroots AS (SELECT part, ds[1] AS subroot FROM low WHERE len(ds) = 1),
+top(part, l, ds) AS (
+  SELECT 0, 0, list(subroot ORDER BY part) FROM subroots UNION ALL {_LEVELS_UP.format('top')}),
+steps AS (
+  SELECT row_number() OVER (PARTITION BY doc_id, place, part ORDER BY tier, l) AS step, * FROM (
+    SELECT doc_id, v.part, v.place, 0 AS tier, l, (place >> l) & 1 AS odd, ds[xor(place >> l, 1) + 1] AS sibling
+    FROM leaves v JOIN low USING (part) WHERE len(ds) > 1
+    UNION ALL
+    SELECT doc_id, v.part, v.place, 1, l, (v.part >> l) & 1, ds[xor(v.part >> l, 1) + 1] FROM leaves v, top WHERE len(ds) > 1)),
+folds(doc_id, part, place, step, h) AS (
+  SELECT doc_id, part, place, 0, CASE WHEN tampered THEN changed ELSE leaf END FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.part, f.place, f.step + 1, sha256(CASE WHEN s.odd = 1 THEN s.sibling || f.h ELSE f.h || coalesce(s.sibling, '') END)
+  FROM folds f JOIN steps s ON f.part = s.part AND f.place = s.place AND s.step = f.step + 1),
+folded AS (SELECT part, place, arg_max(h, step) AS folded_root FROM folds GROUP BY part, place),
+proofs AS (SELECT part, place, string_agg(sibling, '' ORDER BY step) AS proof FROM steps GROUP BY part, place)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM leaves JOIN subroots USING (part) JOIN folded USING (part, place) LEFT JOIN proofs USING (part, place),
+     (SELECT ds[1] AS root FROM top WHERE len(ds) = 1)"""
