@@ -263,3 +263,95 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
        folded_root = root AS verified
 FROM leaves JOIN subroots USING (part) JOIN folded USING (part, place) LEFT JOIN proofs USING (part, place),
      (SELECT ds[1] AS root FROM top WHERE len(ds) = 1)"""
+
+
+# ------------------------------------------------------------------ conversations
+
+_CRC_TABLE = """tbl AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n))"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text."""
+    return f"""xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(range(length({text})), lambda i: ascii(substr({text}, i + 1, 1))::BIGINT)),
+      lambda c, b: xor(c >> 8, tbl.t[(xor(c, b) & 255) + 1])))"""
+
+
+_TURN = (2, 2, 3, 2)  # states: start, after s, after u, after a
+
+
+def _cheaper(options: list[str]) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _step(cost: str, letter: str, state: str) -> str:
+    return f"{{'c': {cost} + {state}.c, 'a': '{letter}' || {state}.a}}"
+
+
+def _row_options(q: int) -> str:
+    keep = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[q]
+    keeps = [f"CASE WHEN stay AND initial = '{r}' THEN {_step('late', 'K', f's{to}')} ELSE {_step('3', 'D', f's{q}')} END"
+             for r, to in keep.items()]
+    rerole = f"CASE WHEN stay THEN {_step('2 + late', 'R', f's{_TURN[q]}')} ELSE {_step('3', 'D', f's{q}')} END"
+    return _cheaper([_step("3", "D", f"s{q}"), *keeps, rerole])
+
+
+_W = ", ".join(f"{_row_options(q)} AS w{q}" for q in range(4))
+_V = ", ".join(_cheaper([f"w{q}", _step("2", "I", f"w{_TURN[q]}"), _step("4", "II", f"w{_TURN[_TURN[q]]}")]) + f" AS s{q}"
+               for q in range(4))
+_LAST = r"[^\x20\x09-\x0D]"
+CONVERSATIONS = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kinds AS (SELECT b.*, {_crc32('k')} % 20 AS kind FROM base b, tbl),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS u(copy) WHERE kind <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         substr(role, 1, 1) AS initial, NOT regexp_matches(text, '{_LAST}') AS blank FROM damaged),
+marked AS (
+  SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS repeated,
+         coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), FALSE) AS bad
+  FROM ordered),
+faults AS (
+  SELECT *, NOT blank AND NOT repeated AS stay,
+         (NOT blank AND NOT repeated AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$'))::INT AS late FROM marked),
+sums AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         sum(blank::INT) AS blank, sum(repeated::INT) AS duplicate, sum(late) AS truncated, sum(bad::INT) AS illegal,
+         list(role ORDER BY i) AS roles, list(text ORDER BY i) AS texts FROM faults GROUP BY conv_id),
+dp(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, n, {{'c': 0, 'a': ''}}, {{'c': 4, 'a': 'II'}}, {{'c': 2, 'a': 'I'}}, {{'c': 0, 'a': ''}} FROM sums
+  UNION ALL
+  SELECT conv_id, i, {_V} FROM (
+    SELECT dp.conv_id, dp.i - 1 AS i, {_W}
+    FROM dp JOIN faults f ON dp.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = dp.i)),
+best AS (SELECT conv_id, s0.c AS cost, s0.a AS audit FROM dp WHERE i = 0),
+walk(conv_id, pos, i, q, line) AS (
+  SELECT conv_id, 0, 0, 0, NULL::VARCHAR FROM best
+  UNION ALL
+  SELECT conv_id, pos + 1, i + (letter <> 'I')::INT,
+         CASE WHEN letter = 'D' THEN q WHEN letter = 'K' THEN CASE substr(role, 1, 1) WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+              WHEN q = 2 THEN 3 ELSE 2 END,
+         CASE letter WHEN 'D' THEN NULL WHEN 'K' THEN role || ':' || text
+              WHEN 'R' THEN CASE WHEN q = 2 THEN 'assistant:' ELSE 'user:' END || text
+              ELSE CASE WHEN q = 2 THEN 'assistant:' ELSE 'user:' END END
+  FROM (SELECT w.*, substr(b.audit, w.pos + 1, 1) AS letter, s.roles[w.i + 1] AS role, s.texts[w.i + 1] AS text
+        FROM walk w JOIN best b ON w.conv_id IS NOT DISTINCT FROM b.conv_id
+        JOIN sums s ON w.conv_id IS NOT DISTINCT FROM s.conv_id WHERE w.pos < length(b.audit))),
+lines AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY pos) AS repaired FROM walk GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN sums s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+LEFT JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN lines l ON c.conv_id IS NOT DISTINCT FROM l.conv_id"""

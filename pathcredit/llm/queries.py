@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import decontaminate, exact_dedup, licenses, merkle, mixing, oracles, pitman_yor, quality, sharding, \
+from pathcredit.llm import conversations, decontaminate, exact_dedup, licenses, merkle, mixing, oracles, pitman_yor, quality, sharding, \
     simhash, url_filter, warc
 
 N_SHARDS = 8
@@ -60,16 +60,21 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(conversations.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(merkle.manifest(_table(spark, sf_dir, "documents"), tamper=merkle.one_more_char))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_byte_shards, op2_quality, op3_warc_revisits, op4_licenses, op5_url_filter, op6_mixing, op7_simhash,
-    op8_exact_dedup, op9_decontamination, op10_pitman_yor, op13_merkle_manifest)}
+    op8_exact_dedup, op9_decontamination, op10_pitman_yor, op12_conversation_repair,
+    op13_merkle_manifest)}
 
 LLM_ORACLES: dict[str, str] = {
     "op1_byte_shards": oracles.BYTE_SHARDS, "op3_warc_revisits": oracles.WARC_REVISITS,
     "op4_licenses": oracles.LICENSES, "op5_url_filter": oracles.URL_FILTER, "op6_mixing": oracles.MIXING, "op8_exact_dedup": oracles.EXACT_DEDUP,
     "op9_decontamination": oracles.DECONTAMINATION,
-    "op13_merkle_manifest": oracles.MERKLE}
+    "op12_conversation_repair": oracles.CONVERSATIONS, "op13_merkle_manifest": oracles.MERKLE}
