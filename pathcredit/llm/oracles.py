@@ -355,3 +355,22 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c
 LEFT JOIN sums s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
 LEFT JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id
 LEFT JOIN lines l ON c.conv_id IS NOT DISTINCT FROM l.conv_id"""
+
+
+# Windows of 50 bytes as 100 hex digits, each with the smallest id that has it.
+PASSAGES = """
+WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r, strlen(coalesce(text, '')) AS n,
+                  hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, r, p, substr(h, 2 * p + 1, 100) AS s FROM d, unnest(range(n - 49)) AS u(p) WHERE n >= 50),
+f AS (SELECT *, min(coalesce(doc_id, 9223372036854775807)) OVER (PARTITION BY s) AS first FROM w),
+c AS (SELECT r, p, p + 50 AS q FROM f WHERE first < coalesce(doc_id, 9223372036854775807)),
+e AS (SELECT *, coalesce(p > max(q) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE) AS new FROM c),
+g AS (SELECT *, sum(new::INT) OVER (PARTITION BY r ORDER BY p) AS span FROM e),
+spans AS (SELECT r, min(p) AS a, max(q) AS b FROM g GROUP BY r, span),
+edges AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+kept AS (
+  SELECT r, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head, max(b) AS last,
+         sum(b - a) AS n_removed, count(*) AS n_spans FROM edges JOIN d USING (r) GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""

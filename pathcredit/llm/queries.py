@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import conversations, decontaminate, exact_dedup, licenses, merkle, mixing, oracles, pitman_yor, quality, sharding, \
-    simhash, url_filter, warc
+from pathcredit.llm import conversations, decontaminate, exact_dedup, licenses, merkle, mixing, oracles, pitman_yor, quality, \
+    sharding, simhash, suffixes, url_filter, warc
 
 N_SHARDS = 8
 
@@ -60,6 +60,12 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.withColumn("n_spans", F.size("removed").cast("long")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(conversations.damaged(_table(spark, sf_dir, "conversations")))
 
@@ -70,11 +76,11 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_byte_shards, op2_quality, op3_warc_revisits, op4_licenses, op5_url_filter, op6_mixing, op7_simhash,
-    op8_exact_dedup, op9_decontamination, op10_pitman_yor, op12_conversation_repair,
+    op8_exact_dedup, op9_decontamination, op10_pitman_yor, op11_suffix_dedup, op12_conversation_repair,
     op13_merkle_manifest)}
 
 LLM_ORACLES: dict[str, str] = {
     "op1_byte_shards": oracles.BYTE_SHARDS, "op3_warc_revisits": oracles.WARC_REVISITS,
     "op4_licenses": oracles.LICENSES, "op5_url_filter": oracles.URL_FILTER, "op6_mixing": oracles.MIXING, "op8_exact_dedup": oracles.EXACT_DEDUP,
     "op9_decontamination": oracles.DECONTAMINATION,
-    "op12_conversation_repair": oracles.CONVERSATIONS, "op13_merkle_manifest": oracles.MERKLE}
+    "op11_suffix_dedup": oracles.PASSAGES, "op12_conversation_repair": oracles.CONVERSATIONS, "op13_merkle_manifest": oracles.MERKLE}
