@@ -3,13 +3,13 @@
 A byte is removed when a string of ``length`` bytes that covers it also starts in a
 document with a smaller id. Every such string (a window) has a winnowing key: the least
 hash of the ``gram``-byte strings inside it. Equal windows have equal keys, and
-neighbouring windows mostly share one, so a document is a list of runs, each some 17 windows long at the defaults.
+neighbouring windows mostly share one, so a document is a list of runs, each some 10 windows long at the defaults.
 
 1. Keys are counted: per chunk of documents and bucket one row with the chunk's distinct
    keys, 32 bits each, and the number of its documents that hold them. A key of one document cannot repeat. (Of
    colliding keys more are taken for shared than are, which costs work, not correctness.)
 2. Each chunk cuts the pieces of text that its shared runs cover, and hands on each distinct
-   piece once, with the smallest id that has it. Runs of keys that very many
+   piece once, packed by shard, with the smallest id that has it. Runs of keys that very many
    documents share are cut into single windows, dealt by their own text, so a frequent
    phrase in ever different surroundings is spread over all shards, and a frequent window
    is one row a chunk.
@@ -19,7 +19,8 @@ neighbouring windows mostly share one, so a document is a list of runs, each som
    should hashes ever collide, the sort is repeated with another base. Neighbours equal over the window's length share the smallest id.
 4. Chunks mark the windows whose smallest id is smaller than the document's own.
 
-Texts cross the shuffle once to be cut, and once more only where a key is shared.
+Texts cross the shuffle twice, compressed by chunk: to be cut, and to be marked. Cutting is
+deterministic, so a shard answers by a piece's place among those that the chunk sent it.
 
 Defined results: null counts as empty text; texts shorter than a window lose nothing; documents
 with the same id lose nothing to one another; a null id is larger than every id; repeated rows
@@ -35,7 +36,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +46,7 @@ from pathcredit.llm.common import input_order, materialize, whole_text
 from pathcredit.llm.tokens import scramble, spans
 
 LENGTH = 50
-GRAM = 16
+GRAM = 32
 CHUNK_BYTES = 4 << 20
 SHARD_BYTES = 8 << 20
 BUCKET_KEYS = 1 << 19
@@ -120,14 +123,117 @@ def _buffer(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     return whole, np.frombuffer(whole, np.uint8), np.array([len(t) for t in texts], np.int64)
 
 
-def count_keys(chunked: DataFrame, n_buckets: int, length: int, gram: int, chunk_bytes: int) -> DataFrame:
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each start, as many as its count."""
+    return np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+
+
+def _packed(key: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Bucket of a key in the upper, 32 of its bits in the lower half."""
+    bucket = (key >> np.uint64(32)) % np.uint64(n_buckets)
+    return (bucket << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
+
+
+def _zipped(x: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(x)
+
+
+def _unzipped(x: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(x)
+
+
+# ------------------------------------------------------------------ chunks
+
+def pack_chunks(chunked: DataFrame, id_type: str, chunk_bytes: int) -> DataFrame:
+    """(chunk, at, ids, own, lengths, texts): the documents of a chunk in few rows, their texts compressed together."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, at, rows, size = None, 0, [], 0
+
+        def row(schema: pa.Schema) -> pa.RecordBatch:
+            ids, own, texts = zip(*rows)
+            return pa.RecordBatch.from_pydict({
+                "chunk": pa.array([current], pa.int64()), "at": pa.array([at], pa.int64()),
+                "ids": pa.array([ids], pa.list_(schema.field("id").type)), "own": pa.array([own], pa.list_(pa.int64())),
+                "lengths": pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+                "texts": pa.array([_zipped(b"".join(texts))], pa.binary())})
+
+        for batch in batches:
+            for chunk, number, id_, own, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if rows and (chunk != current or size > 2 * chunk_bytes):
+                    yield row(batch.schema)
+                    rows, size = [], 0
+                if not rows:
+                    current, at = chunk, number
+                rows.append((id_, own, text))
+                size += len(text)
+        if rows:
+            yield row(batch.schema)
+    return chunked.select("chunk", "at", "id", "own", "text").mapInArrow(
+        pack, f"chunk long, at long, ids array<{id_type}>, own array<long>, lengths array<long>, texts binary")
+
+
+class Chunk:
+    """The documents of a chunk, always in the same order, and the windows that their texts may share with others."""
+
+    def __init__(self, packs: pa.Table) -> None:
+        packs = packs.sort_by("at")
+        self.number = packs["chunk"][0].as_py()
+        self.whole = b"".join(_unzipped(t) for t in packs["texts"].to_pylist())
+        self.codes = np.frombuffer(self.whole, np.uint8)
+        self.ids, self.own, self.lengths = (packs[c].combine_chunks().flatten() for c in ("ids", "own", "lengths"))
+        self.own, self.lengths = (np.asarray(x).astype(np.int64) for x in (self.own, self.lengths))
+        self.ends = np.cumsum(self.lengths)
+
+    def cut(self, shared: pa.Table, n_buckets: int, n_shards: int, length: int, gram: int) -> None:
+        """Sets the shared runs (start, count, variant, doc) and the distinct pieces (texts, size, first, route, shard)."""
+        start, count, key = runs(self.codes, self.lengths, length, gram)
+        rows = list(zip(shared["part"].to_pylist(), shared["a"].to_pylist(), shared["b"].to_pylist()))
+        known, at = np.unique(np.concatenate([*((np.uint64(b) << np.uint64(32)) | np.frombuffer(k, np.uint32) for b, k, _ in rows),
+                                              np.zeros(0, np.uint64)]), return_index=True)
+        hot = np.concatenate([*(np.frombuffer(f, bool) for _, _, f in rows), np.zeros(1, bool)])[np.append(at, -1)]
+        packed = _packed(key, n_buckets)
+        place = np.searchsorted(known, packed)
+        several = np.append(known, 0)[place] == packed
+        several &= place < len(known)
+        start, count, key, hot = start[several], count[several], key[several], hot[place[several]]
+        if hot.any():  # cut into single windows
+            each = np.where(hot, count, 1)
+            start = _ranges(start, each)
+            key, hot, count = (np.repeat(x, each) for x in (key, hot, np.where(hot, 1, count)))
+        pieces = pa.array([self.whole[a:b] for a, b in zip(start.tolist(), (start + count + length - 1).tolist())],
+                          pa.binary()).dictionary_encode()
+        self.start, self.count = start, count
+        self.variant = pieces.indices.to_numpy().astype(np.int64)
+        self.doc = np.searchsorted(self.ends, start, side="right")
+        self.texts = pieces.dictionary.to_pylist()
+        n = len(self.texts)
+        self.size = np.zeros(n, np.int64)
+        self.size[self.variant] = count
+        self.first = np.full(n, _LAST)
+        np.minimum.at(self.first, self.variant, self.own[self.doc])
+        self.route = np.zeros(n, np.uint64)
+        self.route[self.variant] = key
+        by_text = np.zeros(n, bool)
+        by_text[self.variant[hot]] = True
+        for i in np.flatnonzero(by_text).tolist():
+            self.route[i] = xxhash.xxh64_intdigest(self.texts[i])
+        self.shard = ((self.route >> np.uint64(16)) % np.uint64(n_shards)).astype(np.int64)
+
+    def shards(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(shard, its distinct pieces in a fixed order)."""
+        order = np.argsort(self.shard, kind="stable")
+        found, at = np.unique(self.shard[order], return_index=True)
+        for shard, part in zip(found.tolist(), np.split(order, at[1:])):
+            yield shard, part
+
+
+def count_keys(packs: DataFrame, n_buckets: int, length: int, gram: int) -> DataFrame:
     """(bucket, chunk, keys, docs): 32 bits of a chunk's distinct keys, and how many documents (255: or more) hold each."""
-    def counted(chunk: int, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        _, codes, lengths = _buffer(texts)
-        start, _, key = runs(codes, lengths, length, gram)
-        doc = np.searchsorted(np.cumsum(lengths), start, side="right")
-        bucket = (key >> np.uint64(32)) % np.uint64(n_buckets)
-        packed = (bucket << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
+    def counted(row: pa.RecordBatch) -> pa.RecordBatch:
+        chunk = Chunk(pa.Table.from_batches([row]))
+        start, _, key = runs(chunk.codes, chunk.lengths, length, gram)
+        doc = np.searchsorted(chunk.ends, start, side="right")
+        packed = _packed(key, n_buckets)
         order = np.lexsort((doc, packed))
         packed, doc = packed[order], doc[order]
         new = np.ones(len(packed), bool)
@@ -140,28 +246,20 @@ def count_keys(chunked: DataFrame, n_buckets: int, length: int, gram: int, chunk
         of, where = np.unique(packed >> np.uint64(32), return_index=True)
         edges = [*where.tolist(), len(packed)]
         low = packed.astype(np.uint32)
-        yield pa.RecordBatch.from_pydict({
-            "bucket": pa.array(of.astype(np.int32)), "chunk": np.full(len(of), chunk, np.int64),
+        return pa.RecordBatch.from_pydict({
+            "bucket": pa.array(of.astype(np.int32)), "chunk": np.full(len(of), chunk.number, np.int64),
             "keys": pa.array([low[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
             "docs": pa.array([docs[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, texts, size = None, [], 0
         for batch in batches:
-            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if texts and (chunk != current or size > 4 * chunk_bytes):
-                    yield from counted(current, texts)
-                    texts, size = [], 0
-                current = chunk
-                texts.append(text.as_py())
-                size += len(texts[-1])
-        if texts:
-            yield from counted(current, texts)
-    return chunked.select("chunk", "text").mapInArrow(count, "bucket int, chunk long, keys binary, docs binary")
+            for i in range(batch.num_rows):
+                yield counted(batch.slice(i, 1))
+    return packs.mapInArrow(count, "bucket int, chunk long, keys binary, docs binary")
 
 
 def shared_keys(counts: DataFrame, hot: int) -> DataFrame:
-    """(chunk, bucket, keys, hot): the chunk's keys that several documents hold, and whether over ``hot`` do."""
+    """(chunk, part, a, b): the chunk's keys ``a`` of bucket ``part`` that several documents hold, and whether over ``hot`` do."""
     def shared(key: tuple, table: pa.Table) -> pa.Table:
         rows = [(np.frombuffer(k, np.uint32), np.frombuffer(d, np.uint8)) for k, d in
                 zip(table["keys"].to_pylist(), table["docs"].to_pylist())]
@@ -175,76 +273,26 @@ def shared_keys(counts: DataFrame, hot: int) -> DataFrame:
             if (several := sums > 1).any():
                 out.append((chunk, k[several].tobytes(), (sums[several] > hot).tobytes()))
         chunks, kept, flags = zip(*out) if out else ((), (), ())
-        return pa.table({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array([key[0].as_py()] * len(out), pa.int32()),
-                         "keys": pa.array(kept, pa.binary()), "hot": pa.array(flags, pa.binary())})
-    return counts.groupBy("bucket").applyInArrow(shared, "chunk long, bucket int, keys binary, hot binary")
+        return pa.table({"chunk": pa.array(chunks, pa.int64()), "part": pa.array([key[0].as_py()] * len(out), pa.int32()),
+                         "a": pa.array(kept, pa.binary()), "b": pa.array(flags, pa.binary())})
+    return counts.groupBy("bucket").applyInArrow(shared, "chunk long, part int, a binary, b binary")
 
 
 # ------------------------------------------------------------------ pieces
 
-_PIECES = ("chunk long, variant int, key long, piece binary, first long, "
-           "id {id}, own long, n_bytes long, sha256 string, text binary, starts binary, counts binary, variants binary")
-
-
-def cut_pieces(chunked: DataFrame, shared: DataFrame, id_type: str, n_buckets: int, length: int, gram: int) -> DataFrame:
-    """Rows of two kinds: distinct pieces of a chunk (``piece`` not null), and its documents with their runs."""
-    def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        values = texts["text"].to_pylist()
-        whole, codes, lengths = _buffer(values)
-        ends = np.cumsum(lengths)
-        own = texts["own"].to_numpy()
-        start, count, key = runs(codes, lengths, length, gram)
-        bucket = (key >> np.uint64(32)) % np.uint64(n_buckets)
-        packed = (bucket << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
-        known = [(np.uint64(b) << np.uint64(32)) | np.frombuffer(k, np.uint32) for b, k in
-                 zip(answers["bucket"].to_pylist(), answers["keys"].to_pylist())]
-        known, at = np.unique(np.concatenate([*known, np.zeros(0, np.uint64)]), return_index=True)
-        hot = np.concatenate([*(np.frombuffer(f, bool) for f in answers["hot"].to_pylist()), np.zeros(0, bool)])[at]
-        place = np.searchsorted(known, packed)
-        place[place == len(known)] = 0
-        several = known[place] == packed if len(known) else np.zeros(len(packed), bool)
-        start, count, key, hot = start[several], count[several], key[several], hot[place[several]] if len(known) else np.zeros(0, bool)
-        if hot.any():  # cut into single windows
-            each = np.where(hot, count, 1)
-            nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            start = np.repeat(start, each) + nth
-            key, hot, count = (np.repeat(x, each) for x in (key, hot, np.where(hot, 1, count)))
-        pieces = pa.array([whole[a:b] for a, b in zip(start.tolist(), (start + count + length - 1).tolist())], pa.binary())
-        encoded = pieces.dictionary_encode()
-        variant = encoded.indices.to_numpy().astype(np.int32)
-        n_variants = len(encoded.dictionary)
-        doc = np.searchsorted(ends, start, side="right")
-        first = np.full(n_variants, _LAST)
-        np.minimum.at(first, variant, own[doc])
-        route = np.zeros(n_variants, np.uint64)
-        route[variant] = key
-        by_text = np.zeros(n_variants, bool)
-        by_text[variant[hot]] = True
-        for i in np.flatnonzero(by_text).tolist():
-            route[i] = xxhash.xxh64_intdigest(encoded.dictionary[i].as_py())
-        edges = np.searchsorted(doc, np.arange(len(values) + 1)).tolist()
-        offset = start - (ends - lengths)[doc]
-        mine = [b > a for a, b in zip(edges, edges[1:])]
-
-        def packed_runs(x: np.ndarray) -> list[bytes | None]:
-            return [x[a:b].tobytes() if b > a else None for a, b in zip(edges, edges[1:])]
-
-        n, m = n_variants, len(values)
-        chunk = texts["chunk"][0].as_py()
-        return pa.table({
-            "chunk": pa.array(np.full(n + m, chunk, np.int64)),
-            "variant": pa.array(np.concatenate([np.arange(n), np.zeros(m, np.int64)]).astype(np.int32)),
-            "key": pa.array(np.concatenate([route.view(np.int64), np.zeros(m, np.int64)])),
-            "piece": pa.array(encoded.dictionary.to_pylist() + [None] * m, pa.binary()),
-            "first": pa.array(np.concatenate([first, own])),
-            "id": pa.chunked_array([pa.nulls(n, texts["id"].type), *texts["id"].chunks]),
-            "own": pa.array(np.concatenate([first, own])), "n_bytes": pa.array(np.concatenate([np.zeros(n, np.int64), lengths])),
-            "sha256": pa.array([None] * n + [None if x else hashlib.sha256(v).hexdigest() for v, x in zip(values, mine)], pa.string()),
-            "text": pa.array([None] * n + [v if x else None for v, x in zip(values, mine)], pa.binary()),
-            **{name: pa.array([None] * n + packed_runs(x), pa.binary()) for name, x in (
-                ("starts", offset), ("counts", count.astype(np.int32)), ("variants", variant))}})
-    return chunked.select("chunk", "id", "own", "text").groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
-        cut, _PIECES.format(id=id_type))
+def cut_pieces(packs: DataFrame, shared: DataFrame, n_buckets: int, n_shards: int, length: int, gram: int) -> DataFrame:
+    """(shard, chunk, routes, firsts, sizes, pieces): a chunk's distinct shared pieces, each with the smallest id that has it."""
+    def cut(texts: pa.Table, keys: pa.Table) -> pa.Table:
+        chunk = Chunk(texts)
+        chunk.cut(keys, n_buckets, n_shards, length, gram)
+        rows = [(shard, chunk.route[part].tobytes(), chunk.first[part].tobytes(), chunk.size[part].astype(np.int16).tobytes(),
+                 _zipped(b"".join(chunk.texts[i] for i in part.tolist()))) for shard, part in chunk.shards()]
+        columns = zip(*rows) if rows else [()] * 5
+        shards, *parts = (pa.array(c, t) for c, t in zip(columns, [pa.int32()] + [pa.binary()] * 4))
+        return pa.table({"shard": shards, "chunk": pa.array([chunk.number] * len(rows), pa.int64()),
+                         **dict(zip(("routes", "firsts", "sizes", "pieces"), parts))})
+    return packs.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
+        cut, "shard int, chunk long, routes binary, firsts binary, sizes binary, pieces binary")
 
 
 # ------------------------------------------------------------------ suffix sort
@@ -356,89 +404,97 @@ def equal_windows(codes: np.ndarray, starts: np.ndarray, length: int, bases: Ite
     return classes - 1
 
 
+#: What a shard answers for a piece: its first id is that of the chunk; one other for all windows; one for each window.
+_SAME, _ONE, _EACH = 0, 1, 2
+
+
 def first_owners(pieces: DataFrame, length: int) -> DataFrame:
-    """(chunk, variant, firsts): for the windows of a chunk's piece the smallest ids that have them, where not the chunk's own."""
-    def search(table: pa.Table) -> pa.Table:
-        encoded = table["piece"].combine_chunks().dictionary_encode()
-        if isinstance(encoded, pa.ChunkedArray):
-            encoded = encoded.combine_chunks()
+    """(chunk, part, a, b): for a chunk's pieces in shard ``part`` kinds ``a`` of answers, and the smallest ids ``b``."""
+    def search(key: tuple, table: pa.Table) -> pa.Table:
+        own, route, size, texts, n_pieces = [], [], [], [], []
+        for routes, firsts, sizes, packed in zip(*(table[c].to_pylist() for c in ("routes", "firsts", "sizes", "pieces"))):
+            route.append(np.frombuffer(routes, np.uint64))
+            own.append(np.frombuffer(firsts, np.int64))
+            size.append(np.frombuffer(sizes, np.int16).astype(np.int64))
+            n_pieces.append(len(size[-1]))
+            whole, ends = _unzipped(packed), np.cumsum(size[-1] + length - 1).tolist()
+            texts += [whole[a:b] for a, b in zip([0, *ends], ends)]
+        own, route, size = np.concatenate(own), np.concatenate(route), np.concatenate(size)
+        encoded = pa.array(texts, pa.binary()).dictionary_encode()
         piece = encoded.indices.to_numpy().astype(np.int64)
         texts = encoded.dictionary.to_pylist()
-        own = table["first"].to_numpy()
-        first = np.full(len(texts), _LAST)
+        n = len(texts)
+        first, counts, of_key = np.full(n, _LAST), np.zeros(n, np.int64), np.zeros(n, np.uint64)
         np.minimum.at(first, piece, own)
-        key = np.zeros(len(texts), np.int64)
-        key[piece] = table["key"].to_numpy()
-        _, group, kinds = np.unique(key, return_inverse=True, return_counts=True)
+        counts[piece], of_key[piece] = size, route
+        _, group, kinds = np.unique(of_key, return_inverse=True, return_counts=True)
         # Only keys with several distinct pieces hold windows that equal windows of another piece.
         mixed = np.flatnonzero(kinds[group] > 1)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        counts = sizes - length + 1
         at = np.cumsum(counts) - counts
         firsts = np.repeat(first, counts)
         if len(mixed):
             codes = np.frombuffer(b"".join(texts[i] for i in mixed.tolist()), np.uint8)
-            base = np.cumsum(sizes[mixed]) - sizes[mixed]
-            nth = np.arange(counts[mixed].sum()) - np.repeat(np.cumsum(counts[mixed]) - counts[mixed], counts[mixed])
-            same = equal_windows(codes, np.repeat(base, counts[mixed]) + nth, length)
-            where = np.repeat(at[mixed], counts[mixed]) + nth
+            long = counts[mixed] + length - 1
+            same = equal_windows(codes, _ranges(np.cumsum(long) - long, counts[mixed]), length)
+            where = _ranges(at[mixed], counts[mixed])
             least = np.full(same.max() + 1, _LAST)
             np.minimum.at(least, same, firsts[where])
             firsts[where] = least[same]
-        out = []
-        for i, (p, mine) in enumerate(zip(piece.tolist(), own.tolist())):
-            found = firsts[at[p]:at[p] + counts[p]]
-            if (found != mine).any():
-                out.append((i, (found if (found != found[0]).any() else found[:1]).tobytes()))
-        rows, answers = zip(*out) if out else ((), ())
-        rows = pa.array(rows, pa.int64())
-        return pa.table({"chunk": table["chunk"].take(rows), "variant": table["variant"].take(rows),
-                         "firsts": pa.array(answers, pa.binary())})
-    return pieces.groupBy("shard").applyInArrow(search, "chunk long, variant int, firsts binary")
+        low, high = np.minimum.reduceat(firsts, at), np.maximum.reduceat(firsts, at)
+        kind = np.where(low[piece] < high[piece], _EACH, np.where(low[piece] == own, _SAME, _ONE)).astype(np.uint8)
+        edges = np.append(0, np.cumsum(n_pieces)).tolist()
+        kinds, values = [], []
+        for a, b in zip(edges, edges[1:]):
+            answered = piece[a:b][kind[a:b] != _SAME]
+            many = np.where(kind[a:b][kind[a:b] != _SAME] == _EACH, counts[answered], 1)
+            kinds.append(_zipped(kind[a:b].tobytes()))
+            values.append(_zipped(firsts[_ranges(at[answered], many)].tobytes()))
+        return pa.table({"chunk": table["chunk"], "part": table["shard"], "a": pa.array(kinds, pa.binary()),
+                         "b": pa.array(values, pa.binary())})
+    return pieces.groupBy("shard").applyInArrow(search, "chunk long, part int, a binary, b binary")
 
 
 # ------------------------------------------------------------------ removal
 
-def _unpacked(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    rows = [np.frombuffer(b, kind) for b in column.to_pylist()]
-    return np.concatenate(rows), np.array([len(r) for r in rows])
-
-
-def removed_spans(docs: DataFrame, answers: DataFrame, id_type: str, length: int) -> DataFrame:
-    """(id, n_bytes, n_removed, removed, kept): documents with shared runs; ``removed`` lists [from, to) of the removed runs."""
-    def mark(table: pa.Table, found: pa.Table) -> pa.Table:
-        starts, n_runs = _unpacked(table["starts"], np.int64)
-        counts, variants = (_unpacked(table[c], np.int32)[0].astype(np.int64) for c in ("counts", "variants"))
-        doc = np.repeat(np.arange(table.num_rows), n_runs)
-        own = table["own"].to_numpy()
-        n = int(variants.max(initial=-1)) + 1
-        size = np.zeros(n, np.int64)
-        size[variants] = counts
-        at = np.cumsum(size) - size
-        first = np.full(n, _LAST)
-        np.minimum.at(first, variants, own[doc])
-        firsts = np.repeat(first, size)
-        for v, answer in zip(found["variant"].to_pylist(), found["firsts"].to_pylist()):
-            firsts[at[v]:at[v] + size[v]] = np.frombuffer(answer, np.int64)
-        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        covered = firsts[np.repeat(at[variants], counts) + nth] < np.repeat(own[doc], counts)
-        window = (np.repeat(starts, counts) + nth)[covered]
-        edges = np.searchsorted(np.repeat(doc, counts)[covered], np.arange(table.num_rows + 1)).tolist()
-        removed, kept, taken = [], [], []
-        for text, a, b in zip(table["text"].to_pylist(), edges, edges[1:]):
-            codes = np.frombuffer(text, np.uint8)
-            change = np.zeros(len(codes) + 1, np.int16)  # no byte lies in more than ``length`` windows
-            change[window[a:b]] += 1
-            change[window[a:b] + length] -= 1
-            gone = np.cumsum(change[:-1], dtype=np.int16) > 0
-            removed.append([{"from": x, "to": y} for x, y in zip(*(e.tolist() for e in spans(gone)))])
-            taken.append(int(gone.sum()))
-            kept.append(codes[~gone].tobytes())
+def removed_spans(packs: DataFrame, found: DataFrame, id_type: str, n_buckets: int, n_shards: int, length: int,
+                  gram: int) -> DataFrame:
+    """(id, n_bytes, n_removed, removed, kept_sha256): ``removed`` lists [from, to) of the removed runs.
+
+    ``found`` are the rows of :func:`shared_keys` (kind 0) and :func:`first_owners` (kind 1).
+    """
+    def mark(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        chunk = Chunk(texts)
+        chunk.cut(rows.filter(pc.equal(rows["kind"], 0)), n_buckets, n_shards, length, gram)
+        at = np.cumsum(chunk.size) - chunk.size
+        firsts = np.repeat(chunk.first, chunk.size)
+        answers = rows.filter(pc.equal(rows["kind"], 1))
+        answers = dict(zip(answers["part"].to_pylist(), zip(answers["a"].to_pylist(), answers["b"].to_pylist())))
+        for shard, part in chunk.shards():
+            kind, value = (np.frombuffer(_unzipped(x), t) for x, t in zip(answers[shard], (np.uint8, np.int64)))
+            part, kind = part[kind != _SAME], kind[kind != _SAME]
+            many = np.where(kind == _EACH, chunk.size[part], 1)
+            repeats = np.where(kind == _ONE, chunk.size[part], 1)
+            firsts[_ranges(at[part], chunk.size[part])] = np.repeat(value, np.repeat(repeats, many))
+        covered = firsts[_ranges(at[chunk.variant], chunk.count)] < np.repeat(chunk.own[chunk.doc], chunk.count)
+        window = _ranges(chunk.start, chunk.count)[covered]
+        change = np.zeros(len(chunk.codes) + 1, np.int16)  # no byte lies in more than ``length`` windows
+        change[window] += 1
+        change[window + length] -= 1
+        gone = np.cumsum(change[:-1], dtype=np.int16) > 0
+        gone = np.append(gone, False)
+        removed, hashes, taken = [], [], []
+        for end, n in zip(chunk.ends.tolist(), chunk.lengths.tolist()):
+            mine = gone[end - n:end]
+            starts, ends = spans(mine) if n and mine.any() else ((), ())
+            removed.append([{"from": int(x), "to": int(y)} for x, y in zip(starts, ends)])
+            taken.append(sum(x["to"] - x["from"] for x in removed[-1]))
+            kept = chunk.codes[end - n:end]
+            hashes.append(hashlib.sha256(kept[~mine] if removed[-1] else kept).hexdigest())
         span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-        return pa.table({"id": table["id"], "n_bytes": table["n_bytes"], "n_removed": pa.array(taken, pa.int64()),
-                         "removed": pa.array(removed, span), "kept": pa.array(kept, pa.binary())})
-    return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        mark, f"id {id_type}, n_bytes long, n_removed long, removed array<struct<from:long,to:long>>, kept binary")
+        return pa.table({"id": chunk.ids, "n_bytes": chunk.lengths, "n_removed": pa.array(taken, pa.int64()),
+                         "removed": pa.array(removed, span), "kept_sha256": pa.array(hashes, pa.string())})
+    return packs.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
+        mark, f"id {id_type}, n_bytes long, n_removed long, removed array<struct<from:long,to:long>>, kept_sha256 string")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -459,21 +515,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     together = max(1, int(chunk_bytes * max(total["rows"], 1) / max(total["bytes"], 1)))
     long_text = F.octet_length(text) > chunk_bytes // 16
     chunk = F.when(long_text, F.xxhash64(name, number, F.lit(1))).otherwise(F.xxhash64(name, F.floor(number / together)))
-    chunked = narrow.select(chunk.alias("chunk"), F.col(id_col).alias("id"),
+    chunked = narrow.select(chunk.alias("chunk"), number.alias("at"), F.col(id_col).alias("id"),
                             F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("own"), text.alias("text"))
+    packs = pack_chunks(chunked, id_type, chunk_bytes)
     n_buckets = max(8, math.ceil(total["bytes"] / ((length - gram) / 2 + 1) / BUCKET_KEYS))
-    counts = count_keys(chunked, n_buckets, length, gram, chunk_bytes)
-    shared = shared_keys(counts, hot)
-    parts = materialize(cut_pieces(chunked, shared, id_type, n_buckets, length, gram))
-    pieces = parts.where(F.col("piece").isNotNull()).select("chunk", "variant", "key", "piece", "first")
-    held = pieces.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
-    n_shards = max(8, math.ceil(held / shard_bytes))
-    answers = first_owners(pieces.withColumn("shard", F.pmod("key", F.lit(n_shards)).cast("int")), length)
-    texts = parts.where(F.col("piece").isNull())
-    marked = removed_spans(texts.where(F.col("text").isNotNull()).select(
-        "chunk", "id", "own", "n_bytes", "text", "starts", "counts", "variants"), answers, id_type, length)
-    changed = marked.select("id", "n_bytes", "n_removed", "removed", F.sha2("kept", 256).alias("kept_sha256"))
-    whole = texts.where(F.col("text").isNull()).select(
-        "id", "n_bytes", F.lit(0).cast("long").alias("n_removed"),
-        F.array().cast("array<struct<from:long,to:long>>").alias("removed"), F.col("sha256").alias("kept_sha256"))
-    return changed.unionByName(whole).withColumnRenamed("id", id_col)
+    shared = materialize(shared_keys(count_keys(packs, n_buckets, length, gram), hot))
+    n_keys = shared.agg(F.coalesce(F.sum(F.octet_length("b")), F.lit(0))).first()[0]
+    n_shards = max(8, math.ceil(n_keys * (length + (length - gram) / 2) / shard_bytes))
+    answers = first_owners(cut_pieces(packs, shared, n_buckets, n_shards, length, gram), length)
+    found = shared.withColumn("kind", F.lit(0)).unionByName(answers.withColumn("kind", F.lit(1)))
+    return removed_spans(packs, found, id_type, n_buckets, n_shards, length, gram).withColumnRenamed("id", id_col)

@@ -54,7 +54,7 @@ def some_rows(seed=3):
     return rows + [(None, texts[3]), (None, texts[3]), (None, None), (5, texts[7]), (5, texts[7]), (-4, prose(30))]
 
 
-@pytest.mark.parametrize("options", [{}, {"chunk_bytes": 2000, "shard_bytes": 1500, "hot": 3}, {"gram": 40, "hot": 10}, {"gram": 5}])
+@pytest.mark.parametrize("options", [{}, {"chunk_bytes": 2000, "shard_bytes": 1500, "hot": 3, "gram": 16}, {"gram": 40, "hot": 10}, {"gram": 5}])
 def test_removal_matches_brute_force(spark, options):
     rows = [(i, t, "x", "y", 1, "z") for i, t in some_rows()]
     df = spark.createDataFrame(rows, DOCS).repartition(7)
