@@ -1,14 +1,14 @@
 """Credit models over look-back chains: one unit of credit per converting visit.
 
 A chain is the run of a visitor's visits from the first one in the window to the
-last one in the converting visit's second. First touch, last touch, last
-significant, linear and transitions never build (conversion, touch) pairs: probe
-rows at the window's two ends are ordered among the visits by the chunked scan, and
-running values at the probes answer. Time decay and assisted read the chain table.
+last one in the converting visit's second. No model builds (conversion, touch)
+pairs: probe rows at the windows' two ends are ordered among the visits by the
+chunked scan, and running values at the probes answer.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from pathcredit.constants import DEFAULT_HALF_LIFE_DAYS, DEFAULT_LOOKBACK_DAYS
 from pathcredit.functions.codes import is_significant
-from pathcredit.operators.scan import USER, chunk_rows, running
+from pathcredit.operators.scan import CHUNK, USER, chunk_rows, running
 
-CHAIN = [*USER, "conv_gidx"]
 DAY = 86400
 BEFORE, AT, AFTER = -1, 0, 1  # where a row stands among the visits of its second
 PLACE = ("ts", "kind", "gidx")
@@ -95,18 +94,96 @@ def lookback_linear(touches: DataFrame, ends: DataFrame, days: int = DEFAULT_LOO
     return _credit(placed.where((F.col("kind") != AT) & (earned > 0)), "source_code", earned)
 
 
-def lookback_time_decay(ch: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
-    if half_life <= 0:
-        raise ValueError(f"half_life must be positive, got {half_life}")
-    w = ch.withColumn("_w", F.pow(F.lit(2.0), -F.col("days_before_conv") / F.lit(float(half_life))))
-    totals = w.groupBy(*CHAIN).agg(F.sum("_w").alias("_tw"))
-    return _credit(w.join(totals, CHAIN).where(F.col("_tw") > 0), "source_code", F.col("_w") / F.col("_tw"))
+#: Half-lives in a block of sums of powers: 2**400 and its square stay far inside the range of doubles.
+_BLOCK = 400
+
+
+def _decay_span(days: int, half_life: float) -> int:
+    """Seconds of the window in which weights matter: beyond 400 half-lives (2**-400 of the converting visit's weight) none does."""
+    return min(int(days) * DAY, max(1, math.ceil(_BLOCK * float(half_life) * DAY)))
+
 
+def _power(seconds: Column, half_life: float) -> Column:
+    return F.pow(F.lit(2.0), seconds / F.lit(float(half_life) * DAY))
 
-def lookback_assisted(ch: DataFrame) -> DataFrame:
-    """Each distinct source seen before the last position of a chain gets 1 per chain."""
-    firsts = ch.groupBy(*CHAIN, "source_code").agg(F.min("position").alias("_p"), F.max("chain_length").alias("_n"))
-    return _credit(firsts.where(F.col("_p") < F.col("_n")), "source_code", F.lit(1.0))
+
+def decay_norms(touches: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS,
+                half_life: float = DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
+    """(visitor, conv_gidx, conv_ts, norm): per converting visit the sum of its chain's weights, without pairs.
+
+    A sliding sum of exponentials: time is cut into blocks as long as the window,
+    weights are taken relative to their block's start, and the window is the rest of one
+    block, read at a probe at its beginning, and the next block up to the converting
+    visit's second, read at a probe there. Everything is added up, nothing subtracted.
+    """
+    span, ts, block = _decay_span(days, half_life), F.col("ts"), F.col("block")
+    zero = F.lit(0.0).alias("w")
+    conv = touches.where(F.col("c") > 0)
+    weight = _power(ts - F.floor(ts / span) * span, half_life).alias("w")
+    placed = _placed([_rows(touches, ts, AT, weight), _rows(conv, ts - span, BEFORE, zero), _rows(conv, ts, AFTER, zero)],
+                     [("rest", "rsum", F.col("w"), False, ["block"]), ("begun", "sum", F.col("w"), False, ["block"])], span)
+    at_start = F.col("kind") == BEFORE
+    age = F.when(at_start, ts + span - block * span).otherwise(ts - block * span)  # from the block's start to the conversion
+    part = F.when(at_start, F.col("rest")).otherwise(F.col("begun")) * _power(-age, half_life)
+    return placed.where(F.col("kind") != AT).groupBy(*USER, F.col("gidx").alias("conv_gidx")).agg(
+        F.max(F.when(~at_start, ts)).alias("conv_ts"), F.sum(part).alias("norm"))
+
+
+def lookback_time_decay(touches: DataFrame, ends: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS,
+                        half_life: float = DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
+    """Weights ``2^(-days before the conversion / half_life)``, normalised per chain, without (conversion, touch) pairs.
+
+    A visit earns its weight over the norm from each conversion in the window after it: the
+    same two blocks as in :func:`decay_norms`, seen from the visit. Where the window is far longer than the
+    half-life, visits beyond 400 half-lives earn 0; their sources still have a row.
+    """
+    if half_life <= 0:
+        raise ValueError(f"half_life must be positive, got {half_life}")
+    span, ts, block = _decay_span(days, half_life), F.col("ts"), F.col("block")
+    if not span:  # chains of one second: all weights are equal
+        return lookback_linear(touches, ends, days)
+    norms = decay_norms(touches, days, half_life)
+    nothing = F.lit(0.0).alias("part")
+    source = F.col("source_code")
+    share = (_power(-(F.col("conv_ts") - F.floor(F.col("conv_ts") / span) * span), half_life) / F.col("norm")).alias("part")
+    placed = _placed(
+        [_rows(touches, ts, BEFORE, source, nothing), _rows(touches, ts + span, AFTER, source, nothing),
+         _rows(norms.withColumn("gidx", F.col("conv_gidx")), F.col("conv_ts"), AT,
+               F.lit(None).cast("string").alias("source_code"), share)],
+        [("rest", "rsum", F.col("part"), False, ["block"]), ("begun", "sum", F.col("part"), False, ["block"])], span)
+    own = F.col("kind") == BEFORE
+    age = F.when(own, ts - block * span).otherwise(ts - span - block * span)  # of the visit from the block's start
+    earned = F.when(own, F.col("rest")).otherwise(F.col("begun")) * _power(age, half_life)
+    credit = placed.where((F.col("kind") != AT) & (F.col("rest") + F.col("begun") > 0)).select(
+        "goal_id", "source_code", earned.alias("credit")).where("credit > 0")
+    if span < int(days) * DAY:
+        credit = credit.unionByName(lookback_linear(touches, ends, days).select(
+            "goal_id", "source_code", F.lit(0.0).alias("credit")))
+    return _credit(credit, "source_code", F.col("credit"))
+
+
+def lookback_assisted(touches: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
+    """Each distinct source seen before the last position of a chain gets 1 per chain, without pairs.
+
+    A source is counted at its last occurrence: a visit answers for the conversions from the
+    next visit's second on, up to the window's end, but only until the visit after the source's next visit.
+    Those are a difference of two running counts of conversions.
+    """
+    span = int(days) * DAY
+    visits = running(touches.select(CHUNK, *USER, "gidx", "ts", "source_code"),
+                     [("after", "next", F.struct("ts"), False, [])], order=("gidx",))
+    visits = visits.select(*USER, "gidx", "ts", "source_code", F.col("after.ts").alias("next_ts"))
+    by_source = [*USER, "source_code"]
+    again = running(chunk_rows(visits, user=by_source, order=("gidx",)),
+                    [("again", "next", F.struct("next_ts"), False, [])], by_source, ("gidx",))
+    until = F.least(F.col("ts") + span, F.col("again.next_ts") - 1)  # nulls are ignored: not seen again, or last
+    asked = again.select(*USER, "gidx", "source_code", "next_ts", until.alias("until")).where(F.col("next_ts") <= F.col("until"))
+    none = F.lit(None).cast("string").alias("source_code")
+    zero, source = F.lit(0).alias("n"), F.col("source_code")
+    placed = _placed([_rows(touches.where(F.col("c") > 0), F.col("ts"), AT, none, F.lit(1).alias("n")),
+                      _rows(asked, F.col("next_ts"), BEFORE, source, zero), _rows(asked, F.col("until"), AFTER, source, zero)],
+                     [("upto", "sum", F.col("n"), False, [])])
+    return _credit(placed.where(F.col("kind") != AT), "source_code", F.col("kind") * F.col("upto")).where("credit > 0")
 
 
 def lookback_transitions(touches: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pathcredit.config import materialize
 from pathcredit.constants import DEFAULT_HALF_LIFE_DAYS
 from pathcredit.functions.codes import is_significant
-from pathcredit.operators.scan import CHUNK, USER, layout, running
+from pathcredit.operators.scan import CHUNK, ORDER, USER, layout, running
 
 SESSION = [*USER, "session_id"]
 S = ["session_id"]
@@ -59,7 +59,7 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True,
         F.col("revenue").cast("double").alias("r"),
     )
     df = df.withColumn("k", (F.col("c") > 0).cast("long")).withColumn("z", _decay_weight(half_life))
-    touch = F.struct("ts", "visit_id", "source_code")
+    touch = F.struct(*ORDER, "source_code")
     specs = [
         ("gidx", "sum", F.lit(1).cast("long"), False, []),
         ("uprev", "max", touch, True, []),

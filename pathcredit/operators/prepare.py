@@ -37,31 +37,40 @@ def flatten_touch(live: DataFrame) -> DataFrame:
             .withColumn("source_code", source_code("_touch")))
 
 
-def prepare_visits(raw: DataFrame, counter_id: int | None, goal_ids: int | Iterable[int]) -> DataFrame:
-    """Prepared visits: one row per (goal, live visit) with code, conversions and revenue.
+def live_visits(raw: DataFrame, counter_id: int | None, goal_ids: int | Iterable[int]) -> DataFrame:
+    """One row per live visit, whatever the number of goals: channel code and ``goals``, each goal's conversions
+    and revenue.
 
     Channel code, goal hits and revenue are derived per delivery before the
     collapse, so the shuffle on the visit key carries a few scalars instead of
     the nested arrays; the latest version's values are the same either way.
-    ``goal_ids`` may be one goal or several; several goals explode into one copy
-    of each visit per goal so all later keys simply carry ``goal_id``.
     """
     if counter_id is not None:
         raw = raw.where(F.col("counter_id") == F.lit(int(counter_id)))
     goals = [int(goal_ids)] if isinstance(goal_ids, int) else [int(g) for g in goal_ids]
-    per_goal = F.array(*[F.struct(F.lit(g).cast("long").alias("goal_id"),
-                                  goal_hits("goals", g).alias("conversions"),
-                                  goal_revenue("goals", g).alias("revenue")) for g in goals])
+    each = F.array(*[F.struct(F.lit(g).cast("long").alias("goal_id"),
+                              goal_hits("goals", g).alias("conversions"),
+                              goal_revenue("goals", g).alias("revenue")) for g in goals])
     flat = raw.select(
         *VISIT_KEY, "visit_version", "sign", "utc_start_time", "duration",
-        source_code(primary_touch("traffic_source")).alias("source_code"), per_goal.alias("_per_goal"),
+        source_code(primary_touch("traffic_source")).alias("source_code"), each.alias("goals"),
     )
-    latest = F.max_by(F.struct("utc_start_time", "duration", "source_code", "_per_goal"),
+    latest = F.max_by(F.struct("utc_start_time", "duration", "source_code", "goals"),
                       F.struct("visit_version", "sign"))
-    live = (flat.groupBy(*VISIT_KEY).agg(F.sum("sign").alias("_signs"), latest.alias("_l"))
+    return (flat.groupBy(*VISIT_KEY).agg(F.sum("sign").alias("_signs"), latest.alias("_l"))
             .where(F.col("_signs") > 0).select(*VISIT_KEY, "_l.*"))
-    return live.select(
-        "counter_id", "user_id", "visit_id", "start_date", "utc_start_time", "duration", "source_code",
-        F.explode("_per_goal").alias("_g"),
-    ).select("_g.goal_id", "counter_id", "user_id", "visit_id", "start_date", "utc_start_time", "duration",
-             "source_code", "_g.conversions", "_g.revenue")
+
+
+def per_goal(visits: DataFrame) -> DataFrame:
+    """One row per (goal, visit) of :func:`live_visits`, or of any table with its columns, in place of ``goals``.
+
+    Nothing moves: visits laid out by chunk stay so.
+    """
+    others = [c for c in visits.columns if c not in ("goals", *VISIT_KEY)]
+    return visits.select(*VISIT_KEY, *others, F.explode("goals").alias("_g")).select(
+        "_g.goal_id", *VISIT_KEY, *others, "_g.conversions", "_g.revenue")
+
+
+def prepare_visits(raw: DataFrame, counter_id: int | None, goal_ids: int | Iterable[int]) -> DataFrame:
+    """Prepared visits: one row per (goal, live visit) with code, conversions and revenue."""
+    return per_goal(live_visits(raw, counter_id, goal_ids))

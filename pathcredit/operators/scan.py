@@ -21,10 +21,11 @@ from pathcredit.config import materialize
 
 CHUNK = "_chunk"
 START = "_chunk_start"  # first (order) key of a user's rows in a chunk: orders a user's chunks
-USER = ("goal_id", "counter_id", "user_id")
-ORDER = ("ts", "visit_id")
+VISITOR = ("counter_id", "user_id")
+USER = ("goal_id", *VISITOR)
+ORDER = ("ts", "visit_id", "start_date")  # one visit id may be live on two dates
 
-_AGG = {"sum": F.sum, "rsum": F.sum, "max": F.max, "min": F.min, "list": F.collect_list}
+_AGG = {"sum": F.sum, "rsum": F.sum, "max": F.max, "min": F.min}
 
 
 def chunk_rows(df: DataFrame, n_chunks: int | None = None,
@@ -81,8 +82,9 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     """Add running aggregates within contiguous segments of each user's ordered rows.
 
     Each spec is ``(name, kind, column, exclusive, segment)``: ``kind`` is
-    ``sum``/``max``/``min``/``list`` (ordered prefix list) over the rows up to this one, or ``rsum``, the sum
-    over this and all later rows (added up from the end, so a tail of zeros is exactly 0);
+    ``sum``/``max``/``min`` over the rows up to this one, ``rsum``, the sum
+    over this and all later rows (added up from the end, so a tail of zeros is exactly 0), or ``next``, the
+    value of the user's next row (never null itself; null after the last one; no segment);
     ``segment`` lists columns (beyond ``user``) whose
     values never decrease along the order, so each value is one contiguous run
     of rows (a session number, a session-day); exclusive specs aggregate
@@ -101,6 +103,9 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     added = []
     for name, kind, col, excl, seg in specs:
         base = local_window(user, [*full[len(seg):], *order] if nested else order, seg)
+        if kind == "next":
+            added += [col.alias(f"_li_{name}"), F.lead(col).over(base).alias(f"_le_{name}")]
+            continue
         backward = kind == "rsum"
         frame = ((Window.currentRow, Window.unboundedFollowing) if backward
                  else (Window.unboundedPreceding, Window.currentRow))
@@ -118,20 +123,20 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
         F.min(last).alias(START),
         *[F.min_by(f"_seg{i}", last).alias(f"_fseg{i}") for i in sid.values()],
         *[F.max_by(f"_seg{i}", last).alias(f"_tseg{i}") for i in sid.values()],
-        # What a chunk hands on: its last row's running value, or its first row's for sums from the end.
-        *[(F.min_by if s[1] == "rsum" else F.max_by)(f"_li_{s[0]}", last).alias(f"_t_{s[0]}") for s in specs],
+        # What a chunk hands on: its last row's running value, or its first row's for sums from the end and next rows.
+        *[(F.min_by if s[1] in ("rsum", "next") else F.max_by)(f"_li_{s[0]}", last).alias(f"_t_{s[0]}") for s in specs],
     ).repartition(*user)
     # Tails of consecutive chunks that end in the same segment accumulate.
     cum = []
     for name, kind, _, _, seg in specs:
         i = sid[tuple(seg)]
         w_tail = Window.partitionBy(*user, f"_tseg{i}").orderBy(START).rowsBetween(Window.unboundedPreceding, 0)
-        if kind == "rsum":  # heads of consecutive chunks that begin in the same segment
+        if kind == "next":
+            cum.append(F.col(f"_t_{name}").alias(f"_c_{name}"))
+        elif kind == "rsum":  # heads of consecutive chunks that begin in the same segment
             w_head = (Window.partitionBy(*user, f"_fseg{i}").orderBy(START)
                       .rowsBetween(0, Window.unboundedFollowing))
             cum.append(F.sum(f"_t_{name}").over(w_head).alias(f"_c_{name}"))
-        elif kind == "list":
-            cum.append(F.flatten(F.collect_list(f"_t_{name}").over(w_tail)).alias(f"_c_{name}"))
         else:
             cum.append(_AGG[kind](f"_t_{name}").over(w_tail).alias(f"_c_{name}"))
     summary = summary.select(CHUNK, *user, START, *[f"_fseg{i}" for i in sid.values()],
@@ -140,6 +145,9 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     carries = []
     for name, kind, _, _, seg in specs:
         i = sid[tuple(seg)]
+        if kind == "next":
+            carries.append(F.lead(f"_c_{name}").over(w_user).alias(f"_k_{name}"))
+            continue
         if kind == "rsum":
             goes_on = F.lead(f"_fseg{i}").over(w_user) == F.col(f"_tseg{i}")
             carries.append(F.when(goes_on, F.lead(f"_c_{name}").over(w_user)).alias(f"_k_{name}"))
@@ -153,13 +161,15 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     values = []
     for name, kind, _, excl, seg in specs:
         i = sid[tuple(seg)]
+        if kind == "next":
+            values.append(F.coalesce(f"_le_{name}", f"_k_{name}").alias(name))
+            temp += [f"_li_{name}", f"_le_{name}", f"_k_{name}"]
+            continue
         local = F.col(f"_le_{name}" if excl else f"_li_{name}")
         open_end = f"_tseg{i}" if kind == "rsum" else f"_fseg{i}"
         carry = F.when(F.col(f"_seg{i}") == F.col(open_end), F.col(f"_k_{name}"))
         if kind in ("sum", "rsum"):
             value = F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
-        elif kind == "list":
-            value = F.when(carry.isNull(), local).otherwise(F.concat(carry, local))
         elif kind == "max":
             value = F.greatest(local, carry)
         else:

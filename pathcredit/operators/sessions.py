@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,26 +16,27 @@ def with_ts(prepared: DataFrame) -> DataFrame:
     return prepared.withColumn("ts", F.unix_seconds("utc_start_time"))
 
 
-def _chunked(prepared: DataFrame, n_chunks: int | None) -> DataFrame:
+def _chunked(prepared: DataFrame, n_chunks: int | None, user: Sequence[str] = USER) -> DataFrame:
     """Prepared visits tagged with their chunk plus local order, previous local time."""
-    w = local_window()
-    return (chunk_rows(with_ts(prepared), n_chunks)
+    w = local_window(user)
+    return (chunk_rows(with_ts(prepared), n_chunks, user)
             .withColumn("_rn", F.row_number().over(w))
             .withColumn("_lag", F.lag("ts").over(w)))
 
 
-def _chunk_bounds(local: DataFrame) -> DataFrame:
+def _chunk_bounds(local: DataFrame, user: Sequence[str] = USER) -> DataFrame:
     """Per (chunk, visitor): first/last time, rows, and the previous chunk's last time."""
-    s = local.groupBy(CHUNK, *USER).agg(F.min("ts").alias("_first_ts"), F.max("ts").alias("_last_ts"),
+    s = local.groupBy(CHUNK, *user).agg(F.min("ts").alias("_first_ts"), F.max("ts").alias("_last_ts"),
                                          F.count("*").alias("_n"),
-                                         F.min(F.struct(*ORDER)).alias(START)).repartition(*USER)
-    return s.withColumn("_prev_last_ts", F.lag("_last_ts").over(Window.partitionBy(*USER).orderBy(START)))
+                                         F.min(F.struct(*ORDER)).alias(START)).repartition(*user)
+    return s.withColumn("_prev_last_ts", F.lag("_last_ts").over(Window.partitionBy(*user).orderBy(START)))
 
 
 def _gaps(local: DataFrame, bounds: DataFrame) -> DataFrame:
-    inner = local.where(F.col("_rn") > 1).select("goal_id", (F.col("ts") - F.col("_lag")).alias("gap"))
+    goal = ["goal_id"] if "goal_id" in local.columns else []
+    inner = local.where(F.col("_rn") > 1).select(*goal, (F.col("ts") - F.col("_lag")).alias("gap"))
     first = bounds.where(F.col("_prev_last_ts").isNotNull()).select(
-        "goal_id", (F.col("_first_ts") - F.col("_prev_last_ts")).alias("gap"))
+        *goal, (F.col("_first_ts") - F.col("_prev_last_ts")).alias("gap"))
     return inner.unionByName(first)
 
 
@@ -66,16 +69,14 @@ def exact_quantile(values: DataFrame, column: str, quantile: float) -> float | N
     return low + (rank - int(rank)) * (high - low)
 
 
-def timeout_value(gaps: DataFrame, quantile: float = TIMEOUT_QUANTILE, default: int = DEFAULT_TIMEOUT_SECONDS,
-                  goal_id: int | None = None) -> int:
+def timeout_value(gaps: DataFrame, quantile: float = TIMEOUT_QUANTILE, default: int = DEFAULT_TIMEOUT_SECONDS) -> int:
     """Integer part of the exact quantile of positive gaps, else ``default``.
 
-    With several goals the visits repeat per goal, so only one goal's copy
-    counts: ``goal_id``, by default the smallest.
+    Visits that repeat per goal count once: only the smallest goal's copy.
     """
-    if goal_id is None:
-        goal_id = gaps.agg(F.min("goal_id")).first()[0]
-    p = exact_quantile(gaps.where((F.col("goal_id") == F.lit(goal_id)) & (F.col("gap") > 0)), "gap", quantile)
+    if "goal_id" in gaps.columns:
+        gaps = gaps.where(F.col("goal_id") == F.lit(gaps.agg(F.min("goal_id")).first()[0]))
+    p = exact_quantile(gaps.where(F.col("gap") > 0), "gap", quantile)
     return int(p) if p is not None and int(p) > 0 else default
 
 
@@ -97,8 +98,8 @@ def session_timeout(prepared: DataFrame, quantile: float = TIMEOUT_QUANTILE,
 
 
 def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunks: int | None = None,
-               quantile: float = TIMEOUT_QUANTILE, gaps_of: int | None = None) -> DataFrame:
-    """Session id (1-based per visitor) and position of every visit.
+               quantile: float = TIMEOUT_QUANTILE, user: Sequence[str] = USER) -> DataFrame:
+    """Session id (1-based per visitor) and position of every visit; ``user`` tells visitors apart.
 
     A new session starts at a visitor's first visit and after any gap strictly
     longer than the timeout. ``timeout=None`` learns it from the data (one scalar
@@ -106,23 +107,23 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
     give every row its previous time, session id and position, with the carry
     from earlier chunks of the same visitor; rows keep the (chunk, visitor) layout.
     """
-    local = _chunked(prepared, n_chunks)
-    bounds = _chunk_bounds(local)
+    local = _chunked(prepared, n_chunks, user)
+    bounds = _chunk_bounds(local, user)
     if timeout is None:
         # One number, computed once over the chunk-local gaps; every later stage
         # then compares against a literal instead of re-planning a subquery.
-        timeout = F.lit(timeout_value(_gaps(local, bounds), quantile, goal_id=gaps_of))
+        timeout = F.lit(timeout_value(_gaps(local, bounds), quantile))
     elif not isinstance(timeout, Column):
         timeout = F.lit(int(timeout))
     T = timeout.cast("long")
 
     local_start = (F.col("_rn") > 1) & (F.col("ts") - F.col("_lag") > T)
-    inner = local.groupBy(CHUNK, *USER).agg(
+    inner = local.groupBy(CHUNK, *user).agg(
         F.sum(local_start.cast("long")).alias("_starts"),
         F.max(F.when(local_start, F.col("_rn"))).alias("_last_start_rn"),
     )
-    s = bounds.join(inner, [CHUNK, *USER])
-    wu = Window.partitionBy(*USER).orderBy(START)
+    s = bounds.join(inner, [CHUNK, *user])
+    wu = Window.partitionBy(*user).orderBy(START)
     first_start = F.col("_prev_last_ts").isNull() | (F.col("_first_ts") - F.col("_prev_last_ts") > T)
     s = s.withColumn("_first_start", first_start)
     s = s.withColumn("_grp_starts", F.col("_starts") + F.col("_first_start").cast("long"))
@@ -135,18 +136,18 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
     s = s.withColumn("_block", F.sum((F.col("_grp_starts") > 0).cast("long")).over(
         wu.rowsBetween(Window.unboundedPreceding, 0)))
     s = s.withColumn("_open", F.sum(tail).over(
-        Window.partitionBy(*USER, "_block").orderBy(START).rowsBetween(Window.unboundedPreceding, 0)))
-    s = s.select(CHUNK, *USER, "_prev_last_ts", "_first_start", "_carry_sid",
+        Window.partitionBy(*user, "_block").orderBy(START).rowsBetween(Window.unboundedPreceding, 0)))
+    s = s.select(CHUNK, *user, "_prev_last_ts", "_first_start", "_carry_sid",
                  F.lag("_open").over(wu).alias("_carry_pos"))
 
-    df = local.join(s, [CHUNK, *USER], "left")
+    df = local.join(s, [CHUNK, *user], "left")
     first = F.col("_rn") == 1
     prev = F.when(first, F.col("_prev_last_ts")).otherwise(F.col("_lag"))
     gap = F.col("ts") - prev
     start = F.when(first, F.col("_first_start")).otherwise(gap > T)
     df = df.select("*", prev.alias("prev_ts"), gap.alias("gap"), T.alias("timeout_seconds"),
                    start.alias("is_start"))
-    w = local_window()
+    w = local_window(user)
     df = df.select("*", F.sum(F.col("is_start").cast("long")).over(w).alias("_loc_starts"),
                    F.max(F.when(F.col("is_start"), F.col("_rn"))).over(w).alias("_loc_start_rn"))
     pos = (F.when(F.col("_loc_start_rn").isNotNull(), F.col("_rn") - F.col("_loc_start_rn") + 1)

@@ -20,8 +20,10 @@ from pathcredit.operators import chains as C
 from pathcredit.operators import lookback as L
 from pathcredit.operators import models as M
 from pathcredit.operators import views as V
-from pathcredit.operators.prepare import prepare_visits
+from pathcredit.operators.prepare import live_visits, per_goal
+from pathcredit.operators.scan import VISITOR
 from pathcredit.operators.sessions import sessionize
+from pathcredit.plans import checks as G
 from pathcredit.sources import sinks
 from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionaries
 from pathcredit.sources.visits import raw_visits, scan_visits
@@ -39,16 +41,28 @@ class AttributionRun:
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
     dictionary_dir: str = BUNDLED_DIR
     calculated_at: Column | None = field(default=None)
+    checks: DataFrame | None = field(default=None)  # set by a daily run
+
+    @property
+    def goals(self) -> tuple[int, ...]:
+        return (self.goal_ids,) if isinstance(self.goal_ids, int) else tuple(self.goal_ids)
+
+    @cached_property
+    def live(self) -> DataFrame:
+        return live_visits(self.raw, self.counter_id, self.goals)
 
     @cached_property
     def prepared(self) -> DataFrame:
-        return prepare_visits(self.raw, self.counter_id, self.goal_ids)
+        return per_goal(self.live)
 
     @cached_property
     def _sessionized(self) -> DataFrame:
-        """Sessionize plan (writes the chunk table and learns the timeout when not given)."""
-        goals = [self.goal_ids] if isinstance(self.goal_ids, int) else list(self.goal_ids)
-        return sessionize(self.prepared, self.timeout, self.n_chunks, gaps_of=min(goals))
+        """Sessionize plan (writes the chunk table and learns the timeout when not given).
+
+        Sessions do not depend on the goal: visits are laid out and cut into sessions
+        once, and become a row per goal inside their chunks.
+        """
+        return per_goal(sessionize(self.live, self.timeout, self.n_chunks, user=VISITOR))
 
     @cached_property
     def touches(self) -> DataFrame:
@@ -91,11 +105,20 @@ class AttributionRun:
     def assisted_long(self) -> DataFrame:
         return V.v_assisted_long(self.named_results)
 
-    def write(self, out: str) -> None:
-        """The job's outputs under ``out``: prepared visits as a whole, the others per goal."""
-        sinks.write_prepared(self.prepared, f"{out}/{PREPARED}")
-        for name, table in ((COMBINED, self.chains), (RESULTS, self.results), (TRANSITIONS, self.transitions)):
-            sinks.replace_goal(table, f"{out}/{name}")
+    def write(self, out: str) -> DataFrame:
+        """The job's outputs under ``out``: prepared visits as a whole, the others per goal. Returns the checks.
+
+        The checks are observed while the tables are written: no table is read again.
+        """
+        rows = F.count("*").alias("rows")
+        seen = {PREPARED: sinks.write_prepared(self.prepared, f"{out}/{PREPARED}", rows, F.sum("conversions").alias("conversions"))}
+        for name, table, metrics in ((COMBINED, C.chain_ends(self.sessions), [rows]),
+                                     (TOUCHES, C.touch_blocks(self.sessions), [rows]),
+                                     (RESULTS, self.results, [rows, *G.model_metrics()]),
+                                     (TRANSITIONS, self.transitions, [rows])):
+            seen[name] = sinks.replace_goals(table, f"{out}/{name}", self.goals, *metrics)
+        return G.observed_checks(self.spark, {n: seen[n]["rows"] for n in (PREPARED, COMBINED, RESULTS, TRANSITIONS)},
+                                 seen[RESULTS], seen[PREPARED]["conversions"])
 
     @cached_property
     def chains(self) -> DataFrame:
@@ -110,21 +133,28 @@ class AttributionRun:
         return materialize(L.chain_ends(self.touches, self.lookback_days))
 
 
-PREPARED, COMBINED, RESULTS, TRANSITIONS = ("visits_prepared", "visits_combined", "attribution_results",
-                                            "source_transitions")
+PREPARED, COMBINED, TOUCHES, RESULTS, TRANSITIONS = (
+    "visits_prepared", "visits_combined", "visits_combined_touches", "attribution_results", "source_transitions")
+
+
+def read_combined(spark: SparkSession, out: str, where: Column | None = None) -> DataFrame:
+    """The combined visits under ``out`` with their arrays, of the chains ``where`` selects."""
+    ends = spark.read.parquet(f"{out}/{COMBINED}")
+    return C.read_chains(ends if where is None else ends.where(where), spark.read.parquet(f"{out}/{TOUCHES}"))
 
 
 def run_daily(spark: SparkSession, source: str | DataFrame, out: str, counter_id: int, goal_ids: int | Iterable[int],
               half_life: float = DEFAULT_HALF_LIFE_DAYS) -> AttributionRun:
-    """The daily job: raw deliveries of a counter to the four tables under ``out``.
+    """The daily job: raw deliveries of a counter to the tables under ``out``.
 
     Prepared visits are refreshed as a whole; the goals' partitions of the
-    combined visits, results and transitions are replaced, other goals stay.
+    combined visits, their touches, results and transitions are replaced, also by nothing; other goals
+    stay. The run's ``checks`` hold the observed counts, sums and invariants.
     """
     ensure_utc(spark)
     goals = goal_ids if isinstance(goal_ids, int) else tuple(goal_ids)
     run = AttributionRun(spark, scan_visits(spark, source, counter_id), counter_id, goals, half_life)
-    run.write(out)
+    run.checks = run.write(out)
     return run
 
 

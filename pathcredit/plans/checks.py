@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.constants import TOP_GOALS, TOP_LAST_TOUCH
+from pathcredit.constants import MODEL_LABELS, TOP_GOALS, TOP_LAST_TOUCH
 
 
 def table_counts(spark, tables: dict[str, DataFrame]) -> DataFrame:
@@ -17,6 +17,25 @@ def table_counts(spark, tables: dict[str, DataFrame]) -> DataFrame:
     return out.withColumn("empty", (F.col("rows") == 0).cast("int"))
 
 
+def model_metrics() -> list[Column]:
+    """Aggregates of the results table, per model, for a write that observes them."""
+    of = [(m, F.col("attribution_type") == m) for m in MODEL_LABELS]
+    return [F.coalesce(F.sum(F.when(is_model, F.lit(1.0) if c == "rows" else F.col(c))), F.lit(0.0)).alias(f"{c}:{m}")
+            for m, is_model in of for c in ("rows", "visits", "conversions", "revenue")]
+
+
+def observed_checks(spark: SparkSession, counts: dict[str, int], sums: dict[str, float], conversions: int) -> DataFrame:
+    """(check_name, subject, value) from what the daily job's writes observed: rows of each table, rows and sums of
+    each model, and the two invariants (1: holds): models have equal visit totals and the prepared conversions."""
+    rows = [("table_rows", name, float(n)) for name, n in counts.items()]
+    models = [m for m in MODEL_LABELS if sums[f"rows:{m}"]]
+    rows += [(c, m, round(sums[f"{c}:{m}"], 2)) for m in models for c in ("rows", "visits", "conversions", "revenue")]
+    equal = len({round(sums[f"visits:{m}"], 2) for m in models}) <= 1
+    rows += [("visit_invariant", "all", float(equal))]
+    rows += [("conversion_invariant", m, float(abs(sums[f"conversions:{m}"] - (conversions or 0)) < 1e-6)) for m in models]
+    return spark.createDataFrame(rows, "check_name string, subject string, value double")
+
+
 def model_summary(results: DataFrame) -> DataFrame:
     return (results.groupBy("attribution_type")
             .agg(F.count("*").alias("rows"), F.round(F.sum("visits"), 2).alias("visits"),

@@ -124,7 +124,8 @@ vs{s} AS (
 cp{s} AS (
   SELECT i.goal_id, i.counter_id, i.user_id, i.visit_id AS chain_id, CAST(i.utc_start_time AS DATE) AS d,
          CAST(i.conversions AS DOUBLE) AS c, i.revenue AS r, i.ts AS its, i.pos AS len,
-         j.source_code AS src, j.ts AS jts, j.pos AS jpos, j.visit_id AS jvid
+         j.source_code AS src, j.ts AS jts, j.pos AS jpos, j.visit_id AS jvid,
+         j.conversions AS jc
   FROM vs{s} i JOIN vs{s} j ON i.goal_id = j.goal_id AND i.counter_id = j.counter_id
        AND i.user_id = j.user_id AND i.session_id = j.session_id AND j.pos <= i.pos)"""
 

@@ -184,9 +184,9 @@ for _root, _fn in DICTIONARY_FILES.items():
 def _(spark, sf):
     path = _scratch(spark, "goal-replace")
     first = _run(spark, sf, goal_ids=(99, 42)).results.drop("calculated_at")
-    sinks.replace_goal(first, path)
+    sinks.replace_goals(first, path, (99, 42))
     redo = _run(spark, sf, goal_ids=42, half_life=14.0).results.drop("calculated_at")
-    sinks.replace_goal(redo, path)
+    sinks.replace_goals(redo, path, (42,))
     return spark.read.parquet(path).select(*RESULT, "assisted_conversions", "assisted_revenue")
 
 
@@ -330,7 +330,9 @@ def _(spark, sf):
 
 @query("chains", """
   SELECT goal_id, counter_id, user_id, chain_id AS visit_id, d AS start_date, CAST(MAX(len) AS BIGINT) AS chain_length,
-         string_agg(src, ' > ' ORDER BY jpos) AS path, MAX(c) AS conversions, MAX(r) AS revenue
+         string_agg(src, ' > ' ORDER BY jpos) AS path, string_agg(CAST(jvid AS VARCHAR), ' > ' ORDER BY jpos) AS visit_ids,
+         string_agg(CAST(jts AS VARCHAR), ' > ' ORDER BY jpos) AS times, string_agg('2_VISIT', ' > ' ORDER BY jpos) AS event_types,
+         string_agg(CAST(jc AS VARCHAR), ' > ' ORDER BY jpos) AS touch_conversions, MAX(c) AS conversions, MAX(r) AS revenue
   FROM cp GROUP BY goal_id, counter_id, user_id, chain_id, d""", ("conversions", "revenue"))
 def _(spark, sf):
     return C.chain_paths(_run(spark, sf).chains)
@@ -386,10 +388,11 @@ for _key, _sql, _fn in (
        JOIN lbsig s ON s.goal_id = lb.goal_id AND s.counter_id = lb.counter_id AND s.user_id = lb.user_id
         AND s.conv_visit_id = lb.conv_visit_id AND lb.position = s.sp GROUP BY 1, 2""", lambda r: L.lookback_last_significant(r.lookback_ends)),
     ("lookback_linear", f"SELECT {LB}, SUM(1.0 / chain_length) AS credit FROM lb GROUP BY 1, 2", lambda r: L.lookback_linear(r.touches, r.lookback_ends, r.lookback_days)),
-    ("lookback_time_decay", f"SELECT {LB}, SUM(w / tw) AS credit FROM lbw GROUP BY 1, 2", lambda r: L.lookback_time_decay(r.lookback)),
+    ("lookback_time_decay", f"SELECT {LB}, SUM(w / tw) AS credit FROM lbw GROUP BY 1, 2", 
+     lambda r: L.lookback_time_decay(r.touches, r.lookback_ends, r.lookback_days)),
     ("lookback_assisted", f"""SELECT {LB}, CAST(COUNT(*) AS DOUBLE) AS credit FROM
        (SELECT DISTINCT goal_id, counter_id, user_id, conv_visit_id, source_code FROM lb WHERE position < chain_length)
-       GROUP BY 1, 2""", lambda r: L.lookback_assisted(r.lookback)),
+       GROUP BY 1, 2""", lambda r: L.lookback_assisted(r.touches, r.lookback_days)),
 ):
     query(_key, _sql, ("credit",))((lambda f: lambda spark, sf: f(_run(spark, sf)))(_fn))
 
@@ -437,6 +440,17 @@ def _(spark, sf):
     return MT.kpi_touchpoints(_run(spark, sf).touches)
 
 
+@query("kpi_touchpoints_period", """
+  SELECT COUNT(*) AS converting_chains, AVG(pos) AS avg_touchpoints FROM vs
+  WHERE conversions > 0 AND CAST(utc_start_time AS DATE) > (SELECT MAX(CAST(utc_start_time AS DATE)) FROM vs) - INTERVAL 30 DAY
+   AND CAST(utc_start_time AS DATE) <= (SELECT MAX(CAST(utc_start_time AS DATE)) FROM vs)""", ("avg_touchpoints",))
+def _(spark, sf):
+    """The dashboard's default period: the last 30 days that have chains."""
+    t = _run(spark, sf).touches
+    last = t.agg(F.max("chain_date")).first()[0]
+    return MT.kpi_touchpoints(t, start=last and last - dt.timedelta(days=29), end=last)
+
+
 @query("chain_steps", """
   SELECT a.src AS from_channel, b.src AS to_channel, CAST(a.jpos AS BIGINT) AS step, COUNT(*) AS visits,
          SUM(a.c) AS conversions
@@ -571,6 +585,24 @@ def _(spark, sf):
     return G.table_counts(spark, {"visits_raw": raw_visits(spark, sf), **written})
 
 
+@query("daily_checks", """
+  SELECT 'table_rows' AS check_name, 'visits_prepared' AS subject, CAST(COUNT(*) AS DOUBLE) AS value FROM p
+  UNION ALL SELECT 'table_rows', 'visits_combined', COUNT(DISTINCT (user_id, chain_id)) FROM cp
+  UNION ALL SELECT 'table_rows', 'attribution_results', COUNT(*) FROM m_all
+  UNION ALL SELECT 'table_rows', 'source_transitions', COUNT(*) FROM m_tr
+  UNION ALL SELECT unnest(['rows', 'visits', 'conversions', 'revenue']), attribution_type,
+    unnest([n, ROUND(v, 2), ROUND(c, 2), ROUND(r, 2)])
+    FROM (SELECT attribution_type, CAST(COUNT(*) AS DOUBLE) AS n, SUM(visits) AS v, SUM(conversions) AS c, SUM(revenue) AS r
+          FROM m_all GROUP BY 1)
+  UNION ALL SELECT 'visit_invariant', 'all', CAST(COUNT(DISTINCT ROUND(s, 2)) <= 1 AS DOUBLE)
+    FROM (SELECT SUM(visits) AS s FROM m_all GROUP BY attribution_type)
+  UNION ALL SELECT 'conversion_invariant', attribution_type,
+    CAST(ABS(SUM(conversions) - (SELECT SUM(conversions) FROM p)) < 1e-6 AS DOUBLE) FROM m_all GROUP BY 2""", ("value",))
+def _(spark, sf):
+    """Counts, sums and invariants as the daily job's own writes observed them."""
+    return run_daily(spark, raw_visits(spark, sf), _scratch(spark, "daily"), 1, 99).checks
+
+
 @query("model_summary", """
   SELECT attribution_type, COUNT(*) AS rows, ROUND(SUM(visits), 2) AS visits, ROUND(SUM(conversions), 2) AS conv,
          ROUND(SUM(revenue), 2) AS revenue FROM m_all GROUP BY 1""", ("visits", "conv", "revenue"))

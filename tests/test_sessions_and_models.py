@@ -1,3 +1,7 @@
+import datetime as dt
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import Window
@@ -8,7 +12,8 @@ from conftest import SF
 from pathcredit.operators import chains as C
 from pathcredit.operators import lookback as L
 from pathcredit.operators import models as M
-from pathcredit.operators.prepare import prepare_visits
+from pathcredit.operators.prepare import live_visits, per_goal, prepare_visits
+from pathcredit.operators.scan import VISITOR, chunk_rows, running
 from pathcredit.operators.sessions import exact_quantile, session_timeout, sessionize
 from pathcredit.sources.visits import raw_visits
 
@@ -100,17 +105,103 @@ def test_lookback_models_match_plain_reckoning(spark):
         chains = FX.lookback_chains(EVERYONE, days)
         for name, got in (("first_touch", L.lookback_first_touch(touches, ends)),
                           ("last_significant", L.lookback_last_significant(ends)),
-                          ("linear", L.lookback_linear(touches, ends, days)), ("time_decay", L.lookback_time_decay(ch))):
+                          ("linear", L.lookback_linear(touches, ends, days)),
+                          ("time_decay", L.lookback_time_decay(touches, ends, days))):
             want = {}
             for chain in chains:
                 for code, x in FX.shares(chain, name).items():
                     want[code] = want.get(code, 0.0) + x
             assert {r.source_code: r.credit for r in got.collect()} == pytest.approx(want), (name, days)
+        seen = Counter(code for chain in chains for code in {v["code"] for v in chain[:-1]})
+        assert {r.source_code: r.credit for r in L.lookback_assisted(touches, days).collect()} == seen, days
         assert ch.where("is_converting = 1").count() == len(chains)
         pairs = ch.where("position >= 2").groupBy("user_prev_source", "source_code").count().collect()
         assert {tuple(r)[1:] for r in L.lookback_transitions(touches, days).collect()} == {tuple(r) for r in pairs}
 
 
+def _crowded(n=160, seed=4):
+    """A visitor with many visits in the same second, sources that come again, and conversions among them."""
+    rng = random.Random(seed)
+    at, visits = 0.0, []
+    for i in range(n):
+        at += rng.choice([0, 0, 0.5, 3, 30, 200, 900])
+        visits.append(FX.visit(81 + (i % 4 == 3), at, rng.choice(["2_7", "3_6", "8_4", "0", "7", "9_2"]),
+                               2.0 if rng.random() < 0.3 else None))
+    return visits
+
+
+@pytest.mark.parametrize("days,half_life", [(90, 7.0), (90, 0.01), (90, 1000.0), (3, 0.01), (10, 0.3), (0, 7.0)])
+def test_lookback_decay_has_no_pairs_and_matches_plain_reckoning(spark, days, half_life):
+    visits = _crowded()
+    touches = _touches(spark, visits, n_chunks=5)
+    got = L.lookback_time_decay(touches, L.chain_ends(touches, days), days, half_life)
+    want = Counter()
+    for chain in FX.lookback_chains(visits, days):
+        for code in {v["code"] for v in chain}:
+            want[code] += 0.0
+        for code, x in FX.shares(chain, "time_decay", half_life).items():
+            want[code] += x
+    assert {r.source_code: r.credit for r in got.collect()} == pytest.approx(dict(want), rel=1e-9, abs=1e-100)
+
+
+@pytest.mark.parametrize("days", [0, 1, 30, 90, 2000])
+def test_lookback_assisted_counts_each_source_once(spark, days):
+    visits = _crowded(seed=days)
+    want = Counter(code for chain in FX.lookback_chains(visits, days) for code in {v["code"] for v in chain[:-1]})
+    for n_chunks in (1, 7):
+        got = L.lookback_assisted(_touches(spark, visits, n_chunks=n_chunks), days)
+        assert {r.source_code: r.credit for r in got.collect()} == want
+
+
+def test_lookback_plans_join_no_ranges(spark):
+    """A row per visit, conversion and probe is all that is shuffled: joins are only with one row per (chunk, visitor)."""
+    touches = _touches(spark, FX.HISTORIES["buys twice, then looks"])
+    ends = L.chain_ends(touches, 90)
+    for df in (L.lookback_time_decay(touches, ends, 90), L.lookback_assisted(touches, 90)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "explode" not in plan
+        assert not any(" Join " in line and (">=" in line or "<=" in line) for line in plan.splitlines())
+
+
+def test_next_values_cross_chunks(spark):
+    rows = [(u, i, u * 100 + i) for u in range(3) for i in range(40 if u else 300)]
+    df = spark.createDataFrame(rows, "user long, i long, v long")
+    got = running(chunk_rows(df, 9, ["user"], ["i"]), [("nxt", "next", F.struct("v"), False, []),
+                                                       ("upto", "sum", F.lit(1), False, [])], ["user"], ["i"])
+    last = {u: max(i for x, i, _ in rows if x == u) for u in range(3)}
+    for r in got.collect():
+        assert r.upto == r.i + 1 and (r.nxt and r.nxt.v) == (None if r.i == last[r.user] else r.v + 1)
+
+
+def test_chains_hold_the_five_arrays(spark):
+    chains = C.chain_paths(C.build_chains(_touches(spark, EVERYONE, n_chunks=7)))
+    got = sorted((r.path, r.visit_ids, r.times, r.event_types, r.touch_conversions, r.chain_length) for r in chains.collect())
+
+    def joined(values):
+        return " > ".join(map(str, values))
+    want = sorted((joined(v["code"] for v in c), joined(v["id"] for v in c),
+                   joined(int(v["at"].replace(tzinfo=dt.timezone.utc).timestamp()) for v in c), joined("2_VISIT" for _ in c),
+                   joined(v["c"] for v in c), len(c)) for c in FX.session_chains(EVERYONE))
+    assert got == want
+
+
+def test_several_goals_move_each_visit_once(spark):
+    """Goals become rows inside the chunks: the ordered scan lays out as many visit rows for three goals as for one."""
+    raw = raw_visits(spark, SF)
+    live = live_visits(raw, 1, (99, 42, 7))
+    assert live.count() == prepare_visits(raw, 1, 99).count()
+    cut = sessionize(live, timeout=116956, user=VISITOR)
+    plan = per_goal(cut)._jdf.queryExecution().executedPlan().toString()
+    after_layout = [line for line in plan.splitlines() if "Exchange" in line and "_chunk" in line]
+    assert not after_layout
+    each = per_goal(cut)
+    for goal in (99, 42):
+        one = sessionize(prepare_visits(raw, 1, goal), timeout=116956)
+        cols = ["visit_id", "session_id", "pos", "conversions", "revenue", "gap"]
+        mine = each.where(F.col("goal_id") == goal).select(*cols)
+        assert mine.exceptAll(one.select(*cols)).count() == 0 and mine.count() == one.count()
+
+
 def test_decay_over_many_half_lives(spark):
     """A half-life far shorter than the session: powers of two neither overflow nor vanish too early."""
     visits = [FX.visit(71, 24.0 * i, ("2_7", "3_6", "8_4")[i % 3], 3.0 if i % 4 == 0 else None) for i in range(60)]
@@ -144,6 +235,11 @@ def test_a_visitor_with_a_third_of_all_visits(spark):
     for name in ("linear", "last_significant"):
         assert _by_day(MODELS[name](t), "visits", "conversions", "revenue") == FX.credit(chains, name)
     s = sessionize(prepare_visits(FX.raw(spark, visits), FX.COUNTER, FX.GOAL), timeout=FX.SESSION_GAP, n_chunks=12)
+    blocks = C.touch_blocks(s, 16)
+    assert blocks.agg(F.max(F.size("touches")), F.sum(F.size("touches"))).first() == (16, 1200)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_chunk" not in plan  # a hot session's touches stay in the chunks that hold them
+    assert s.where("user_id = 61 and session_id = 1").select("_chunk").distinct().count() > 2
     assert C.chain_paths(C.build_chains(s)).agg(F.sum("chain_length")).first()[0] == sum(map(len, chains))
 
 
