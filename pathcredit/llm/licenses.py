@@ -6,7 +6,7 @@ A template is wording with two kinds of markup::
     {{ a | b }}    a replaceable region: one of the alternatives
     {{ *n }}       a replaceable region: any 0 to n words
 
-Everything else is mandatory wording. All templates compile into one
+Everything else is mandatory wording. Both kinds may hold alternatives. All templates compile into one
 non-deterministic automaton over words, whose states carry epsilon-free
 successor tables; a text is accepted for a template when some run of its
 consecutive words leads from a start state to the template's final state, so
@@ -39,6 +39,7 @@ PIECE = 1 << 16
 
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
+# The wording of licence notices and licence texts.
 TEMPLATES = {
     "apache-2.0": "{{licensed|released|distributed}} under the [[terms of the]] apache license [[version]] 2 0",
     "mit": "{{licensed|released|distributed}} under the [[terms of the]] mit license",
@@ -51,7 +52,44 @@ TEMPLATES = {
     "cc-by-4.0": "licensed under [[a|the]] {{cc by|creative commons attribution}} 4 0 [[international]] [[license]]",
     "cc-by-sa-4.0": "licensed under {{cc by sa|[[a]] creative commons attribution {{sharealike|share alike}}}} 4 0",
     "cc-by-nc-4.0": "licensed under {{cc by nc|[[a]] creative commons attribution {{noncommercial|non commercial}}}} 4 0",
-    "all-rights-reserved": "[[copyright [[c]] {{*8}}]] all rights reserved",
+    "copyright-line": "{{copyright|copr}} [[c]] {{*8}} all rights reserved",
+    # Whole licence texts; holders are replaceable, clauses that some versions lack optional.
+    "mit-text": """
+        permission is hereby granted free of charge to any person obtaining a copy of this {{software|font software}} and
+        associated documentation files [[the software]] to deal in the software without restriction including without
+        limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software
+        and to permit persons to whom the software is furnished to do so subject to the following conditions
+        [[the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all
+        copies or substantial portions of the software]]
+        the software is provided as is without warranty of any kind express or implied including but not limited to the
+        warranties of merchantability fitness for a particular purpose and {{noninfringement|non infringement}}
+        in no event shall {{*12}} be liable for any claim damages or other liability whether in an action of contract tort
+        or otherwise arising from out of or in connection with the software or the use or other dealings in the software""",
+    "bsd-text": """
+        redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met [[1|a]] redistributions of source code must retain the above copyright notice this list
+        of conditions and the following disclaimer [[2|b]] redistributions in binary form must reproduce the above copyright
+        notice this list of conditions and the following disclaimer in the documentation and or other materials provided
+        with the distribution
+        [[ [[3|c]] all advertising materials mentioning features or use of this software must display the following
+        acknowledgement this product includes software developed by {{*16}} ]]
+        [[ [[3|4|c|d]] {{neither the name of {{*16}} nor the names of {{its|their}} contributors may|
+        the name of {{*16}} may not}} be used to endorse or promote products derived from this software without specific
+        prior written permission ]]
+        this software is provided by {{*16}} as is and any express or implied warranties including but not limited to the
+        implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{*16}} be
+        liable for any direct indirect incidental special exemplary or consequential damages including but not limited to
+        procurement of substitute goods or services loss of use data or profits or business interruption however caused and
+        on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in
+        any way out of the use of this software even if advised of the possibility of such damage""",
+    "isc-text": """
+        permission to use copy modify [[and or|and]] distribute this software for any purpose with or without fee is hereby
+        granted provided that the above copyright notice and this permission notice appear in all copies
+        the software is provided as is and {{*12}} {{disclaims|disclaim}} all warranties with regard to this software including
+        all implied warranties of merchantability and fitness in no event shall {{*12}} be liable for any special direct
+        indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an
+        action of contract negligence or other tortious action arising out of or in connection with the use or performance
+        of this software""",
 }
 
 

@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pathcredit.llm.mixing import BLOCK_ROWS, OTHER, TARGETS
 from pathcredit.llm.url_filter import DIGIT, END, ORDER, OTHER as OTHER_SYMBOL, RULES, START, SYMBOLS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
 
+_CRC_TABLE = """tbl AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n))"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text."""
+    return f"""xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(range(length({text})), lambda i: ascii(substr({text}, i + 1, 1))::BIGINT)),
+      lambda c, b: xor(c >> 8, tbl.t[(xor(c, b) & 255) + 1])))"""
+
+
+def _crc32_of_bytes(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes."""
+    return f"""xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(range(strlen({text})), lambda i: (instr('123456789ABCDEF', substr(hex(encode({text})), 2 * i + 1, 1)) * 16
+        + instr('123456789ABCDEF', substr(hex(encode({text})), 2 * i + 2, 1)))::BIGINT)),
+      lambda c, b: xor(c >> 8, tbl.t[(xor(c, b) & 255) + 1])))"""
+
+
 # CRC-32 (reflected polynomial 0xEDB88320), byte by byte over the text's UTF-8 bytes.
 BYTE_SHARDS = """
 WITH tbl AS (
@@ -50,20 +73,61 @@ hit AS (SELECT doc_id, item_id, count(*) AS found FROM ds JOIN bs USING (s) GROU
 SELECT doc_id, item_id, found::INTEGER AS found, shingles::INTEGER AS shingles, found / shingles AS containment
 FROM hit JOIN size USING (item_id) WHERE found >= 0.8 * shingles - 1e-9"""
 
-#: Each template as an expression over the text's words, joined by single spaces.
+def _each(*parts: str) -> list[str]:
+    """All wordings of parts in order; a part is a choice between alternatives divided by ``|``, maybe an empty one."""
+    return [" ".join(" ".join(p).split()) for p in itertools.product(*(part.split("|") for part in parts))]
+
+
+_GIVEN, _TERMS = "licensed under|released under|distributed under", "the|the terms of the"
+#: Every wording of the short notices, spelled out.
 _NOTICES = {
-    "apache-2.0": "(licensed|released|distributed) under the (terms of the )?apache license (version )?2 0",
-    "mit": "(licensed|released|distributed) under the (terms of the )?mit license",
-    "bsd": "(licensed|released|distributed) under the (terms of the )?((2|3) clause )?bsd license",
-    "mpl-2.0": "subject to the terms of the mozilla public license (v|version) 2 0",
-    "gpl-3.0": "(licensed|released|distributed) under the (terms of the )?gnu general public license (version|v) 3",
-    "gpl-2.0": "(licensed|released|distributed) under the (terms of the )?gnu general public license (version|v) 2",
-    "cc-by-4.0": "licensed under ((a|the) )?(cc by|creative commons attribution) 4 0",
-    "cc-by-sa-4.0": "licensed under (cc by sa|(a )?creative commons attribution (sharealike|share alike)) 4 0",
-    "cc-by-nc-4.0": "licensed under (cc by nc|(a )?creative commons attribution (noncommercial|non commercial)) 4 0",
-    "all-rights-reserved": "all rights reserved",
+    "apache-2.0": _each(_GIVEN, _TERMS, "apache license", "|version", "2 0"),
+    "mit": _each(_GIVEN, _TERMS, "mit license"),
+    "bsd": _each(_GIVEN, _TERMS, "|2 clause|3 clause", "bsd license"),
+    "mpl-2.0": _each("subject to the terms of the mozilla public license", "v|version", "2 0"),
+    "gpl-3.0": _each(_GIVEN, _TERMS, "gnu general public license", "v|version", "3"),
+    "gpl-2.0": _each(_GIVEN, _TERMS, "gnu general public license", "v|version", "2"),
+    "cc-by-4.0": _each("licensed under", "|a|the", "cc by|creative commons attribution", "4 0"),
+    "cc-by-sa-4.0": _each("licensed under", "cc by sa|creative commons attribution sharealike|creative commons attribution share alike|"
+                          "a creative commons attribution sharealike|a creative commons attribution share alike", "4 0"),
+    "cc-by-nc-4.0": _each("licensed under", "cc by nc|creative commons attribution noncommercial|creative commons attribution non commercial|"
+                          "a creative commons attribution noncommercial|a creative commons attribution non commercial", "4 0"),
 }
-_FOUND = ", ".join(f"CASE WHEN regexp_matches(line, ' {e} ') THEN '{label}' END" for label, e in _NOTICES.items())
+
+
+def _stands(wordings: list[str]) -> str:
+    return "(" + " OR ".join(f"contains(line, ' {w} ')" for w in wordings) + ")"
+
+
+def _places(word: str) -> str:
+    return f"list_filter(range(len(w)), lambda i: w[i + 1] = '{word}')"
+
+
+# "copyright", at most a "c" and eight more words, then "all rights reserved".
+_COPYRIGHT = f"""len(list_filter(res, lambda r: len(list_filter(list_concat({_places('copyright')}, {_places('copr')}),
+    lambda c: c < r AND (r - c - 1 <= 8 OR (r - c - 1 = 9 AND w[c + 2] = 'c')))) > 0)) > 0"""
+
+
+def _in_order(*parts: str) -> str:
+    """Whether long mandatory passages of a licence text stand in this order."""
+    at = [f"strpos(line, ' {p} ')" for p in parts]
+    return " AND ".join(f"{x} > 0" for x in at) + "".join(f" AND {x} < {y}" for x, y in zip(at, at[1:]))
+
+
+_TEXTS = {
+    "mit-text": _in_order("permission is hereby granted free of charge to any person obtaining a copy of this",
+                          "and to permit persons to whom the software is furnished to do so subject to the following conditions",
+                          "the software is provided as is without warranty of any kind express or implied",
+                          "or the use or other dealings in the software"),
+    "bsd-text": _in_order("redistribution and use in source and binary forms with or without modification are permitted",
+                          "redistributions in binary form must reproduce the above copyright notice",
+                          "are disclaimed in no event shall", "even if advised of the possibility of such damage"),
+    "isc-text": _in_order("distribute this software for any purpose with or without fee is hereby granted",
+                          "appear in all copies the software is provided as is and", "with the use or performance of this software"),
+}
+_FOUND = ", ".join([f"CASE WHEN {_stands(w)} THEN '{label}' END" for label, w in _NOTICES.items()]
+                   + [f"CASE WHEN {_COPYRIGHT} THEN 'copyright-line' END"]
+                   + [f"CASE WHEN {e} THEN '{label}' END" for label, e in _TEXTS.items()])
 
 
 def _starts(phrase: str) -> str:
@@ -124,7 +188,8 @@ _KEPT = ("'connection','content-encoding','content-length','content-md5','conten
          "'proxy-authenticate','proxy-authorization','proxy-connection','te','trailer','transfer-encoding','upgrade'")
 
 WARC_REVISITS = f"""
-WITH page AS (
+WITH {_CRC_TABLE},
+page AS (
   SELECT page_id, coalesce(html, '') AS html, split_part(url, '://', 1) AS scheme,
          regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^#]*)', 1) AS rest,
          1700000000 + page_id * 60 AS sec, '"' || left(md5(coalesce(html, '')), 16) || '"' AS tag FROM pages),
@@ -171,8 +236,10 @@ SELECT record_id, warc_type, url, status, CASE WHEN status = 'resolved' THEN bas
        CASE WHEN status = 'full' THEN array_to_string(lines, chr(10)) WHEN status = 'resolved' THEN array_to_string(list_concat(
          list_filter(old_lines, lambda x: NOT list_contains(list_transform(fresh, lambda y: lower(split_part(y, ':', 1))), lower(split_part(x, ':', 1)))),
          fresh), chr(10)) END AS headers,
-       CASE status WHEN 'full' THEN strlen(payload) WHEN 'resolved' THEN strlen(old_payload) END AS payload_bytes
-FROM merged"""
+       CASE status WHEN 'full' THEN strlen(payload) WHEN 'resolved' THEN strlen(old_payload) END AS payload_bytes,
+       CASE status WHEN 'full' THEN {_crc32_of_bytes('coalesce(payload, {0})'.format("''"))}
+                   WHEN 'resolved' THEN {_crc32_of_bytes('coalesce(old_payload, {0})'.format("''"))} END AS payload_crc32
+FROM merged, tbl"""
 
 
 _HOST = "translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -267,19 +334,6 @@ FROM leaves JOIN subroots USING (part) JOIN folded USING (part, place) LEFT JOIN
 
 # ------------------------------------------------------------------ conversations
 
-_CRC_TABLE = """tbl AS (
-  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i:
-    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY n) AS t
-  FROM (SELECT unnest(range(256)) AS n))"""
-
-
-def _crc32(text: str) -> str:
-    """CRC-32 of an ASCII text."""
-    return f"""xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
-      list_transform(range(length({text})), lambda i: ascii(substr({text}, i + 1, 1))::BIGINT)),
-      lambda c, b: xor(c >> 8, tbl.t[(xor(c, b) & 255) + 1])))"""
-
-
 _TURN = (2, 2, 3, 2)  # states: start, after s, after u, after a
 
 

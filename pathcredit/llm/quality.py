@@ -6,8 +6,7 @@ fixed number of buckets; each bucket has a learned vector, a
 document is the mean of its features' vectors, and a softmax over two classes
 reads that mean. Training runs on the driver over a bounded sample: at most
 ``MAX_PER_CLASS`` labelled rows of each class, in the order of a hash of their
-ids, of at most ``MAX_TRAIN_CHARS`` characters, each reduced to its bucket
-counts. The output's bias is shifted from the sample's class shares to those of
+ids, each whole text reduced in its task to bucket counts, of which there are at most ``BUCKETS``. The output's bias is shifted from the sample's class shares to those of
 all training labels.
 
 Scoring needs, for two classes, only each bucket's difference of the two logits,
@@ -15,7 +14,7 @@ so the table sent to the tasks has one float per bucket. Every whole text is
 read, in pieces cut at white space, so memory does not depend on its length.
 
 Defined results: a null or empty text has no features and scores the bias alone;
-null labels are ignored, conflicting ones count as 1; with labels of one class
+null labels are ignored, conflicting ones count as 1; of an id's different texts one, the same in every run, is learned from; with labels of one class
 only, or none, every score is the share of label 1 (0.5 without any); an empty
 table gives an empty result.
 """
@@ -38,9 +37,8 @@ DIM = 16
 GRAMS = (2, 3, 4)
 EPOCHS = 6
 RATE = 0.5
-#: The sample's bounds: rows per class, and the longest text that is learned from (all texts are scored whole).
+#: The sample's bound: labelled rows per class (all texts are scored).
 MAX_PER_CLASS = 1500
-MAX_TRAIN_CHARS = 20_000
 THRESHOLD = 0.7
 PIECE = 1 << 18
 SAME = np.uint32(0)  # bucket of "the same word again"
@@ -174,14 +172,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
                  pa.array([c for _, c in found], pa.list_(pa.int32())), batch.column(2)],
                 ["id", "buckets", "counts", "y"])
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
-    texts = (docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-             .where(F.char_length("text") <= MAX_TRAIN_CHARS))
+    texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     rows = texts.join(F.broadcast(ids), "id").mapInArrow(
         features, f"id {id_type}, buckets array<int>, counts array<int>, y int").toArrow()
-    samples = {}  # repeated rows of an id are one sample
+    samples = {}  # repeated rows of an id are one sample; of an id's different texts the one whose features come first
     for at in range(rows.num_rows):
-        samples[rows["id"][at].as_py()] = (rows["buckets"][at].values.to_numpy(), rows["counts"][at].values.to_numpy(),
-                                           rows["y"][at].as_py())
+        i, found = rows["id"][at].as_py(), [rows[c][at].values.to_numpy() for c in ("buckets", "counts")]
+        if i not in samples or [x.tolist() for x in found] < [x.tolist() for x in samples[i][:2]]:
+            samples[i] = (*found, rows["y"][at].as_py())
     return [samples[i] for i in sorted(samples)], sizes.get(1, 0) / sum(sizes.values())
 
 

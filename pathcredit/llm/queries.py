@@ -29,7 +29,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.records_of_pages(_table(spark, sf_dir, "pages"))
-    return warc.resolve_revisits(records).drop("payload_crc32")
+    return warc.resolve_revisits(records)
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ overlaps; it is sent to its home shard and, as a query, to the overlapping ones.
 Each shard goes on dividing its points with vantage points of its own, and
 leaves compare exactly, on all 64 bits. A shard returns what its links join, as
 at most one link per point in it, and the links' connected components come from
-rounds of joins in Spark.
+rounds of star operations in Spark, logarithmic in a component's size.
 
 Defined results: a null text counts as empty; a text without words has
 fingerprint zero, linked like any other; a null id takes part in linking and
@@ -259,31 +259,32 @@ def near_links(points: DataFrame, max_bits: int, shard_points: int = SHARD_POINT
 
 # ------------------------------------------------------------------ connected components
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root): each linked node's smallest reachable node, from links (a, b).
+def components(links: DataFrame) -> DataFrame:
+    """(node, root): each linked node's smallest reachable node, from links (a, b); nodes of any ordered type.
 
-    In each round every node takes the smallest root of its neighbours and
-    itself, then the root of that root. Counts of a hub's links are minima,
-    aggregated before their shuffle, and Spark may split the joins' skewed side.
-    A round's roots are written under the shared checkpoint folder; rounds end
-    when no root changes any more.
+    Rounds of star operations: every node's larger neighbours are linked to its smallest
+    neighbour (large star), then its smaller ones and itself (small star), until only stars
+    remain, whose centres are the components' smallest nodes. Components stay connected in
+    both steps and long chains shrink by a constant factor, whatever the order of their nodes.
+    Minima are aggregated before their shuffle, and Spark may split the joins' skewed side. A round's links
+    are written under the shared checkpoint folder.
     """
     a, b = F.col("a"), F.col("b")
-    both = materialize(links.select(F.explode(F.array(
-        F.struct(a.alias("u"), b.alias("v")), F.struct(b.alias("u"), a.alias("v")),
-        F.struct(a.alias("u"), a.alias("v")), F.struct(b.alias("u"), b.alias("v")))).alias("e")).select("e.*"))
-    roots = both.groupBy("u").agg(F.min("v").alias("root"))
+    now = materialize(links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     before = None
-    for _ in range(max_rounds):
-        heard = (both.join(roots.select(F.col("u").alias("v"), "root"), "v")
-                 .groupBy("u").agg(F.min("root").alias("root")))
-        roots = materialize(heard.alias("x").join(heard.alias("y"), F.col("x.root") == F.col("y.u"))
-                            .select("x.u", "y.root"))
-        state = roots.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "root")), F.lit(0))).first()
+    while True:
+        state = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
         if before == tuple(state):
-            return roots.withColumnRenamed("u", "node")
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = tuple(state)
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialize(large)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
 
 
 def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -291,11 +292,16 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """(id, fingerprint, component_id) for every row of ``docs``."""
     rows = materialize(fingerprints(docs, id_col, text_col, shingle))
     points = materialize(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
-    linked = components(near_links(points.select("fp"), max_bits, shard_points))
-    of_point = points.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    ids = of_point.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    answer = of_point.join(ids, "root").select("fp", "component_id")
+    # Nodes are ordered by their smallest id, nulls last, so a component's root already has its smallest id.
+    node = F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id"), "fp")
+    named = points.select("fp", node.alias("node"))
+    links = near_links(points.select("fp"), max_bits, shard_points)
+    for end in ("a", "b"):
+        links = links.join(named.select(F.col("fp").alias(end), F.col("node").alias(f"node_{end}")), end)
+    linked = components(links.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    roots = linked.select(F.col("node.fp").alias("fp"), F.col("root.id").alias("component_id"), F.lit(True).alias("linked"))
+    answer = points.join(roots, "fp", "left").select(
+        "fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
     return rows.join(answer, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

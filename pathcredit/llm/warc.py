@@ -47,7 +47,8 @@ def canonical_url(url: Column) -> Column:
 
 def header_lines(http: Column) -> Column:
     """array<struct<name, line>> of the header lines after the status line; ``name`` in lower case."""
-    lines = F.slice(F.split(F.coalesce(http, F.lit("")), "\r?\n"), 2, 1 << 20)
+    every = F.split(F.coalesce(http, F.lit("")), "\r?\n")
+    lines = F.slice(every, F.lit(2), F.size(every))
     return F.transform(F.filter(lines, lambda x: F.instr(x, ":") > 1), lambda x: F.struct(
         F.lower(F.trim(F.substring_index(x, ":", 1))).alias("name"), F.trim(x).alias("line")))
 
@@ -120,10 +121,18 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 
 def with_payload(resolved: DataFrame, records: DataFrame) -> DataFrame:
-    """``resolved`` with the ``payload`` of the response each record stands for (null where there is none)."""
-    bodies = records.where("warc_type = 'response'").select(F.col("record_id").alias("_of"), "payload")
+    """``resolved`` with the ``payload`` of the response each record stands for (null where there is none), row by row.
+
+    Repeated records, and records of one id with several payloads, are told apart by the payload's length and
+    checksum: each row finds one body.
+    """
+    payload = F.coalesce("payload", F.lit(""))
+    bodies = (records.where("warc_type = 'response'")
+              .groupBy(F.col("record_id").alias("_of"), F.octet_length(payload).cast("long").alias("_bytes"),
+                       F.crc32(payload.cast("binary")).alias("_crc")).agg(F.max("payload").alias("payload")))
     of = F.when(F.col("status") == "full", F.col("record_id")).otherwise(F.col("resolved_from"))
-    return resolved.withColumn("_at", of).join(bodies, F.col("_at") == F.col("_of"), "left").drop("_at", "_of")
+    same = (F.col("_at") == F.col("_of")) & (F.col("payload_bytes") == F.col("_bytes")) & (F.col("payload_crc32") == F.col("_crc"))
+    return resolved.withColumn("_at", of).join(bodies, same, "left").drop("_at", "_of", "_bytes", "_crc")
 
 
 def records_of_pages(pages: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,92 @@ def test_features_do_not_depend_on_pieces(monkeypatch):
     assert len(buckets) and counts.sum() > 3 * len(text) * 0.9
 
 
+def plain_buckets(text):
+    """Bucket counts by loops over words and n-grams, in plain integers."""
+    wide, counts = 1 << 32, Counter()
+
+    def mix(h):
+        h ^= h >> 15
+        h = h * 0x85EBCA6B % wide
+        return (h ^ h >> 13) % quality.BUCKETS
+    codes = [ord(c) for c in f" {text} "]
+    words = [[ord(c) for c in w] for w in re.findall(r"[^\x00-\x20]+", text)]
+    # A word's hash is a sum over its letters and the blanks up to the next word, which add nothing.
+    hashes = [mix((sum(((c + 7) * (i * 0x9E3779B1 | 1) % wide ^ c << 9) % wide for i, c in enumerate(w)) * 0x9E3779B1 + 1) % wide)
+              for w in words]
+    counts.update(hashes)
+    counts.update(0 for a, b in zip(hashes, hashes[1:]) if a == b)
+    for n in quality.GRAMS:
+        for i in range(len(codes) - n + 1):
+            h = codes[i] * 0x9E3779B1 % wide
+            for c in codes[i + 1:i + n]:
+                h = ((h ^ h >> 16) * 0x9E3779B1 + c) % wide
+            counts[mix((h + n) % wide)] += 1
+    return counts
+
+
+@pytest.mark.parametrize("text", ["one two  two\nthree", "é ü é é", "x", "", " \t", "Same same same", "a" * 300 + " b"])
+def test_features_match_a_plain_list(text):
+    buckets, counts = quality.bucket_counts(text)
+    want = plain_buckets(text) if text.strip() or text else Counter()
+    if not text:
+        assert len(buckets) == 0
+    else:
+        assert dict(zip(buckets.tolist(), counts.tolist())) == dict(want)
+
+
+def test_training_matches_a_dense_softmax(monkeypatch):
+    """The same steps with a dense feature matrix and explicit gradients of the log loss."""
+    monkeypatch.setattr(quality, "BUCKETS", 12)
+    rng = np.random.default_rng(5)
+    samples = [(np.sort(rng.choice(12, 4, replace=False)).astype(np.int32), rng.integers(1, 4, 4).astype(np.int32), int(i % 3 == 0))
+               for i in range(9)]
+    dim, epochs, rate = 3, 2, 0.5
+    model = quality.train(samples, 0.4, dim, epochs, rate, seed=7)
+    draw = np.random.default_rng(7)
+    vectors = draw.uniform(-1 / dim, 1 / dim, (12, dim)).astype(np.float32).astype(float)
+    out, bias, done = np.zeros((2, dim)), np.zeros(2), 0
+    for _ in range(epochs):
+        for i in draw.permutation(len(samples)):
+            buckets, counts, y = samples[i]
+            x = np.zeros(12)
+            x[buckets] = counts / counts.sum()
+            hidden = x @ vectors
+            p = np.exp(out @ hidden + bias)
+            p /= p.sum()
+            step = rate * (1 - done / (epochs * len(samples)))
+            done += 1
+            grad = p - np.eye(2)[y]  # of the loss by the logits
+            by_feature = np.outer(np.minimum(x * len(buckets), 8) * (x > 0), grad @ out)
+            out, bias, vectors = out - step * np.outer(grad, hidden), bias - step * grad, vectors - step * by_feature
+    ones = sum(y for *_, y in samples)
+    assert model.delta == pytest.approx(vectors @ (out[1] - out[0]), abs=1e-4)
+    assert model.bias == pytest.approx(bias[1] - bias[0] + math.log(0.4 / 0.6) - math.log(ones / (len(samples) - ones)), abs=1e-4)
+
+
+def test_long_texts_are_learned_from(spark):
+    """Classes told apart only by texts far beyond any usual length."""
+    rng = random.Random(6)
+
+    def prose(kind):
+        return " ".join(rng.choice(["good", "fine", "well"] if kind else ["bad", "poor", "ill"]) for _ in range(12_000))
+    docs = docs_of(spark, [(i, prose(i % 2)) for i in range(24)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, quality int")
+    got = quality.score_quality(docs, labels).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in got) and any(r["held_out"] for r in got)
+
+
+def test_of_different_texts_of_an_id_always_the_same_one_is_learned_from(spark):
+    rows = [(i % 7, f"text {i} " * (i % 5 + 1)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int")
+    found = []
+    for parts in (1, 5):
+        docs = docs_of(spark, rows).repartition(parts, F.rand(parts))
+        sample, _ = quality.training_sample(docs, labels, "doc_id", "text", "quality", F.lit(True), 100)
+        found.append([(b.tolist(), c.tolist(), y) for b, c, y in sample])
+    assert found[0] == found[1] and len(found[0]) == 7
+
+
 def test_quality_odd_inputs(spark):
     rows = [(1, None), (2, ""), (None, "some text"), (3, "again"), (3, "again")]
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 0), (3, 1)], "doc_id long, quality int")

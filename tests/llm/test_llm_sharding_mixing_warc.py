@@ -176,3 +176,21 @@ def test_payload_of_resolved_records(spark):
     recs = records(spark, [(1, "response", "http://e.com/", 1, OK, "hello"), (2, "revisit", "http://e.com/", 2, OK, None)])
     got = warc.with_payload(warc.resolve_revisits(recs), recs)
     assert {(r["record_id"], r["payload"]) for r in got.collect()} == {(1, "hello"), (2, "hello")}
+    twice = records(spark, [(1, "response", "http://e.com/", 1, OK, "hello")] * 2 + [(1, "response", "http://e.com/x", 1, OK, "other"),
+                            (3, "response", "http://e.com/y", 1, OK, None), (4, "revisit", "http://none/", 2, OK, None)])
+    got = warc.with_payload(warc.resolve_revisits(twice), twice)
+    assert sorted((r["record_id"], r["url"][-1], r["payload"]) for r in got.collect()) == [
+        (1, "/", "hello"), (1, "/", "hello"), (1, "x", "other"), (3, "y", None), (4, "/", None)]
+
+
+def test_no_header_line_is_dropped(spark):
+    many = "HTTP/1.1 200 OK" + "".join(f"\r\nX-{i}: {i}" for i in range(3000))
+    got = warc.resolve_revisits(records(spark, [(1, "response", "http://e.com/", 1, many, "x"), (2, "response", "http://e.com/", 2, "", "x")]))
+    assert {r["record_id"]: len((r["headers"] or "").splitlines()) for r in got.collect()} == {1: 3000, 2: 0}
+
+
+def test_extra_columns_with_clashing_names(spark):
+    recs = records(spark, [(1, "response", "http://e.com/", 1, OK, "hello"), (2, "revisit", "http://e.com/", 2, OK, None)])
+    more = recs.selectExpr("*", "'a' as url", "'b' as status", "1 as tie", "2 as pid", "'c' as headers", "3 as crc", "'d' as _of")
+    assert sorted(map(str, warc.resolve_revisits(more).collect())) == sorted(map(str, warc.resolve_revisits(recs).collect()))
+    assert warc.with_payload(warc.resolve_revisits(more), more).count() == 2
