@@ -138,7 +138,7 @@ def _starts(phrase: str) -> str:
 
 LICENSES = rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-p AS (SELECT doc_id, len(w) AS n_words, ' ' || array_to_string(w, ' ') || ' ' AS line,
+p AS (SELECT doc_id, w, len(w) AS n_words, ' ' || array_to_string(w, ' ') || ' ' AS line,
              {_starts('cc by')} AS cc, {_starts('general public license')} AS gpl,
              {_starts('all rights reserved')} AS res FROM d),
 l AS (SELECT *, list_concat(list_concat(cc, gpl), res) AS base,
