@@ -44,6 +44,8 @@ LEAF = 256
 #: Points per shard that the upper levels of a tree aim at, and fingerprints sampled to place them.
 SHARD_POINTS = 1 << 15
 SAMPLE = 20_000
+#: A fingerprint that holds more than this part of all rows is answered by a broadcast.
+HOT = 1024
 _BIT = (np.uint64(1) << np.arange(64, dtype=np.uint64))
 
 
@@ -291,7 +293,7 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
                             max_bits: int = 4, shard_points: int = SHARD_POINTS) -> DataFrame:
     """(id, fingerprint, component_id) for every row of ``docs``."""
     rows = materialize(fingerprints(docs, id_col, text_col, shingle))
-    points = materialize(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
+    points = materialize(rows.groupBy("fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")))
     # Nodes are ordered by their smallest id, nulls last, so a component's root already has its smallest id.
     node = F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id"), "fp")
     named = points.select("fp", node.alias("node"))
@@ -301,8 +303,15 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     linked = components(links.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
     roots = linked.select(F.col("node.fp").alias("fp"), F.col("root.id").alias("component_id"), F.lit(True).alias("linked"))
     answer = points.join(roots, "fp", "left").select(
-        "fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
-    return rows.join(answer, "fp").select(
+        "fp", "n", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
+    # Fingerprints of more than rows / HOT rows, fewer than HOT of them, are answered where the rows lie.
+    answer = materialize(answer)
+    least = rows.count() // HOT
+    hot = answer.where(F.col("n") > least).select("fp", F.struct("component_id").alias("hot"))
+    split = rows.join(F.broadcast(hot), "fp", "left")
+    there = split.where(F.col("hot").isNotNull()).select("id", "fp", "hot.component_id")
+    rest = split.where(F.col("hot").isNull()).join(answer.where(F.col("n") <= least), "fp").select("id", "fp", "component_id")
+    return there.unionByName(rest).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -52,5 +52,5 @@ def test_run_returns_the_sharded_rows(spark):
 
 def test_every_operator_has_a_query():
     names = [k for k in __spark_entry__.queries() if k.startswith("op")]
-    assert [k.split("_")[0] for k in names] == [f"op{i}" for i in range(1, 11)]
+    assert [k.split("_")[0] for k in names] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in __spark_entry__.queries()
