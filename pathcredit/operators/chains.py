@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.constants import DEFAULT_LOOKBACK_DAYS
 from pathcredit.operators.scan import CHUNK, USER
 
 SESSION = [*USER, "session_id"]
@@ -66,30 +65,30 @@ def chain_paths(chains: DataFrame) -> DataFrame:
     )
 
 
-def lookback_chains(touches: DataFrame, days: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
-    """For every converting visit, all visits of the same visitor in ``[t - days, t]``.
+#: Running indices in a block of the interval join.
+INDEX_BLOCK = 64
 
-    Both ends are inclusive, also for visits in the same second. Converting
-    visits are expanded to the day buckets their window covers and equi-joined
-    with visits on (visitor, day), then filtered on time: a range join whose
-    work is the chains' own size. A chain's key is its converting visit's running
-    index: one visit id may convert on several dates. Positions come from each visitor's running
-    visit index (contiguous within a chain), so no per-chain window is needed.
+
+def lookback_chains(touches: DataFrame, ends: DataFrame) -> DataFrame:
+    """For every converting visit, all visits of the same visitor in its window, from ``ends`` (see ``lookback.chain_ends``).
+
+    Both ends of the window are inclusive, also for visits in the same second. A chain is an interval of the
+    visitor's running visit indices, so positions and lengths need no aggregation. It is
+    expanded to the blocks of indices it covers, equi-joined with visits on (visitor, block); only
+    the two end blocks hold visits that are then left out. A chain's key is its converting visit's running
+    index: one visit id may convert on several dates.
     """
-    span = int(days) * 86400
-    day = F.floor(F.col("ts") / 86400).cast("long")
-    v = touches.select(*USER, "visit_id", "ts", "gidx", "source_code", "user_prev_source", day.alias("_day"))
-    conv = touches.where(F.col("c") > 0).select(
-        *USER, F.col("visit_id").alias("conv_visit_id"), F.col("gidx").alias("conv_gidx"), F.col("ts").alias("conv_ts"),
-        F.explode(F.sequence(F.floor((F.col("ts") - span) / 86400).cast("long"), day)).alias("_day"))
-    pairs = conv.join(v, [*USER, "_day"]).where(
-        (F.col("ts") >= F.col("conv_ts") - span) & (F.col("ts") <= F.col("conv_ts")))
-    key = [*USER, "conv_visit_id", "conv_gidx"]
-    bounds = pairs.groupBy(*key).agg(F.min("gidx").alias("_g0"), F.count("*").alias("chain_length"))
-    out = pairs.join(bounds, key)
-    return out.select(
-        *key, "visit_id", "source_code", "user_prev_source",
-        (F.col("gidx") - F.col("_g0") + 1).alias("position"), "chain_length",
+    v = touches.select(*USER, F.floor(F.col("gidx") / INDEX_BLOCK).alias("_block"), "visit_id", "ts", "gidx",
+                       "source_code", "user_prev_source")
+    conv = touches.where(F.col("c") > 0).select(*USER, F.col("visit_id").alias("conv_visit_id"), F.col("gidx").alias("conv_gidx"))
+    first, last = (F.floor(F.col(c) / INDEX_BLOCK) for c in ("first_gidx", "last_gidx"))
+    blocks = conv.join(ends.select(*USER, "conv_gidx", "conv_ts", "first_gidx", "last_gidx"), [*USER, "conv_gidx"]).withColumn(
+        "_block", F.explode(F.sequence(first, last)))
+    pairs = blocks.join(v, [*USER, "_block"]).where(F.col("gidx").between(F.col("first_gidx"), F.col("last_gidx")))
+    return pairs.select(
+        *USER, "conv_visit_id", "conv_gidx", "visit_id", "source_code", "user_prev_source",
+        (F.col("gidx") - F.col("first_gidx") + 1).alias("position"),
+        (F.col("last_gidx") - F.col("first_gidx") + 1).alias("chain_length"),
         ((F.col("conv_ts") - F.col("ts")) / 86400.0).alias("days_before_conv"),
         (F.col("gidx") == F.col("conv_gidx")).cast("int").alias("is_converting"),
     )

@@ -43,22 +43,21 @@ def _decay_weight(half_life: float) -> Column:
     return F.pow(F.lit(2.0), (F.col("ts") - _midnight("chain_date")) / F.lit(H))
 
 
-def touch_table(sessions: DataFrame, checkpoint: bool = True,
-                half_life: float = DEFAULT_HALF_LIFE_DAYS, n_buckets: int | None = None) -> DataFrame:
+def touch_table(sessions: DataFrame, checkpoint: bool = True, half_life: float = DEFAULT_HALF_LIFE_DAYS,
+                n_buckets: int | None = None, across: DataFrame | None = None) -> DataFrame:
     """Sessionized visits (all their columns) plus the running quantities the models share.
 
     The decay weights' running sum is included for ``half_life``; the value is
     recorded in the column metadata so ``time_decay`` knows when it can reuse it.
     Keeping every session column lets the job write this one table instead of
-    the sessions and the touches separately.
+    the sessions and the touches separately. ``across`` are the sessions' rows of visitors in several chunks, where
+    the caller can find them with less work.
     """
-    df = sessions.select(
-        "*",
-        F.to_date("utc_start_time").alias("chain_date"),
-        F.col("conversions").cast("double").alias("c"),
-        F.col("revenue").cast("double").alias("r"),
-    )
-    df = df.withColumn("k", (F.col("c") > 0).cast("long")).withColumn("z", _decay_weight(half_life))
+    def with_values(df: DataFrame) -> DataFrame:
+        df = df.select("*", F.to_date("utc_start_time").alias("chain_date"), F.col("conversions").cast("double").alias("c"),
+                       F.col("revenue").cast("double").alias("r"))
+        return df.withColumn("k", (F.col("c") > 0).cast("long")).withColumn("z", _decay_weight(half_life))
+
     touch = F.struct(*ORDER, "source_code")
     specs = [
         ("gidx", "sum", F.lit(1).cast("long"), False, []),
@@ -77,7 +76,7 @@ def touch_table(sessions: DataFrame, checkpoint: bool = True,
         ("suf_ar", "rsum", F.col("r") / F.col("pos"), False, SD),
         ("cum_z", "sum", F.col("z"), False, SD),
     ]
-    df = running(df, specs)
+    df = running(with_values(sessions), specs, across=None if across is None else with_values(across))
     df = df.select(*[c for c in df.columns if c not in ("first", "ls", "prev", "uprev")],
                    F.col("first.source_code").alias("first_source"),
                    F.col("ls.source_code").alias("last_sig_source"),
@@ -297,7 +296,7 @@ def transitions(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
 
 
 def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
-                    calculated_at: Column | None = None) -> DataFrame:
+                    calculated_at: Column | None = None, st: DataFrame | None = None) -> DataFrame:
     """All five models in one result table (assisted totals only on last-touch rows).
 
     Same numbers as the five model functions and :func:`last_touch_with_assists`,
@@ -308,7 +307,7 @@ def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     final aggregation. Assists on a (day, source) without a last-touch row are
     dropped there, as in the reference's left join.
     """
-    st = session_day_totals(t)
+    st = session_day_totals(t) if st is None else st
     dec_groups, qt = _decay_groups(t, half_life, st)
     keys = [*SESSION, "chain_date", "source_code"]
     groups = (

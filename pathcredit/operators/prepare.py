@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathcredit.functions.codes import goal_hits, goal_revenue, primary_touch, source_code
+from pathcredit.schema import VISIT_KEY
 
-VISIT_KEY = ("counter_id", "user_id", "visit_id", "start_date")
 PAYLOAD = ("utc_start_time", "duration", "traffic_source", "goals", "purchases")
 
 

@@ -6,8 +6,9 @@ visits are range-partitioned on (visitor, time, visit id) instead, so Spark's
 sampled bounds cut a heavy visitor's history into several contiguous chunks of
 similar size. The chunk of every row is checkpointed once, which fixes the
 assignment for every later use. Running aggregates are windows per
-(chunk, visitor); what earlier chunks contribute comes from a small summary
-table with one row per (chunk, visitor), joined back on the same keys.
+(chunk, visitor). Only a visitor whose rows reach over a chunk's end takes anything from
+another chunk, at most one at each end; these visitors' rows alone are summarised, and the
+summary, a few rows per chunk, is broadcast.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ CHUNK = "_chunk"
 START = "_chunk_start"  # first (order) key of a user's rows in a chunk: orders a user's chunks
 VISITOR = ("counter_id", "user_id")
 USER = ("goal_id", *VISITOR)
+RANGED_BY = "ranged_by"  # metadata of the chunk column: the columns that tell users apart in the rows' ranges
 ORDER = ("ts", "visit_id", "start_date")  # one visit id may be live on two dates
 
 _AGG = {"sum": F.sum, "rsum": F.sum, "max": F.max, "min": F.min}
@@ -44,6 +46,7 @@ def chunk_rows(df: DataFrame, n_chunks: int | None = None,
     n = n_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *user, *order).withColumn("_part", F.spark_partition_id())
     tagged = ranged.join(F.broadcast(chunk_labels(spark, n)), "_part").drop("_part")
+    tagged = tagged.withColumn(CHUNK, F.col(CHUNK).alias(CHUNK, metadata={RANGED_BY: list(user)}))
     return materialize(tagged, layout(user), n, arranged=True)
 
 
@@ -77,8 +80,24 @@ def local_window(user: Sequence[str] = USER, order: Sequence[str] = ORDER, extra
     return Window.partitionBy(CHUNK, *user, *extra).orderBy(*[F.col(c) for c in order])
 
 
+def spanning(df: DataFrame) -> DataFrame:
+    """The users that have rows in several chunks: fewer than there are chunks, for each is the first or last user of
+    its chunks. Users as the rows were ranged: where goals became rows inside the chunks, visitors."""
+    by = df.schema[CHUNK].metadata[RANGED_BY]
+    ends = df.groupBy(CHUNK).agg(F.min(F.struct(*by)).alias("_a"), F.max(F.struct(*by)).alias("_b"))
+    users = ends.select(CHUNK, F.explode(F.array("_a", "_b")).alias("_u"))
+    several = users.groupBy("_u").agg((F.min(CHUNK) < F.max(CHUNK)).alias("_several")).where("_several")
+    return several.select(*[F.col(f"_u.{c}").alias(c) for c in by])
+
+
+def rows_of_spanning(df: DataFrame) -> DataFrame:
+    """The rows of the users that have rows in several chunks."""
+    users = spanning(df)
+    return df.join(F.broadcast(users), users.columns, "left_semi")
+
+
 def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
-            order: Sequence[str] = ORDER) -> DataFrame:
+            order: Sequence[str] = ORDER, across: DataFrame | None = None) -> DataFrame:
     """Add running aggregates within contiguous segments of each user's ordered rows.
 
     Each spec is ``(name, kind, column, exclusive, segment)``: ``kind`` is
@@ -88,7 +107,8 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     ``segment`` lists columns (beyond ``user``) whose
     values never decrease along the order, so each value is one contiguous run
     of rows (a session number, a session-day); exclusive specs aggregate
-    strictly earlier rows. One summary and one join serve all specs.
+    strictly earlier rows. One summary of the users that span chunks and one broadcast join serve all specs; ``across``
+    are these users' rows, where the caller can find them with less work than from ``df``.
 
     When the segments are nested (``[]``, ``[session]``, ``[session, day]``),
     every window orders by the remaining segment columns before ``order``:
@@ -116,10 +136,11 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
     for seg, i in sid.items():
         key = F.struct(*[F.col(c) for c in seg]) if seg else F.struct(F.lit(0).alias("_"))
         added.append(key.alias(f"_seg{i}"))
+    across = (rows_of_spanning(df) if across is None else across).select("*", *added)
     df = df.select("*", *added)
 
     # One exchange by user serves every window below (their keys all start with ``user``).
-    summary = df.groupBy(CHUNK, *user).agg(
+    summary = across.groupBy(CHUNK, *user).agg(
         F.min(last).alias(START),
         *[F.min_by(f"_seg{i}", last).alias(f"_fseg{i}") for i in sid.values()],
         *[F.max_by(f"_seg{i}", last).alias(f"_tseg{i}") for i in sid.values()],
@@ -155,7 +176,7 @@ def running(df: DataFrame, specs: Sequence[tuple], user: Sequence[str] = USER,
         continues = F.lag(f"_tseg{i}").over(w_user) == F.col(f"_fseg{i}")
         carries.append(F.when(continues, F.lag(f"_c_{name}").over(w_user)).alias(f"_k_{name}"))
     summary = summary.select(CHUNK, *user, *[f"_{x}seg{i}" for x in "ft" for i in sid.values()], *carries)
-    df = df.join(summary, [CHUNK, *user], "left")
+    df = df.join(F.broadcast(summary), [CHUNK, *user], "left")  # at most two users per chunk
 
     temp = [f"_{x}seg{i}" for x in ("", "f", "t") for i in sid.values()]
     values = []

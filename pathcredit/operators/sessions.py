@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathcredit.config import materialize
 from pathcredit.constants import DEFAULT_TIMEOUT_SECONDS, TIMEOUT_QUANTILE
-from pathcredit.operators.scan import CHUNK, ORDER, START, USER, chunk_rows, local_window
+from pathcredit.operators.scan import CHUNK, ORDER, START, USER, chunk_rows, local_window, rows_of_spanning
 
 
 def with_ts(prepared: DataFrame) -> DataFrame:
@@ -25,8 +24,8 @@ def _chunked(prepared: DataFrame, n_chunks: int | None, user: Sequence[str] = US
 
 
 def _chunk_bounds(local: DataFrame, user: Sequence[str] = USER) -> DataFrame:
-    """Per (chunk, visitor): first/last time, rows, and the previous chunk's last time."""
-    s = local.groupBy(CHUNK, *user).agg(F.min("ts").alias("_first_ts"), F.max("ts").alias("_last_ts"),
+    """Per (chunk, visitor) of visitors in several chunks: first/last time, rows, and the previous chunk's last time."""
+    s = rows_of_spanning(local).groupBy(CHUNK, *user).agg(F.min("ts").alias("_first_ts"), F.max("ts").alias("_last_ts"),
                                          F.count("*").alias("_n"),
                                          F.min(F.struct(*ORDER)).alias(START)).repartition(*user)
     return s.withColumn("_prev_last_ts", F.lag("_last_ts").over(Window.partitionBy(*user).orderBy(START)))
@@ -40,51 +39,52 @@ def _gaps(local: DataFrame, bounds: DataFrame) -> DataFrame:
     return inner.unionByName(first)
 
 
-def exact_quantile(values: DataFrame, column: str, quantile: float) -> float | None:
-    """The interpolated quantile of a whole-number column, None without values.
+#: Bits of a whole number that its bin leaves out in :func:`quantile_row`.
+BIN_BITS = 16
 
-    Values are counted, the counts range-partitioned by value, and each
-    partition's total placed by a running sum over one row per partition; only
-    the partitions that hold the two wanted ranks are looked into. No task ever
-    holds all distinct values.
+
+def quantile_row(values: DataFrame, column: str, quantile: float) -> DataFrame:
+    """One lazy row (value): the interpolated quantile of a whole-number column, null without values.
+
+    Values are counted, the counts summed by bins of 2**16 neighbouring values, and the bins ranked by a running
+    sum (seconds up to a century fill some 50,000 of them); only the one or two bins that hold the
+    two wanted ranks, of at most 65,536 distinct values each, are ranked inside. No task
+    ever holds all distinct values, and nothing runs until the row is asked for.
     """
-    counts = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    # Written, so that totals and values see the same sampled range bounds.
-    ranges = materialize(counts.repartitionByRange("v").withColumn("pid", F.spark_partition_id()))
-    totals = ranges.groupBy("pid").agg(F.sum("n").alias("n")).collect()  # one row per partition
-    size = sum(r["n"] for r in totals)
-    if not size:
-        return None
-    rank = quantile * (size - 1)
-    found, before = {}, 0
-    for r in sorted(totals, key=lambda r: r["pid"]):
-        wanted = [k for k in {int(rank), min(int(rank) + 1, size - 1)} if before <= k < before + r["n"]]
-        if wanted:
-            upto = F.sum("n").over(Window.partitionBy("pid").orderBy("v"))
-            inside = ranges.where(F.col("pid") == r["pid"]).withColumn("upto", upto + before)
-            for k in wanted:
-                found[k] = inside.where((F.col("upto") > k) & (F.col("upto") - F.col("n") <= k)).first()["v"]
-        before += r["n"]
-    low, high = found[int(rank)], found[min(int(rank) + 1, size - 1)]
-    return low + (rank - int(rank)) * (high - low)
-
-
-def timeout_value(gaps: DataFrame, quantile: float = TIMEOUT_QUANTILE, default: int = DEFAULT_TIMEOUT_SECONDS) -> int:
-    """Integer part of the exact quantile of positive gaps, else ``default``.
+    v, n = F.col(column), F.col("n")
+    counts = values.where(v.isNotNull()).groupBy(v.cast("long").alias("v")).agg(F.count("*").alias("n")).withColumn(
+        "bin", F.shiftright("v", BIN_BITS))
+    sums = counts.groupBy("bin").agg(F.sum("n").alias("n"))
+    rank = F.lit(float(quantile)) * (F.col("size") - 1)
+    sums = sums.select("bin", (F.sum("n").over(Window.orderBy("bin")) - n).alias("before"), n,
+                       F.sum("n").over(Window.partitionBy()).alias("size")).withColumn("rank", rank)
+    low = F.floor("rank")
+    high = F.least(low + 1, F.col("size") - 1)
+    held = sums.where((F.col("before") + n > low) & (F.col("before") <= high)).drop("n")
+    inside = counts.join(F.broadcast(held), "bin").withColumn(
+        "upto", F.col("before") + F.sum("n").over(Window.partitionBy("bin").orderBy("v")))
+    ends = inside.agg(F.min(F.when(F.col("upto") > low, F.col("v"))).alias("a"),
+                      F.min(F.when(F.col("upto") > high, F.col("v"))).alias("b"), F.max("rank").alias("rank"))
+    return ends.select((F.col("a") + (F.col("rank") - F.floor("rank")) * (F.col("b") - F.col("a"))).alias("value"))
+
+
+def timeout_row(gaps: DataFrame, quantile: float = TIMEOUT_QUANTILE, default: int = DEFAULT_TIMEOUT_SECONDS) -> DataFrame:
+    """One lazy row (timeout_seconds): integer part of the exact quantile of positive gaps, else ``default``.
 
     Visits that repeat per goal count once: only the smallest goal's copy.
     """
     if "goal_id" in gaps.columns:
-        gaps = gaps.where(F.col("goal_id") == F.lit(gaps.agg(F.min("goal_id")).first()[0]))
-    p = exact_quantile(gaps.where(F.col("gap") > 0), "gap", quantile)
-    return int(p) if p is not None and int(p) > 0 else default
+        gaps = gaps.where(F.col("goal_id") == gaps.select(F.min("goal_id")).scalar())
+    whole = F.floor("value").cast("long")
+    return quantile_row(gaps.where(F.col("gap") > 0), "gap", quantile).select(
+        F.when(whole > 0, whole).otherwise(F.lit(default).cast("long")).alias("timeout_seconds"))
 
 
 def visit_gaps(prepared: DataFrame, n_chunks: int | None = None) -> DataFrame:
     """Each visit with the previous visit's time in its visitor's history and the gap in seconds."""
     local = _chunked(prepared, n_chunks)
     bounds = _chunk_bounds(local).select(CHUNK, *USER, "_prev_last_ts")
-    df = local.join(bounds, [CHUNK, *USER], "left")
+    df = local.join(F.broadcast(bounds), [CHUNK, *USER], "left")
     prev = F.when(F.col("_rn") == 1, F.col("_prev_last_ts")).otherwise(F.col("_lag"))
     return (df.withColumn("prev_ts", prev).withColumn("gap", F.col("ts") - F.col("prev_ts"))
             .drop("_rn", "_lag", "_prev_last_ts"))
@@ -92,9 +92,9 @@ def visit_gaps(prepared: DataFrame, n_chunks: int | None = None) -> DataFrame:
 
 def session_timeout(prepared: DataFrame, quantile: float = TIMEOUT_QUANTILE,
                     default: int = DEFAULT_TIMEOUT_SECONDS, n_chunks: int | None = None) -> DataFrame:
+    """The learned timeout as a one-row table."""
     local = _chunked(prepared, n_chunks)
-    value = timeout_value(_gaps(local, _chunk_bounds(local)), quantile, default)
-    return prepared.sparkSession.range(1).select(F.lit(value).cast("long").alias("timeout_seconds"))
+    return timeout_row(_gaps(local, _chunk_bounds(local)), quantile, default)
 
 
 def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunks: int | None = None,
@@ -103,22 +103,21 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
 
     A new session starts at a visitor's first visit and after any gap strictly
     longer than the timeout. ``timeout=None`` learns it from the data (one scalar
-    job); a Column keeps it inside the plan. One local window pass and one summary row per (chunk, visitor)
-    give every row its previous time, session id and position, with the carry
-    from earlier chunks of the same visitor; rows keep the (chunk, visitor) layout.
+    job); a Column keeps it inside the plan. One local window pass, and one summary row per chunk of visitors in
+    several chunks, give every row its previous time, session id and position; rows keep the chunk layout.
     """
     local = _chunked(prepared, n_chunks, user)
     bounds = _chunk_bounds(local, user)
     if timeout is None:
         # One number, computed once over the chunk-local gaps; every later stage
         # then compares against a literal instead of re-planning a subquery.
-        timeout = F.lit(timeout_value(_gaps(local, bounds), quantile))
+        timeout = F.lit(timeout_row(_gaps(local, bounds), quantile).first()[0])
     elif not isinstance(timeout, Column):
         timeout = F.lit(int(timeout))
     T = timeout.cast("long")
 
     local_start = (F.col("_rn") > 1) & (F.col("ts") - F.col("_lag") > T)
-    inner = local.groupBy(CHUNK, *user).agg(
+    inner = rows_of_spanning(local).groupBy(CHUNK, *user).agg(
         F.sum(local_start.cast("long")).alias("_starts"),
         F.max(F.when(local_start, F.col("_rn"))).alias("_last_start_rn"),
     )
@@ -140,11 +139,12 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
     s = s.select(CHUNK, *user, "_prev_last_ts", "_first_start", "_carry_sid",
                  F.lag("_open").over(wu).alias("_carry_pos"))
 
-    df = local.join(s, [CHUNK, *user], "left")
+    # Visitors within one chunk take nothing from others and have no row here.
+    df = local.join(F.broadcast(s), [CHUNK, *user], "left")
     first = F.col("_rn") == 1
     prev = F.when(first, F.col("_prev_last_ts")).otherwise(F.col("_lag"))
     gap = F.col("ts") - prev
-    start = F.when(first, F.col("_first_start")).otherwise(gap > T)
+    start = F.when(first, F.coalesce("_first_start", F.lit(True))).otherwise(gap > T)
     df = df.select("*", prev.alias("prev_ts"), gap.alias("gap"), T.alias("timeout_seconds"),
                    start.alias("is_start"))
     w = local_window(user)
@@ -155,7 +155,7 @@ def sessionize(prepared: DataFrame, timeout: int | Column | None = None, n_chunk
     drop = {"_rn", "_lag", "_prev_last_ts", "_first_start", "_carry_sid", "_carry_pos",
             "_loc_starts", "_loc_start_rn"}
     return df.select(*[c for c in df.columns if c not in drop],
-                     (F.col("_carry_sid") + F.col("_loc_starts")).alias("session_id"), pos.alias("pos"))
+                     (F.coalesce("_carry_sid", F.lit(0)) + F.col("_loc_starts")).alias("session_id"), pos.alias("pos"))
 
 
 def session_breaks(sessions: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pathcredit.operators import lookback as L
 from pathcredit.operators import models as M
 from pathcredit.operators import views as V
 from pathcredit.operators.prepare import live_visits, per_goal
-from pathcredit.operators.scan import VISITOR
+from pathcredit.operators.scan import VISITOR, rows_of_spanning
 from pathcredit.operators.sessions import sessionize
 from pathcredit.plans import checks as G
 from pathcredit.sources import sinks
@@ -56,18 +56,23 @@ class AttributionRun:
         return per_goal(self.live)
 
     @cached_property
-    def _sessionized(self) -> DataFrame:
+    def _visits(self) -> DataFrame:
         """Sessionize plan (writes the chunk table and learns the timeout when not given).
 
         Sessions do not depend on the goal: visits are laid out and cut into sessions
         once, and become a row per goal inside their chunks.
         """
-        return per_goal(sessionize(self.live, self.timeout, self.n_chunks, user=VISITOR))
+        return sessionize(self.live, self.timeout, self.n_chunks, user=VISITOR)
+
+    @cached_property
+    def _sessionized(self) -> DataFrame:
+        return per_goal(self._visits)
 
     @cached_property
     def touches(self) -> DataFrame:
         """Sessions plus running quantities, built in the chunk layout and written once."""
-        return M.touch_table(self._sessionized, half_life=self.half_life, n_buckets=self.n_chunks)
+        return M.touch_table(self._sessionized, half_life=self.half_life, n_buckets=self.n_chunks,
+                             across=per_goal(rows_of_spanning(self._visits)))
 
     @cached_property
     def sessions(self) -> DataFrame:
@@ -76,12 +81,13 @@ class AttributionRun:
 
     @cached_property
     def day_totals(self) -> DataFrame:
-        return M.session_day_totals(self.touches)
+        """Totals per (session, day), written once for the models and the transitions."""
+        return materialize(M.session_day_totals(self.touches))
 
     @cached_property
     def results(self) -> DataFrame:
         """The results table (written once; views, marts and checks read it)."""
-        return materialize(M.attribution_all(self.touches, self.half_life, self.calculated_at))
+        return materialize(M.attribution_all(self.touches, self.half_life, self.calculated_at, self.day_totals))
 
     @cached_property
     def transitions(self) -> DataFrame:
@@ -126,7 +132,7 @@ class AttributionRun:
 
     @cached_property
     def lookback(self) -> DataFrame:
-        return C.lookback_chains(self.touches, self.lookback_days)
+        return C.lookback_chains(self.touches, self.lookback_ends)
 
     @cached_property
     def lookback_ends(self) -> DataFrame:

@@ -34,7 +34,8 @@ from pathcredit.plans.attribution import COMBINED, PREPARED, RESULTS, run_daily,
 from pathcredit.sources import goals as GL
 from pathcredit.sources import sinks
 from pathcredit.sources.dictionaries import BUNDLED_DIR, load_dictionary
-from pathcredit.sources.visits import denormalise_nested, normalise_nested, raw_visits, scan_visits, with_week
+from pathcredit.sources.visits import denormalise_nested, normalise_nested, raw_visits, scan_visits, with_week, \
+    write_raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -274,6 +275,18 @@ def _(spark, sf):
                     "duration", "source_code", "conversions", "revenue")
 
 
+@query("prepare_from_store", """
+  SELECT goal_id, counter_id, user_id, visit_id, start_date, ts, duration, source_code, conversions, revenue
+  FROM p""", ("revenue",))
+def _(spark, sf):
+    """Prepared visits from a written raw store whose buckets hold all deliveries of their visits."""
+    name = f"pathcredit_raw_{uuid.uuid4().hex}"
+    write_raw_table(raw_visits(spark, sf), name, _scratch(spark, "raw"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    p = prepare_visits(scan_visits(spark, name, 1), 1, 99)
+    return p.select("goal_id", "counter_id", "user_id", "visit_id", "start_date", _ts("utc_start_time", "ts"),
+                    "duration", "source_code", "conversions", "revenue")
+
+
 @query("split_source_code", """
   SELECT DISTINCT source_code, TRY_CAST(split_part(source_code, '_', 1) AS SMALLINT) AS root_id,
          COALESCE(TRY_CAST(split_part(source_code, '_', 2) AS INTEGER), 0) AS sub_id FROM p""")

@@ -84,3 +84,6 @@ PARALLEL_SCALARS = {
 
 # Ids that the export delivers as unsigned 64-bit numbers.
 UNSIGNED_IDS = ("user_id", "visit_id")
+
+#: What tells visits apart; deliveries of one visit share it.
+VISIT_KEY = ("counter_id", "user_id", "visit_id", "start_date")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pathcredit.schema import (
-    PARALLEL_GOALS, PARALLEL_PURCHASES, PARALLEL_SCALARS, PARALLEL_TRAFFIC, RAW_VISITS, UNSIGNED_IDS,
+    PARALLEL_GOALS, PARALLEL_PURCHASES, PARALLEL_SCALARS, PARALLEL_TRAFFIC, RAW_VISITS, UNSIGNED_IDS, VISIT_KEY,
 )
 
 
@@ -172,3 +172,14 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
      .repartitionByRange("week", "counter_id", "user_id", "visit_id")
      .sortWithinPartitions("week", "counter_id", "start_date", "user_id", "visit_id")
      .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("week").parquet(path))
+
+
+def write_raw_table(df: DataFrame, name: str, path: str, n_buckets: int, mode: str = "append") -> None:
+    """Weekly raw store as a table whose weeks are cut into buckets by the visit's key.
+
+    All deliveries of a visit lie in one bucket, so collapsing them needs no shuffle, and as the
+    hash takes in the visit id, a visitor with a large share of all visits is spread
+    over all buckets. Appending (new deliveries, also of old visits) keeps the layout.
+    """
+    (with_week(df).repartition(n_buckets, *VISIT_KEY)
+     .write.mode(mode).format("parquet").partitionBy("week").bucketBy(n_buckets, *VISIT_KEY).option("path", path).saveAsTable(name))

@@ -13,8 +13,8 @@ from pathcredit.operators import chains as C
 from pathcredit.operators import lookback as L
 from pathcredit.operators import models as M
 from pathcredit.operators.prepare import live_visits, per_goal, prepare_visits
-from pathcredit.operators.scan import VISITOR, chunk_rows, running
-from pathcredit.operators.sessions import exact_quantile, session_timeout, sessionize
+from pathcredit.operators.scan import VISITOR, chunk_rows, running, spanning
+from pathcredit.operators.sessions import quantile_row, session_timeout, sessionize, timeout_row
 from pathcredit.sources.visits import raw_visits
 
 
@@ -101,7 +101,8 @@ def test_decay_needs_a_half_life(spark):
 def test_lookback_models_match_plain_reckoning(spark):
     touches = _touches(spark, EVERYONE)
     for days in (0, 1, 90):
-        ch, ends = C.lookback_chains(touches, days), L.chain_ends(touches, days)
+        ends = L.chain_ends(touches, days)
+        ch = C.lookback_chains(touches, ends)
         chains = FX.lookback_chains(EVERYONE, days)
         for name, got in (("first_touch", L.lookback_first_touch(touches, ends)),
                           ("last_significant", L.lookback_last_significant(ends)),
@@ -163,6 +164,48 @@ def test_lookback_plans_join_no_ranges(spark):
         assert not any(" Join " in line and (">=" in line or "<=" in line) for line in plan.splitlines())
 
 
+@pytest.mark.parametrize("days", [0, 20, 400])
+def test_lookback_chains_are_intervals_of_indices(spark, days, monkeypatch):
+    monkeypatch.setattr(C, "INDEX_BLOCK", 4)
+    visits = _crowded(120, seed=11)
+    touches = _touches(spark, visits, n_chunks=5)
+    ch = C.lookback_chains(touches, L.chain_ends(touches, days))
+    got = Counter((r.visit_id, r.position, r.chain_length, r.is_converting, round(r.days_before_conv, 9)) for r in ch.collect())
+    want = Counter()
+    for vs in FX.live(visits).values():
+        for v in (v for v in vs if v["c"]):
+            chain = [x for x in vs if x["at"] <= v["at"] and (v["at"] - x["at"]).total_seconds() <= days * 86400]
+            want.update((x["id"], i, len(chain), int(x is v), round((v["at"] - x["at"]).total_seconds() / 86400, 9))
+                        for i, x in enumerate(chain, 1))
+    assert got == want
+    plan = ch._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("Join Inner", 1)[0] and plan.count("Generate explode(sequence") == 1
+
+
+def test_only_visitors_across_chunks_are_summarised(spark):
+    rows = [(u, i, 1) for u in range(60) for i in range(200 if u == 30 else 5)]
+    df = chunk_rows(spark.createDataFrame(rows, "user long, i long, v long"), 10, ["user"], ["i"])
+    chunks = {u: set() for u in range(60)}
+    for r in df.select("user", "_chunk").distinct().collect():
+        chunks[r.user].add(r["_chunk"])
+    across = {u for u, c in chunks.items() if len(c) > 1}
+    assert 30 in across and {r.user for r in spanning(df).collect()} == across and len(across) < 10
+
+
+def test_goals_as_rows_inside_chunks_keep_carries(spark):
+    """Visits ranged by visitor with several goals each: running values carry over chunk ends for every goal."""
+    visits = _crowded(90, seed=2)
+    raw = FX.raw(spark, visits)
+    many = M.touch_table(per_goal(sessionize(live_visits(raw, FX.COUNTER, (FX.GOAL, 5, 900)), FX.SESSION_GAP, 7, user=VISITOR)))
+    one = _touches(spark, visits, n_chunks=1)
+    cols = ["visit_id", "session_id", "pos", "gidx", "ssuf_n", "suf_c", "first_source", "prev_source", "user_prev_source"]
+    assert many.select("_chunk").distinct().count() > 3
+    for goal in (FX.GOAL, 5, 900):
+        of_goal = many.where(F.col("goal_id") == goal).withColumn("suf_c", F.col("suf_c") * F.lit(int(goal == FX.GOAL)))
+        expected = one.withColumn("suf_c", F.col("suf_c") * F.lit(int(goal == FX.GOAL)))
+        assert of_goal.select(*cols).exceptAll(expected.select(*cols)).count() == 0 and of_goal.count() == one.count()
+
+
 def test_next_values_cross_chunks(spark):
     rows = [(u, i, u * 100 + i) for u in range(3) for i in range(40 if u else 300)]
     df = spark.createDataFrame(rows, "user long, i long, v long")
@@ -219,7 +262,8 @@ def test_one_visit_id_converting_on_two_dates_is_two_chains(spark):
     visits = [FX.visit(51, 0, "2_7"), FX.visit(51, 24, "6", 5.0, visit_id=7), FX.visit(51, 300, "3_6"),
               FX.visit(51, 700, "8_4", 6.0, visit_id=7)]
     touches = _touches(spark, visits)
-    ch, ends = C.lookback_chains(touches, 90), L.chain_ends(touches, 90)
+    ends = L.chain_ends(touches, 90)
+    ch = C.lookback_chains(touches, ends)
     assert {(r.conv_gidx, r.chain_length) for r in ch.collect()} == {(2, 2), (4, 4)}
     assert sorted(r.chain_length for r in ch.where("is_converting = 1").collect()) == [2, 4]
     assert sum(r.credit for r in L.lookback_last_touch(touches).collect()) == 2.0
@@ -244,11 +288,23 @@ def test_a_visitor_with_a_third_of_all_visits(spark):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.5, 0.95, 1.0])
-def test_quantile_is_exact_over_partitions(spark, q):
-    values = [(i * i) % 1013 for i in range(777)] + [5] * 300
+def test_quantile_is_exact_over_bins(spark, q):
+    values = [(i * i * i) % 1_000_003 for i in range(777)] + [5] * 300 + [1 << 40]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v long").repartition(5)
-    assert exact_quantile(df, "v", q) == pytest.approx(float(np.quantile(values, q)))
-    assert exact_quantile(df.where("v < 0"), "v", q) is None
+    row = quantile_row(df, "v", q)
+    assert row.first().value == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
+    assert quantile_row(df.where("v < 0"), "v", q).first().value is None
+    assert quantile_row(df.where("v = 5"), "v", q).first().value == 5
+
+
+def test_timeout_row_is_lazy(spark):
+    """No job runs while the row is planned, whatever the gaps."""
+    gaps = spark.range(100).select(F.lit(7).cast("long").alias("goal_id"), F.when(
+        F.col("id") >= 0, F.raise_error(F.lit("evaluated"))).cast("long").alias("gap"))
+    timeout_row(gaps)
+    few = spark.createDataFrame([(1, 10), (1, 20), (2, 900), (2, 900), (1, 0)], "goal_id long, gap long")
+    assert timeout_row(few, 1.0).first().timeout_seconds == 20
+    assert timeout_row(few.where("gap = 0")).first().timeout_seconds == 1800
 
 
 @pytest.mark.parametrize("n_chunks", [1, 5])

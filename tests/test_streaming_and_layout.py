@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from pathcredit.sources.visits import raw_visits, write_raw
+from pathcredit.schema import VISIT_KEY
+from pathcredit.sources.visits import raw_visits, scan_visits, write_raw, write_raw_table
 from pathcredit.streaming.ingest import ingest_raw
 from pathcredit.operators.prepare import prepare_visits
 
@@ -53,6 +54,22 @@ def test_a_heavy_visitors_week_is_spread(spark, tmp_path):
     assert files > bot.select(F.trunc("start_date", "week")).distinct().count()
 
 
+def test_a_bucketed_store_is_collapsed_without_a_shuffle(spark, tmp_path):
+    raw, name = raw_visits(spark, SF), "raw_store_under_test"
+    bot = raw.withColumn("user_id", F.when(F.col("visit_id") % 3 == 0, F.lit(5)).otherwise(F.col("user_id")).cast("long"))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    write_raw_table(bot.where("visit_version = 1"), name, str(tmp_path / "raw"), 8)
+    write_raw_table(bot.where("visit_version > 1"), name, str(tmp_path / "raw"), 8)  # later deliveries of the same visits
+    p = prepare_visits(scan_visits(spark, name, 1), 1, (99, 42))
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    want = prepare_visits(bot, 1, (99, 42))
+    assert p.exceptAll(want).count() == 0 and p.count() == want.count()
+    buckets = (scan_visits(spark, name).where("user_id = 5").groupBy(F.pmod(F.hash(*VISIT_KEY), F.lit(8))).count().collect())
+    assert len(buckets) == 8 and max(r["count"] for r in buckets) < 2 * min(r["count"] for r in buckets)
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_touch_table_does_not_reshuffle_visits(spark):
     """Sessions are written bucketed by (chunk, visitor); the touch table's windows and
     summary join read them in place, so only the small per-(chunk, visitor) summary moves."""
