@@ -122,8 +122,8 @@ def _on_session_days(groups: DataFrame, days: DataFrame, dims: list[str], sums:
     return both.repartition(*keys).groupBy(*keys, "chain_date").agg(*[F.sum(c).alias(c) for c in sums])
 
 
-#: Half-lives in a block of running weights: 2**512 and its square stay far inside the range of doubles.
-_BLOCK = 512.0
+#: Half-lives in a block of running weights: 2**256 and its square stay far inside the range of doubles.
+_BLOCK = 256.0
 
 
 def _earlier(df: DataFrame, keys: list[str], weight: str, half_lives: Column | None = None) -> DataFrame:
@@ -131,26 +131,20 @@ def _earlier(df: DataFrame, keys: list[str], weight: str, half_lives: Column | N
     per half-life up to this day. ``half_lives`` (one per day; None: no decay) may be null for rows
     that do not decay.
 
-    A running sum of ``weight · 2**x`` times ``2**-x``, x the half-lives since the
-    first day, taken in blocks of x so that no power overflows. Two series of
-    blocks overlap by half: a day uses the one in which at least half a block
-    lies before it; what lies further back is below 2**-256.
+    Time is cut into blocks of 256 half-lives, in which weights are taken relative to the block's
+    start, so no power overflows: a day adds the running sum of its own block and the
+    whole block before it; what lies further back is below 2**-256. One sort serves both windows.
     """
     if half_lives is None:
         before = Window.partitionBy(*keys).orderBy("chain_date").rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn("_acc", F.coalesce(F.sum(weight).over(before), F.lit(0.0)))
-    x = F.coalesce(F.date_diff("chain_date", F.min("chain_date").over(Window.partitionBy(*keys))) * half_lives, F.lit(0.0))
-    df = df.withColumn("_x", x)
-    for i, shift in ((1, 0.0), (2, _BLOCK / 2)):
-        df = df.withColumn(f"_b{i}", F.floor((F.col("_x") + shift) / _BLOCK))
-        df = df.withColumn(f"_s{i}", F.col("_x") + shift - F.col(f"_b{i}") * _BLOCK)
-    sums = []
-    for i in (1, 2):
-        before = Window.partitionBy(*keys, f"_b{i}").orderBy("chain_date").rowsBetween(Window.unboundedPreceding, -1)
-        moved = F.sum(F.col(weight) * F.pow(F.lit(2.0), f"_s{i}")).over(before)
-        sums.append(F.coalesce(moved, F.lit(0.0)) * F.pow(F.lit(2.0), -F.col(f"_s{i}")))
-    whole = (F.col("_b1") == 0) | (F.col("_s1") >= _BLOCK / 2)
-    return df.withColumn("_acc", F.when(whole, sums[0]).otherwise(sums[1])).drop("_x", "_b1", "_s1", "_b2", "_s2")
+    x = F.coalesce(F.unix_date("chain_date") * half_lives, F.lit(0.0))
+    df = df.withColumn("_b", F.floor(x / _BLOCK)).withColumn("_s", x - F.col("_b") * _BLOCK)
+    moved = F.sum(F.col(weight) * F.pow(F.lit(2.0), "_s"))
+    own = moved.over(Window.partitionBy(*keys, "_b").orderBy("chain_date").rowsBetween(Window.unboundedPreceding, -1))
+    last = moved.over(Window.partitionBy(*keys).orderBy("_b").rangeBetween(-1, -1))
+    acc = F.coalesce(own, F.lit(0.0)) + F.coalesce(last, F.lit(0.0)) * F.lit(2.0 ** -_BLOCK)
+    return df.withColumn("_acc", acc * F.pow(F.lit(2.0), -F.col("_s"))).drop("_b", "_s")
 
 
 def last_touch(t: DataFrame) -> DataFrame:
@@ -172,9 +166,12 @@ def last_significant(t: DataFrame) -> DataFrame:
 def _linear_groups(t: DataFrame) -> DataFrame:
     """Per (session, day, source): touches ``m`` and what they earn on their own day, ``e*``
     (shares of the day's chains that end at or after the touch)."""
-    return t.groupBy(*SESSION, "chain_date", "source_code").agg(
-        F.count("*").cast("double").alias("m"),
-        F.sum("suf_a1").alias("e1"), F.sum("suf_ac").alias("ec"), F.sum("suf_ar").alias("er"))
+    return t.groupBy(*SESSION, "chain_date", "source_code").agg(*_linear_sums())
+
+
+def _linear_sums() -> list[Column]:
+    return [F.count("*").cast("double").alias("m"), F.sum("suf_a1").alias("e1"), F.sum("suf_ac").alias("ec"),
+            F.sum("suf_ar").alias("er")]
 
 
 def linear(t: DataFrame, st: DataFrame | None = None) -> DataFrame:
@@ -194,9 +191,8 @@ def _per_day(half_life: float) -> Column:
     return F.lit(1.0 / float(half_life))
 
 
-def _decay_groups(t: DataFrame, half_life: float, st: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Time-decay inputs: per (session, day, source) weight sums ``mz`` and
-    what they earn on their own day, ``mzq_*``, and per (session, day) normalised chain values ``tot_q*``.
+def _normalised(t: DataFrame, half_life: float, st: DataFrame | None = None) -> DataFrame:
+    """The touches with their chains' values over the chains' weight sums, ``q*``, and the rest of the day's ``suf_q*``.
 
     With weights relative to midnight of the endpoint's day D, chain *i* has
     ``E_i = P(D) + running z`` where ``P(D)`` carries the earlier days of the
@@ -214,26 +210,30 @@ def _decay_groups(t: DataFrame, half_life: float, st: DataFrame | None = None) -
         z_days = t.groupBy(*SESSION, "chain_date").agg(F.sum("z").alias("tot_z"))
 
     prior = _earlier(z_days, list(SESSION), "tot_z", _per_day(half_life)).select(
-        *SESSION, "chain_date", F.col("_acc").alias("_prior"))
+        *SESSION, "chain_date", F.col("_acc").alias("_prior")).where("_prior > 0")
     keyed = t.select(CHUNK, *SESSION, "chain_date").distinct().join(prior, [*SESSION, "chain_date"])
     q = t.join(keyed, [CHUNK, *SESSION, "chain_date"], "left")
     E = F.coalesce(F.col("_prior"), F.lit(0.0)) + F.col("cum_z")
     q = q.withColumn("q1", 1.0 / E).withColumn("qc", F.col("c") / E).withColumn("qr", F.col("r") / E)
-    q = running(q, [(f"suf_{m}", "rsum", F.col(m), False, SD) for m in ("q1", "qc", "qr")])
+    return running(q, [(f"suf_{m}", "rsum", F.col(m), False, SD) for m in ("q1", "qc", "qr")])
 
-    qt = q.groupBy(*SESSION, "chain_date").agg(
-        F.sum("q1").alias("tot_q1"), F.sum("qc").alias("tot_qc"), F.sum("qr").alias("tot_qr"))
-    groups = q.groupBy(*SESSION, "chain_date", "source_code").agg(
-        F.sum("z").alias("mz"),
-        *[F.sum(F.col("z") * F.col(f"suf_{m}")).alias(f"mzq_{m}") for m in ("q1", "qc", "qr")],
-    )
-    return groups, qt
+
+def _decay_sums() -> list[Column]:
+    """Per (session, day, source): weight sums ``mz``, what they earn on their own day, ``mzq_*``, and chain values ``s*``."""
+    return [F.sum("z").alias("mz"), *[F.sum(F.col("z") * F.col(f"suf_{m}")).alias(f"mzq_{m}") for m in ("q1", "qc", "qr")],
+            *[F.sum(m).alias(f"s{m}") for m in ("q1", "qc", "qr")]]
+
+
+def _chain_values(groups: DataFrame) -> DataFrame:
+    """Per (session, day): the normalised values of its chains."""
+    return groups.groupBy(*SESSION, "chain_date").agg(*[F.sum(f"s{m}").alias(f"tot_{m}") for m in ("q1", "qc", "qr")])
 
 
 def time_decay(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
                st: DataFrame | None = None) -> DataFrame:
     """Weights ``2^(-Δdays/half_life)`` to the chain's endpoint, normalised per chain."""
-    groups, qt = _decay_groups(t, half_life, st)
+    groups = _normalised(t, half_life, st).groupBy(*SESSION, "chain_date", "source_code").agg(*_decay_sums())
+    qt = _chain_values(groups)
     x = _on_session_days(groups, qt, ["source_code"], ["mz", "mzq_q1", "mzq_qc", "mzq_qr"])
     x = _earlier(x, [*SESSION, "source_code"], "mz", _per_day(half_life)).join(qt, [*SESSION, "chain_date"])
 
@@ -300,7 +300,7 @@ def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     """All five models in one result table (assisted totals only on last-touch rows).
 
     Same numbers as the five model functions and :func:`last_touch_with_assists`,
-    with fewer passes: linear, time decay and assisted share one pass over their
+    with fewer passes: linear and time decay share one aggregation of the touches, and both and assisted one pass over their
     sessions' days (their group rows tagged with the model, the day totals of all
     three in one table), and every output row — endpoint models straight from
     the touch table, day rows, assists tagged as last touch — meets in one
@@ -308,18 +308,14 @@ def attribution_all(t: DataFrame, half_life: float = DEFAULT_HALF_LIFE_DAYS,
     dropped there, as in the reference's left join.
     """
     st = session_day_totals(t) if st is None else st
-    dec_groups, qt = _decay_groups(t, half_life, st)
     keys = [*SESSION, "chain_date", "source_code"]
-    groups = (
-        _linear_groups(t).select(*keys, F.lit("linear").alias("_model"), F.col("m").alias("_w"),
-                                 F.col("e1").alias("_e1"), F.col("ec").alias("_e2"), F.col("er").alias("_e3"))
-        .unionByName(dec_groups.select(*keys, F.lit("time_decay").alias("_model"), F.col("mz").alias("_w"),
-                                       F.col("mzq_q1").alias("_e1"), F.col("mzq_qc").alias("_e2"),
-                                       F.col("mzq_qr").alias("_e3")))
-        .unionByName(_first_occurrences(t).select(*keys, F.lit("last_touch").alias("_model"), F.col("w").alias("_w"),
-                                                  F.col("ac").alias("_e1"), F.col("ar").alias("_e2"),
-                                                  F.col("ak").cast("double").alias("_e3")))
-    )
+    both = _normalised(t, half_life, st).groupBy(*keys).agg(*_linear_sums(), *_decay_sums())
+    qt = _chain_values(both)
+    models = F.array(*[F.struct(F.lit(name).alias("_model"), *[F.col(c).alias(a) for a, c in zip(("_w", "_e1", "_e2", "_e3"), cols)])
+                       for name, cols in (("linear", ("m", "e1", "ec", "er")), ("time_decay", ("mz", "mzq_q1", "mzq_qc", "mzq_qr")))])
+    groups = both.select(*keys, F.inline(models)).unionByName(_first_occurrences(t).select(
+        *keys, F.lit("last_touch").alias("_model"), F.col("w").alias("_w"), F.col("ac").alias("_e1"), F.col("ar").alias("_e2"),
+        F.col("ak").cast("double").alias("_e3")))
     totals = st.join(qt, [*SESSION, "chain_date"])
     is_lin, is_dec, is_ast = (F.col("_model") == m for m in ("linear", "time_decay", "last_touch"))
     dims = ["_model", "source_code"]

@@ -13,8 +13,7 @@ from pathcredit.functions.names import channel_name
 def with_channel_name(df: DataFrame, code: str, name: str, dicts: DataFrame) -> DataFrame:
     """Add ``name`` for channel code column ``code`` with one left join to the merged lookup.
 
-    ``dicts`` is joined as given: pass it through ``sized_for_broadcast`` once
-    (as the job does) to broadcast it after its size is checked.
+    ``dicts`` is joined as given; Spark broadcasts it when its bytes are few enough.
     """
     r, s, n = f"_{name}_root", f"_{name}_sub", f"_{name}_dict"
     d = dicts.select(F.col("root_id").alias(r), F.col("id").alias(s), F.col("name").alias(n))
