@@ -165,6 +165,7 @@ def run_daily(spark: SparkSession, source: str | DataFrame, out: str, counter_id
 
 
 _RUNS: dict[tuple, AttributionRun] = {}
+_KEPT_RUNS = 16
 
 
 def run_for(spark: SparkSession, sf_dir: str, **params) -> AttributionRun:
@@ -174,6 +175,8 @@ def run_for(spark: SparkSession, sf_dir: str, **params) -> AttributionRun:
     run = _RUNS.get(key)
     if run is None:
         run = AttributionRun(spark, raw_visits(spark, sf_dir), **params)
+        while len(_RUNS) >= _KEPT_RUNS:
+            del _RUNS[next(iter(_RUNS))]  # the oldest
         _RUNS[key] = run
     return run
 

@@ -87,3 +87,13 @@ UNSIGNED_IDS = ("user_id", "visit_id")
 
 #: What tells visits apart; deliveries of one visit share it.
 VISIT_KEY = ("counter_id", "user_id", "visit_id", "start_date")
+
+
+def raw_schema(unsigned: bool = False) -> T.StructType:
+    """The raw deliveries' schema; with ``unsigned``, ids that may pass 2**63 - 1 are decimals."""
+    if not unsigned:
+        return RAW_VISITS
+    wide = T.DecimalType(20, 0)
+    touch = T.StructType([T.StructField(f.name, wide) if f.name == "click_banner_id" else f for f in TRAFFIC_SOURCE.fields])
+    kinds = {**dict.fromkeys(UNSIGNED_IDS, wide), "traffic_source": T.ArrayType(touch)}
+    return T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in RAW_VISITS.fields])

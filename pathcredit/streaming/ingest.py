@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathcredit.schema import RAW_VISITS
+from pathcredit.schema import raw_schema
 from pathcredit.sources.visits import write_raw
 
 
 def ingest_raw(spark: SparkSession, landing_dir: str, raw_path: str, checkpoint: str,
-               available_now: bool = True):
-    stream = spark.readStream.schema(RAW_VISITS).parquet(landing_dir)
+               available_now: bool = True, unsigned: bool = False):
+    """Starts the stream; ``unsigned`` for files whose visitor, visit and banner ids are unsigned 64-bit numbers."""
+    stream = spark.readStream.schema(raw_schema(unsigned)).parquet(landing_dir)
 
     def land(batch: DataFrame, epoch: int) -> None:
         write_raw(batch, f"{raw_path}/batch={epoch}", mode="overwrite")

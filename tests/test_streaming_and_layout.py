@@ -1,11 +1,12 @@
 import os
+from decimal import Decimal
 
 import pytest
 
 from pyspark.sql import functions as F
 
 from conftest import SF
-from pathcredit.schema import VISIT_KEY
+from pathcredit.schema import VISIT_KEY, raw_schema
 from pathcredit.sources.visits import raw_visits, scan_visits, write_raw, write_raw_table
 from pathcredit.streaming.ingest import ingest_raw
 from pathcredit.operators.prepare import prepare_visits
@@ -34,6 +35,17 @@ def test_streaming_ingest_takes_each_file_once(spark, tmp_path):
     assert spark.read.parquet(store).count() == raw.count()
 
 
+def test_streaming_ingest_lands_unsigned_ids(spark, tmp_path):
+    landing, store, ckpt = (str(tmp_path / d) for d in ("landing", "store", "ckpt"))
+    high = (F.col("visit_id").cast("decimal(20,0)") + F.lit(Decimal(2 ** 63))).cast("decimal(20,0)")
+    raw = raw_visits(spark, SF).where("visit_id < 50").withColumns({"visit_id": high, "user_id": high})
+    raw.select(*[F.col(f.name).cast(f.dataType) for f in raw_schema(True).fields]).write.parquet(os.path.join(landing, "day1"))
+    ingest_raw(spark, landing + "/*", store, ckpt, unsigned=True).awaitTermination()
+    got = spark.read.parquet(store)
+    assert got.schema["visit_id"].dataType.simpleString() == "decimal(20,0)"
+    assert {r.visit_id for r in got.collect()} == {r.visit_id for r in raw.collect()}
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     raw, store = raw_visits(spark, SF), str(tmp_path / "store")
     for part in (raw, raw, raw.where("visit_id < 100")):
