@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pathcredit.llm.common import all_columns, fresh, input_order, materialize, whole_text
@@ -272,21 +272,26 @@ def components(links: DataFrame) -> DataFrame:
     are written under the shared checkpoint folder.
     """
     a, b = F.col("a"), F.col("b")
-    now = materialize(links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    now, after = _stars(links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")))
     before = None
-    while True:
-        state = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
-        if before == tuple(state):
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        before = tuple(state)
+    while after != before:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large)
+        large = materialize(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        before = after
+        now, after = _stars(small.unionByName(least.select("u", F.col("m").alias("v"))))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def _stars(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The distinct links, written, and their count and checksum, observed on the way."""
+    seen = Observation()
+    state = [F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")]
+    written = materialize(links.distinct().observe(seen, *state))
+    return written, tuple(sorted(seen.get.items()))
 
 
 def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -306,7 +311,7 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
         "fp", "n", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
     # Fingerprints of more than rows / HOT rows, fewer than HOT of them, are answered where the rows lie.
     answer = materialize(answer)
-    least = rows.count() // HOT
+    least = F.floor(answer.select(F.sum("n")).scalar() / HOT)
     hot = answer.where(F.col("n") > least).select("fp", F.struct("component_id").alias("hot"))
     split = rows.join(F.broadcast(hot), "fp", "left")
     there = split.where(F.col("hot").isNotNull()).select("id", "fp", "hot.component_id")
