@@ -1,6 +1,7 @@
+import fixtures as FX
 from conftest import SF
 from pathcredit import config
-from pathcredit.plans.attribution import forget_runs, run_for
+from pathcredit.plans.attribution import AttributionRun, forget_runs, run_for
 
 
 def test_chunks_and_partitions_grow_with_the_input(spark, monkeypatch):
@@ -27,3 +28,16 @@ def test_partitions_set_by_the_user_hold(spark):
     assert config.ensure_partitions(spark, 0) == 12 and config.ensure_partitions(spark, 14 * config.ROWS_A_PARTITION) == 14
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert config.ensure_partitions(spark, 0) == 8
+
+
+def test_a_second_run_over_the_same_touches(spark):
+    """Another half-life of one of the goals gives what a run of its own gives, with no visit laid out again."""
+    raw = FX.raw(spark, [v for visits in FX.HISTORIES.values() for v in visits])
+    first = AttributionRun(spark, raw, FX.COUNTER, (FX.GOAL, 42), timeout=FX.SESSION_GAP)
+    again, own = first.again(42, 2.0), AttributionRun(spark, raw, FX.COUNTER, 42, 2.0, timeout=FX.SESSION_GAP)
+
+    def rows(run):
+        return sorted(tuple(round(x, 8) if isinstance(x, float) else x for x in r) for r in run.results.drop("calculated_at").collect())
+
+    assert rows(again) == rows(own) and rows(again)
+    assert "_sessionized" in again.__dict__ and "_visits" not in again.__dict__
