@@ -346,3 +346,54 @@ def test_table_totals_settle_whatever_they_start_from(spark):
     five = np.array([r["n"] for r in seated.groupBy("context").agg(F.sum("n").alias("n")).orderBy("context").collect()], float)
     low, high = (pitman_yor.settle(seated, pitman_yor.Totals(five * x, five, five.sum() * x / 2, n // 8))[1][-1] for x in (0.02, 1.0))
     assert np.allclose(low.tables, high.tables, rtol=0.05) and low.word_tables == pytest.approx(high.word_tables, rel=0.1)
+
+
+def test_a_word_depends_on_the_preceding_word(spark):
+    """Both colours end in the same class of character, and apple and sky are equally frequent."""
+    rows = [(i, "red apple" if i % 2 else "tan sky") for i in range(200)] + [(1000, "red apple"), (1001, "red sky")]
+    got = {r["doc_id"]: r for r in pitman_yor.score_documents(
+        docs_of(spark, rows), held_out=lambda i: i >= 1000, chunk_rows=16, n_buckets=5).collect()}
+    assert got[1000]["base_score"] == pytest.approx(got[1001]["base_score"])
+    assert got[1000]["score"] > got[1001]["score"] + 1
+
+
+def test_probabilities_after_a_word_add_up(spark):
+    """Texts of one word more tell the probability of every word after "red", and what is left is an unknown word's."""
+    texts = [f"red w{i % 5} red w{i % 3}" if i % 4 else f"w{i % 7} green" for i in range(120)]
+    words = sorted({w for t in texts for w in t.split()})
+    asked = [f"red {w}" for w in [*words, "unknown"]]
+    ends = words + ["unknown"]
+    rows = [(i, t) for i, t in enumerate([*texts, *asked, *[f"{w} red" for w in ends], "red"])]
+    n = len(texts)
+    score = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(
+        docs_of(spark, rows), held_out=lambda i: i >= n, n_buckets=3).collect()}
+    # The end after "red" is a word too: P(end | red) = P("red") / P(red | start).
+    of = [10 ** score[n + i] for i in range(len(asked))]  # P(red|^) P(w|red) P(end|w)
+    assert len(of) == len(asked) and all(0 < p < 1 for p in of)
+    assert sum(of) + 10 ** score[n + 2 * len(asked)] < 1
+
+
+def test_scores_do_not_depend_on_pieces(spark):
+    docs = docs_of(spark, [(i, "the " * 9 + f"cat, w{i % 7} the dog{i % 3}. the") for i in range(60)])
+    one, many = ({r["doc_id"]: r["score"] for r in pitman_yor.score_documents(docs, chunk_rows=n, n_buckets=5).collect()} for n in (1000, 3))
+    assert len(one) == 60 and one == pytest.approx(many, rel=1e-5)
+
+
+def test_seating_goes_on_from_pass_to_pass(spark):
+    seated = spark.createDataFrame([(i % 4, i, 0, i, 50) for i in range(400)], "bucket int, at int, context int, word int, n long")
+    rooms = pitman_yor._as_rooms(seated).cache()
+    totals = pitman_yor.gather_totals(rooms, None)
+    again = pitman_yor.gather_totals(rooms, None)
+    assert totals.tables[0] == again.tables[0] and totals.customers[0] == 20000  # where every dish begins
+    first = pitman_yor.gather_totals(rooms, totals, number=1)
+    fresh = pitman_yor.Totals(first.tables, first.customers, first.word_tables, first.distinct)
+    carried, anew = (pitman_yor.gather_totals(rooms, x, number=2) for x in (first, fresh))
+    assert carried.tables[0] != anew.tables[0]
+
+
+def test_hashes_of_words_know_every_byte_and_the_last_class():
+    words = [bytes([97 + i % 26]) * n for i in range(26) for n in (1, 7, 8, 9, 16, 17, 256, 257, 300)] + [b"a.", b"a,", b"a!", b"\xc3\xa9"]
+    words += [w[:-1] + b"0" for w in words if len(w) > 1]
+    first, second = (pitman_yor.words_of(sep.join(words) + tail)[0] for sep, tail in ((b" ", b""), (b" \n\t", b"  x")))
+    assert len(set(first.tolist())) == len(set(words)) and (first == second[:-1]).all()
+    assert [int(h) & 7 for h in pitman_yor.words_of(b"a a. a, a!")[0]] == [1, 2, 3, 4]
