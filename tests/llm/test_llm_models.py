@@ -357,8 +357,8 @@ def test_a_word_depends_on_the_preceding_word(spark):
     assert got[1000]["score"] > got[1001]["score"] + 1
 
 
-def test_probabilities_after_a_word_add_up(spark):
-    """Texts of one word more tell the probability of every word after "red", and what is left is an unknown word's."""
+def test_texts_after_a_word_stay_below_one(spark):
+    """All different texts "red w", with "red" alone and with an unknown word, are less than all texts."""
     texts = [f"red w{i % 5} red w{i % 3}" if i % 4 else f"w{i % 7} green" for i in range(120)]
     words = sorted({w for t in texts for w in t.split()})
     asked = [f"red {w}" for w in [*words, "unknown"]]
@@ -367,7 +367,6 @@ def test_probabilities_after_a_word_add_up(spark):
     n = len(texts)
     score = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(
         docs_of(spark, rows), held_out=lambda i: i >= n, n_buckets=3).collect()}
-    # The end after "red" is a word too: P(end | red) = P("red") / P(red | start).
     of = [10 ** score[n + i] for i in range(len(asked))]  # P(red|^) P(w|red) P(end|w)
     assert len(of) == len(asked) and all(0 < p < 1 for p in of)
     assert sum(of) + 10 ** score[n + 2 * len(asked)] < 1
