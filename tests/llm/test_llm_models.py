@@ -348,6 +348,33 @@ def test_table_totals_settle_whatever_they_start_from(spark):
     assert np.allclose(low.tables, high.tables, rtol=0.05) and low.word_tables == pytest.approx(high.word_tables, rel=0.1)
 
 
+def test_totals_settle_in_few_passes(spark, monkeypatch):
+    """With the tables of every dish begun at the root of its customers and two lower sweeps it took three passes."""
+    rng = np.random.default_rng(6)
+    counts = np.minimum(rng.zipf(2.0, 30000), 3000)
+    seated = spark.createDataFrame([(i % 3, i, 0 if i % 4 else int(rng.integers(1, 5)), i // 2, int(k)) for i, k in enumerate(counts)],
+                                   "bucket int, at int, context int, word int, n long")
+    rooms, seen, gather = pitman_yor._as_rooms(seated).cache(), [], pitman_yor.gather_totals
+    begin = gather(rooms, None)
+    monkeypatch.setattr(pitman_yor, "gather_totals", lambda *a: seen.append(gather(*a)) or seen[-1])
+    pitman_yor.settle(rooms, begin)
+    assert len(seen) <= 2 + pitman_yor.SAMPLES
+    assert seen[1].tables.sum() == pytest.approx(seen[-1].tables.sum(), rel=0.02)
+
+
+@pytest.mark.parametrize("d", [0.7, 0.8])
+def test_dishes_of_similar_customers_are_drawn_together(d):
+    """As one by one: every number of customers up to 200 has its own probabilities, and never more tables than customers."""
+    c, w = np.arange(1, 202).repeat(300), 3.0
+    t = pitman_yor.move(c, np.ones(len(c), np.int64), np.full(len(c), w), d, np.random.default_rng(7))
+    assert (t >= 1).all() and (t <= c).all()
+    for n in (2, 9, 70, 200):
+        log_p = pitman_yor._log_stirling(n, d)[n, 1:] + np.arange(1, n + 1) * math.log(w)
+        p = np.exp(log_p - log_p.max()) / np.exp(log_p - log_p.max()).sum()
+        mean, spread = (p * np.arange(1, n + 1)).sum(), (p * np.arange(1, n + 1) ** 2).sum() - (p * np.arange(1, n + 1)).sum() ** 2
+        assert t[c == n].mean() == pytest.approx(mean, abs=4.5 * (spread / 300) ** 0.5)
+
+
 def test_a_word_depends_on_the_preceding_word(spark):
     """Both colours end in the same class of character, and apple and sky are equally frequent."""
     rows = [(i, "red apple" if i % 2 else "tan sky") for i in range(200)] + [(1000, "red apple"), (1001, "red sky")]
