@@ -417,6 +417,27 @@ def test_seating_goes_on_from_pass_to_pass(spark):
     assert carried.tables[0] != anew.tables[0]
 
 
+@pytest.mark.parametrize("most", [40, 1 << 62])
+def test_distinct_values_and_places_are_those_of_unique(most):
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 1000):
+        codes, hashes = rng.integers(0, most, n), rng.integers(0, 1 << 64, max(n // 3, 1), np.uint64)[rng.integers(0, max(n // 3, 1), n)]
+        for got, x in ((pitman_yor.distinct_codes(codes, most), codes), (pitman_yor.distinct_hashes(hashes), hashes)):
+            for a, b in zip(got, np.unique(x, return_inverse=True)):
+                assert a.tolist() == b.tolist()
+
+
+def test_a_task_of_a_pass_seats_several_buckets(spark, monkeypatch):
+    """A table with a task for every bucket starts more tasks a pass than it seats words; scores are the same."""
+    docs = docs_of(spark, [(i, f"the cat{i % 9} saw w{i % 40}, the dog{i % 3} saw w{i % 11}.") for i in range(80)])
+    asked, write = [], pitman_yor.materialize
+    monkeypatch.setattr(pitman_yor, "materialize", lambda df, by=(), n=None: asked.append(n) or write(df, by, n))
+    together = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(docs, n_buckets=40).collect()}
+    assert [n for n in asked if n] == [10, 10]
+    monkeypatch.setattr(pitman_yor, "BUCKETS_TOGETHER", 1)
+    assert together == {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(docs, n_buckets=40).collect()}
+
+
 def test_hashes_of_words_know_every_byte_and_the_last_class():
     words = [bytes([97 + i % 26]) * n for i in range(26) for n in (1, 7, 8, 9, 16, 17, 256, 257, 300)] + [b"a.", b"a,", b"a!", b"\xc3\xa9"]
     words += [w[:-1] + b"0" for w in words if len(w) > 1]
