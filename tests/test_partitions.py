@@ -1,3 +1,5 @@
+import time
+
 import fixtures as FX
 from conftest import SF
 from pathcredit import config
@@ -41,3 +43,22 @@ def test_a_second_run_over_the_same_touches(spark):
 
     assert rows(again) == rows(own) and rows(again)
     assert "_sessionized" in again.__dict__ and "_visits" not in again.__dict__
+
+
+def test_written_tables_free_their_shuffles(spark):
+    """Shuffle files of a write go with it; else they stay until the driver collects its garbage."""
+    def files():
+        found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().endswith(".data")}
+
+    before, own = files(), spark.conf.get(config._FREE)
+    wide = spark.range(20_000).repartition(7, "id")
+    assert config.materialize(wide).count() == 20_000
+    assert config.materialize(wide, ["id"], 5).count() == 20_000
+    assert spark.conf.get(config._FREE) == own
+    for _ in range(50):
+        left = {f for f in files() - before if f.startswith("shuffle_")}
+        if len(left) <= 16:  # those of the counts
+            break
+        time.sleep(0.1)
+    assert wide.count() == 20_000 and len(left) <= 16

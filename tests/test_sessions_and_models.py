@@ -341,3 +341,40 @@ def test_fused_job_equals_the_model_functions(spark):
                       for r in df.select(*cols).collect())
 
     assert rows(M.attribution_all(t)) == rows(expected)
+
+
+def _rows_shuffled(plan):
+    """Rows that each exchange of an executed plan has written."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _rows_shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _rows_shuffled(plan.plan())
+    own = [plan.metrics().get("shuffleRecordsWritten").get().value()] if kind == "ShuffleExchangeExec" else []
+    return sum((_rows_shuffled(plan.children().apply(i)) for i in range(plan.children().size())), own)
+
+
+def test_later_days_of_sessions_are_not_shuffled(spark):
+    """Thirty sessions of 40 days and ten channels: one visit a day, but 11,700 (session, channel, later day) rows a model."""
+    visits = [FX.visit(user, i / 5, f"2_{i + 1}") for user in range(501, 531) for i in range(10)]
+    visits += [FX.visit(user, 24 * day, "7", 5.0) for user in range(501, 531) for day in range(1, 40)]
+    t = _touches(spark, visits, timeout=10 ** 6)
+    found = M.attribution_all(t)
+    rows = found.where("attribution_type = 'linear'").count()
+    found.collect()
+    assert rows == 10 + 39 * 11
+    assert max(_rows_shuffled(found._jdf.queryExecution().executedPlan())) < 6000
+
+
+def test_a_channel_earns_on_days_without_its_touches(spark):
+    """Days before, between and after a channel's touches, with first days in the middle, against the plain reckoning."""
+    visits = [FX.visit(user, 24 * day + h, code, paid) for user in (601, 602) for day, h, code, paid in (
+        (0, 1, "2_1", None), (1, 2, "7", 3.0), (1, 3, "2_1", None), (4, 1, "3_2", 8.0), (6, 5, "2_1", 2.0), (6, 6, "7", None),
+        (9, 1, "3_2", 4.0))]
+    chains = FX.session_chains(visits, 10 ** 6)
+    found = M.attribution_all(_touches(spark, visits, timeout=10 ** 6))
+    for name in MODELS:
+        assert _by_day(found.where(F.col("attribution_type") == name), "visits", "conversions", "revenue") == FX.credit(chains, name), name
+    got = _by_day(found.where("attribution_type = 'last_touch' AND assisted_conversions > 0"), "assisted_conversions", "assisted_revenue")
+    ends = {(c[-1]["at"].date(), c[-1]["code"]) for c in chains}
+    assert got == {k: v for k, v in FX.assists(chains).items() if k in ends} and got
