@@ -438,6 +438,34 @@ def test_a_task_of_a_pass_seats_several_buckets(spark, monkeypatch):
     assert together == {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(docs, n_buckets=40).collect()}
 
 
+def test_pairs_in_more_cells_than_buckets(spark, monkeypatch):
+    """A bucket's pairs are added up in several cells: a quarter as many buckets send a sixteenth of the letters, scores are the same."""
+    docs = docs_of(spark, [(i, f"the cat{i % 9} saw w{i % 40}, the dog{i % 3} saw w{i % 11}.") for i in range(160)])
+    letters, seat = [], pitman_yor.gather_totals
+
+    def counted(*args):
+        totals = seat(*args)
+        letters.append(totals.seating.where("kind = 'up'").count())
+        return totals
+
+    def scores(**given):
+        return {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(docs, **given).collect()}
+
+    one_cell = scores(n_buckets=10)
+    monkeypatch.setattr(pitman_yor, "CELL_ROWS", 4)
+    monkeypatch.setattr(pitman_yor, "LEAST_BUCKETS", 8)
+    monkeypatch.setattr(pitman_yor, "gather_totals", counted)
+    assert scores() == pytest.approx(one_cell, rel=1e-5)  # 40 cells of 10 buckets
+    assert 0 < max(letters) <= 100
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(3)
+    given = [rng.integers(0, 1 << 64, 40, np.uint64), np.zeros(0, np.int64), rng.integers(-9, 9, 7), rng.random(5).astype(np.float32)]
+    found = pitman_yor._unpack(pa.scalar(pitman_yor._pack(*given), pa.binary()))
+    assert [(x.dtype, x.tolist()) for x in found] == [(x.dtype, x.tolist()) for x in given]
+
+
 def test_hashes_of_words_know_every_byte_and_the_last_class():
     words = [bytes([97 + i % 26]) * n for i in range(26) for n in (1, 7, 8, 9, 16, 17, 256, 257, 300)] + [b"a.", b"a,", b"a!", b"\xc3\xa9"]
     words += [w[:-1] + b"0" for w in words if len(w) > 1]
